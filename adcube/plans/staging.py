@@ -47,11 +47,12 @@ def staging_campaign(src: AdSources, cfg: EngineConfig, since: _dt.date | None =
     ``since`` is the incremental cut (``date >= since``); Catalyst pushes it
     into both scans, through the aggregate and across the join key.
     """
-    agg = _since(aggregate_day(_insights(src, "campaign_report", CAMPAIGN_RAW_EXCLUDE),
-                               ["date", "account_id", "campaign_id"]), since)
+    insights = _since(_insights(src, "campaign_report", CAMPAIGN_RAW_EXCLUDE), since)
+    agg = aggregate_day(insights, ["date", "account_id", "campaign_id"])
     piv = goal_pivot(src.campaign_conversions, ["date", "campaign_id"], cfg, agg.columns)
     rows = agg if piv is None else agg.join(piv, ["date", "campaign_id"], "left")
-    rows = with_last_updated(rows, agg, cfg.broadcast_max_rows)
+    # max over raw rows == max over the day aggregate; avoids re-aggregating
+    rows = with_last_updated(rows, insights, cfg.broadcast_max_rows)
     return rows.withColumn("unique_key", surrogate_key("campaign_id", "date"))
 
 
@@ -71,10 +72,11 @@ def staging_ad(src: AdSources, cfg: EngineConfig, since: _dt.date | None = None)
 def staging_keyword(src: AdSources, cfg: EngineConfig, since: _dt.date | None = None) -> DataFrame:
     """Keyword-day facts; both sides are aggregated to keyword grain before the join."""
     keys = ["date", "account_id", "campaign_id", "ad_group_id", "keyword_id"]
-    agg = _since(aggregate_day(_insights(src, "keyword_report", KEYWORD_RAW_EXCLUDE), keys), since)
+    insights = _since(_insights(src, "keyword_report", KEYWORD_RAW_EXCLUDE), since)
+    agg = aggregate_day(insights, keys)
     piv = goal_pivot(src.keyword_conversions, ["date", "ad_group_id", "keyword_id"], cfg, agg.columns)
     rows = agg if piv is None else agg.join(piv, ["date", "ad_group_id", "keyword_id"], "left")
-    rows = with_last_updated(rows, agg, cfg.broadcast_max_rows)
+    rows = with_last_updated(rows, insights, cfg.broadcast_max_rows)
     return rows.withColumn("unique_key", surrogate_key("ad_group_id", "keyword_id", "date"))
 
 
