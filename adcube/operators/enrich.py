@@ -20,17 +20,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
-def dimension_chain(levels: list[tuple[DataFrame, str]], max_rows: int) -> DataFrame:
+def dimension_chain(levels: list[tuple[DataFrame, str]]) -> DataFrame:
     """Left-join dimensions outward: ``levels[0] ⟕ levels[1] USING key1 ⟕ ...``.
 
     ``levels`` is ``[(dim0, None), (dim1, key1), ...]`` where ``key_i`` is the
-    column of ``dim_i`` referenced by the previous level.  Every level after
-    the first is broadcast when small, so the chain is built without shuffling
-    the (possibly large) first level.
+    column of ``dim_i`` referenced by the previous level.  No hint: the outer
+    levels (ad groups, campaigns, accounts) are small, and the planner
+    broadcasts them from their scan-size estimate
+    (``spark.sql.autoBroadcastJoinThreshold``), re-checked at run time by AQE;
+    a large level stays a sort-merge join.
     """
     out = levels[0][0]
     for dim, key in levels[1:]:
-        out = out.join(bounded_broadcast(dim, max_rows), key, "left")
+        out = out.join(dim, key, "left")
     return out
 
 

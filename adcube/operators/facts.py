@@ -13,15 +13,22 @@ DAY_MEASURES = ("impressions", "clicks", "spend", "conversions", "all_conversion
 
 
 def aggregate_day(insights: DataFrame, keys: list[str]) -> DataFrame:
-    """Sum the fixed measures per ``keys``; latest currency code and sync time.
+    """Sum the fixed measures per ``keys``; greatest currency code and sync time.
 
     Aggregating *before* the goal join keeps segment rows (device, network, ...)
     from multiplying the goal totals.
+
+    ``max`` over a string has no fixed-width buffer, so Spark would plan a
+    sort-based aggregate over every raw row.  The currency code is therefore
+    made a grouping key of a first, hash-based aggregate (map-side combine,
+    no sort); the string max then runs over one row per (keys, currency).
     """
-    aggs = [F.sum(m).alias(m) for m in DAY_MEASURES]
-    aggs += [F.max("currency_code").alias("currency_code"),
-             F.max("_fivetran_synced").alias("_fivetran_synced")]
-    return insights.groupBy(*keys).agg(*aggs)
+    pre = insights.groupBy(*keys, "currency_code").agg(
+        *[F.sum(m).alias(m) for m in DAY_MEASURES], F.max("_fivetran_synced").alias("_fivetran_synced"))
+    return pre.groupBy(*keys).agg(
+        *[F.sum(m).alias(m) for m in DAY_MEASURES],
+        F.max("currency_code").alias("currency_code"),
+        F.max("_fivetran_synced").alias("_fivetran_synced"))
 
 
 def with_last_updated(rows: DataFrame, source: DataFrame, max_rows: int,

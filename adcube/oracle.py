@@ -482,6 +482,23 @@ def _quality_not_null_sql():
     return _select(ctes, "SELECT * FROM report WHERE unique_key IS NULL", money=REPORT_MONEY)
 
 
+def _declared_tests_sql():
+    ctes = [HISTORIES, DIMS] + report_ctes("campaign", sfx="_c") + report_ctes("ad", sfx="_a")
+    models = [("accounts", "dim_accounts", True), ("campaigns", "dim_campaigns", True),
+              ("staging_campaign", "staging_campaign_c", True), ("performance_by_campaign", "report_c", False),
+              ("ad_groups", "dim_ad_groups", True), ("ads", "dim_ads", True),
+              ("staging_ad", "staging_ad_a", True), ("performance_by_ad", "report_a", False)]
+    parts = []
+    for model, rel, not_null in models:
+        parts.append(f"""SELECT '{model}' AS model, 'unique_key' AS column_name, 'unique' AS test,
+       CAST(COALESCE((SELECT SUM(n) FROM (SELECT COUNT(*) AS n FROM {rel} WHERE unique_key IS NOT NULL
+                      GROUP BY unique_key HAVING COUNT(*) > 1)), 0) AS BIGINT) AS failures""")
+        if not_null:
+            parts.append(f"""SELECT '{model}', 'unique_key', 'not_null',
+       CAST((SELECT COUNT(*) FROM {rel} WHERE unique_key IS NULL) AS BIGINT)""")
+    return with_(*ctes) + "\n" + "\nUNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "latest_versions_with_ties": LATEST_WITH_TIES,
@@ -525,4 +542,5 @@ def oracle_sql() -> dict[str, str]:
         "upsert_entity_keys": _report_incremental_sql("keyword", exact=True, strict_keys=False),
         "quality_unique": QUALITY_UNIQUE,
         "quality_not_null": _quality_not_null_sql(),
+        "declared_tests": _declared_tests_sql(),
     }

@@ -58,4 +58,4 @@ HIERARCHIES = {
 def hierarchy(src: AdSources, entity: str, cfg: EngineConfig) -> DataFrame:
     """Report-side dimension columns of ``entity`` with all its ancestors, one frame."""
     levels = [(_report_dim(src, name), key) for name, key in HIERARCHIES[entity]]
-    return dimension_chain(levels, cfg.broadcast_max_rows)
+    return dimension_chain(levels)

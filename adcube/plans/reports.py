@@ -44,7 +44,18 @@ def rates_for(src: AdSources, cfg: EngineConfig) -> DataFrame | None:
     """Lagged exchange rates for a non-USD reporting currency, else ``None`` (÷1)."""
     if not cfg.converts_currency:
         return None
-    return exchange_rates(src.require("calendar"), src.require("currency"), cfg.currency, cfg.as_of)
+    rates = exchange_rates(src.require("calendar"), src.require("currency"), cfg.currency, cfg.as_of)
+    if not cfg.strict and rates.groupBy("date").count().where("count > 1").take(1):
+        # a day with two rates would fan every fact row of that day out (the
+        # reference keeps the fan-out; strict mode reproduces it)
+        raise ValueError("exchange-rate calendar has duplicate dates")
+    return rates
+
+
+def report_table_name(entity: str, cfg: EngineConfig) -> str:
+    """Report table name, prefixed with the configured namespace (target database)."""
+    base = f"performance_by_{entity}"
+    return f"{cfg.namespace}_{base}" if cfg.namespace else base
 
 
 def converted_facts(staging: DataFrame, entity: str, src: AdSources, cfg: EngineConfig) -> DataFrame:

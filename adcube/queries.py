@@ -194,6 +194,11 @@ def q_quality_unique(spark, sf_dir):
     return unique_violations(staging_ad(_src(spark, sf_dir), USD), "unique_key")
 
 
+def q_declared_tests(spark, sf_dir):
+    from .plans.checks import declared_tests
+    return declared_tests(_src(spark, sf_dir), USD)
+
+
 def q_quality_not_null(spark, sf_dir):
     return rounded(not_null_violations(report("keyword", _src(spark, sf_dir), USD), "unique_key"))
 
@@ -238,4 +243,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_entity_keys": _report_incremental("keyword", exact=True, cfg=USD.with_(strict=False)),
     "quality_unique": q_quality_unique,
     "quality_not_null": q_quality_not_null,
+    "declared_tests": q_declared_tests,
 }
