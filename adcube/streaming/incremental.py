@@ -3,8 +3,7 @@
 The reference re-processes a trailing window on a schedule.  Here a
 Structured Streaming query watches the landing folder of a performance
 report; each micro-batch only says *which days* changed.  ``foreachBatch``
-then re-stages from the earliest changed day (minus nothing: the batch's own
-minimum) against the full source tables — so a campaign-day whose rows land
+then re-stages from the earliest changed day against the full source tables — so a campaign-day whose rows land
 in two micro-batches is still summed whole — and upserts by key.  Progress
 is kept in the query checkpoint, so a restarted job resumes where it stopped.
 """
@@ -28,7 +27,7 @@ from ..plans.staging import STAGING
 def start_staging_stream(spark: SparkSession, entity: str, landing_path: str, landing_schema: StructType,
                          sources: Callable[[SparkSession], AdSources], cfg: EngineConfig,
                          target_path: str, checkpoint_location: str,
-                         available_now: bool = True) -> StreamingQuery:
+                         available_now: bool = True, partition_by=STAGING_PARTITIONS) -> StreamingQuery:
     """Start the stream; ``sources`` builds the (full) source tables for each batch."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -37,7 +36,7 @@ def start_staging_stream(spark: SparkSession, entity: str, landing_path: str, la
             return
         session = batch.sparkSession
         rows = STAGING[entity](sources(session), cfg, since=first)
-        upsert_by_key(session, rows, target_path, ["unique_key"], "sync", STAGING_PARTITIONS)
+        upsert_by_key(session, rows, target_path, ["unique_key"], "sync", partition_by)
 
     stream = spark.readStream.schema(landing_schema).parquet(landing_path).select("date")
     writer = (stream.writeStream.foreachBatch(apply)

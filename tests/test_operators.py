@@ -101,7 +101,7 @@ fact_rows = st.lists(st.tuples(day, st.integers(1, 4), st.one_of(st.none(), st.i
                      min_size=1, max_size=40)
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=fact_rows)
 def test_one_pass_equals_union_and_totals_agree(spark, rows):
     df = spark.createDataFrame(rows, "date date, campaign_id long, clicks long")

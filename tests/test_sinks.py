@@ -44,9 +44,9 @@ def test_incremental_staging_matches_full_refresh(spark, tmpdir_path):
     path = f"{tmpdir_path}/stg"
     first = testdata.ad_sources(spark, SF, max_date="2000-06-30")
     full = testdata.ad_sources(spark, SF)
-    assert run_staging(spark, "campaign", first, cfg, path) == "skipped"  # strict: empty target keeps nothing
-    assert run_staging(spark, "campaign", first, cfg.with_(strict=False), path) == "created"
-    run_staging(spark, "campaign", full, cfg, path)
+    assert run_staging(spark, "campaign", first, cfg, path, ()) == "skipped"  # strict: empty target keeps nothing
+    assert run_staging(spark, "campaign", first, cfg.with_(strict=False), path, ()) == "created"
+    assert run_staging(spark, "campaign", full, cfg, path, ()) == "rewritten"
     got = read_table(spark, path)
     expected = staging_campaign(full, cfg)
     # last_updated is per batch by design; everything else equals a full refresh
@@ -60,8 +60,8 @@ def test_report_run_appends_and_replaces(spark, tmpdir_path):
     path = f"{tmpdir_path}/rep"
     first = testdata.ad_sources(spark, SF, max_date="2000-06-30")
     second = testdata.ad_sources(spark, SF, max_date="2000-07-31")
-    assert run_report(spark, "campaign", first, cfg, path) == "created"
-    assert run_report(spark, "campaign", second, cfg, path) == "upserted"
+    assert run_report(spark, "campaign", first, cfg, path, partition_by=("date_granularity",)) == "created"
+    assert run_report(spark, "campaign", second, cfg, path, partition_by=("date_granularity",)) == "upserted"
     got = read_table(spark, path)
     full = report("campaign", second, cfg)
     assert got.count() == full.count()

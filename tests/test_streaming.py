@@ -14,12 +14,14 @@ def test_stream_triggers_incremental_upsert(spark, tmpdir_path):
     report = full.campaign_report
     report.where("date <= DATE'1997-12-31'").write.parquet(f"{landing}/part1")
     q = start_staging_stream(spark, "campaign", f"{landing}/*", report.schema,
-                             lambda s: testdata.ad_sources(s, SF), cfg, target, f"{tmpdir_path}/ckpt")
+                             lambda s: testdata.ad_sources(s, SF), cfg, target, f"{tmpdir_path}/ckpt",
+                             partition_by=())
     q.awaitTermination(300)
     first = read_table(spark, target).count()
     report.where("date > DATE'1997-12-31'").write.parquet(f"{landing}/part2")
     q = start_staging_stream(spark, "campaign", f"{landing}/*", report.schema,
-                             lambda s: testdata.ad_sources(s, SF), cfg, target, f"{tmpdir_path}/ckpt")
+                             lambda s: testdata.ad_sources(s, SF), cfg, target, f"{tmpdir_path}/ckpt",
+                             partition_by=())
     q.awaitTermination(300)
     from adcube.plans.staging import staging_campaign
     assert first > 0
