@@ -44,7 +44,7 @@ class EngineConfig:
     max_goals: int = 500
     # Row bound under which a dimension / rate table is broadcast; above it the
     # join falls back to a shuffle join (AQE may still convert it at run time).
-    broadcast_max_rows: int = 2_000_000
+    broadcast_max_rows: int = 500_000
     goals: tuple[str, ...] | None = field(default=None)
 
     def __post_init__(self) -> None:

@@ -19,7 +19,7 @@ from ..sources.catalog import AdSources
 from .columns import (AD_FACT_EXCLUDE, AD_MEASURE_EXCLUDE, CAMPAIGN_FACT_EXCLUDE,
                       CAMPAIGN_MEASURE_EXCLUDE, KEYWORD_FACT_EXCLUDE, KEYWORD_MEASURE_EXCLUDE)
 from .dims import hierarchy
-from .staging import STAGING
+from .staging import STAGING, ad_insights, goal_pivot
 
 
 @dataclass(frozen=True)
@@ -85,6 +85,29 @@ def report_bounds(window_start: _dt.date, cfg: EngineConfig, exact: bool):
     return bounds
 
 
+def ad_day_facts(src: AdSources, cfg: EngineConfig) -> DataFrame:
+    """Ad staging reduced to (date, ad_id) grain, for reports built straight from sources.
+
+    The report only sums staging rows, and ad staging attaches the ad-day goal
+    totals to every segment row.  Summing raw measures per ad-day and scaling
+    the goal totals by the ad-day's row count gives the same sums, but the raw
+    report is combined map-side instead of being shuffled row by row for the
+    goal join.  (A materialized staging table is passed as ``staging=`` and
+    read as is.)
+    """
+    spec = REPORTS["ad"]
+    insights = ad_insights(src)
+    skip = set(spec.fact_exclude) | set(spec.measure_exclude) | {spec.dimension}
+    base = measure_columns(insights, insights.columns, skip)
+    day = insights.groupBy("date", "ad_id").agg(*[F.sum(c).alias(c) for c in base],
+                                                F.count(F.lit(1)).alias("_rows"))
+    piv = goal_pivot(src.ad_conversions, ["date", "ad_id"], cfg, insights.columns)
+    if piv is not None:
+        goals = [c for c in piv.columns if c not in ("date", "ad_id")]
+        day = day.join(piv, ["date", "ad_id"], "left").withColumns({c: F.col(c) * F.col("_rows") for c in goals})
+    return day.drop("_rows")
+
+
 def report(entity: str, src: AdSources, cfg: EngineConfig, staging: DataFrame | None = None,
            window_start: _dt.date | None = None, exact: bool | None = None) -> DataFrame:
     """Performance by ``entity`` at all five granularities, enriched with the hierarchy.
@@ -93,8 +116,11 @@ def report(entity: str, src: AdSources, cfg: EngineConfig, staging: DataFrame |
     rebuilt); ``exact`` defaults to ``not cfg.strict``.
     """
     spec = REPORTS[entity]
-    stg = staging if staging is not None else STAGING[entity](src, cfg)
-    facts = converted_facts(stg, entity, src, cfg)
+    if staging is None and entity == "ad":
+        facts = convert_money(ad_day_facts(src, cfg), rates_for(src, cfg), cfg.broadcast_max_rows)
+    else:
+        stg = staging if staging is not None else STAGING[entity](src, cfg)
+        facts = converted_facts(stg, entity, src, cfg)
     since = None
     if window_start is not None:
         exact = (not cfg.strict) if exact is None else exact

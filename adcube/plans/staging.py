@@ -56,13 +56,18 @@ def staging_campaign(src: AdSources, cfg: EngineConfig, since: _dt.date | None =
     return rows.withColumn("unique_key", surrogate_key("campaign_id", "date"))
 
 
+def ad_insights(src: AdSources) -> DataFrame:
+    """Ad report rows minus the excluded rate columns, renamed."""
+    return _insights(src, "ad_report", AD_RAW_EXCLUDE)
+
+
 def staging_ad(src: AdSources, cfg: EngineConfig, since: _dt.date | None = None) -> DataFrame:
     """Ad report rows (not aggregated) ⟕ goal pivot on (date, ad_id).
 
     Like the reference, segment rows of one ad-day each receive the ad-day's
     goal totals (see README, "fan-out"); ``quality`` checks expose it.
     """
-    insights = _since(_insights(src, "ad_report", AD_RAW_EXCLUDE), since)
+    insights = _since(ad_insights(src), since)
     piv = goal_pivot(src.ad_conversions, ["date", "ad_id"], cfg, insights.columns)
     rows = insights if piv is None else insights.join(piv, ["date", "ad_id"], "left")
     rows = with_last_updated(rows, insights, cfg.broadcast_max_rows)

@@ -47,3 +47,28 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def tune_for_scale(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
+                   max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Size scan splits and shuffle partitions for ``input_bytes`` of source data.
+
+    Scan splits and post-shuffle partitions target ``target_partition_bytes``
+    (fits comfortably in an executor task's memory; larger aggregations spill).
+    The shuffle partition count is an upper bound: AQE coalesces small
+    partitions at run time and splits skewed ones in joins.
+    """
+    parts = max(200, min(max_shuffle_partitions, input_bytes // target_partition_bytes))
+    conf = {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

@@ -43,9 +43,18 @@ def _rollup_variant(fn):
     return q
 
 
+def _ad_report_via_staging(spark, sf_dir):
+    """The ad report over the row-level staging join (what a materialized staging feeds)."""
+    from adcube.plans.reports import report
+    src = testdata.ad_sources(spark, sf_dir)
+    cfg = EngineConfig()
+    return report("ad", src, cfg, staging=staging_ad(src, cfg))
+
+
 ALTERNATIVES = {
     "alt_rollup_one_pass": _rollup_variant(period_rollup),
     "alt_rollup_union": _rollup_variant(period_rollup_union),
+    "alt_report_ad_row_level_goal_join": _ad_report_via_staging,
 }
 
 
