@@ -119,7 +119,8 @@ def report(entity: str, src: AdSources, cfg: EngineConfig, staging: DataFrame |
     if staging is None and entity == "ad":
         facts = convert_money(ad_day_facts(src, cfg), rates_for(src, cfg), cfg.broadcast_max_rows)
     else:
-        stg = staging if staging is not None else STAGING[entity](src, cfg)
+        # built here, staging skips last_updated: reports never read it
+        stg = staging if staging is not None else STAGING[entity](src, cfg, sync_time=False)
         facts = converted_facts(stg, entity, src, cfg)
     since = None
     if window_start is not None:

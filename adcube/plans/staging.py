@@ -41,7 +41,8 @@ def _insights(src: AdSources, name: str, exclude) -> DataFrame:
     return raw.select(*clean_columns(SOURCE_TABLES[name], raw.columns, exclude))
 
 
-def staging_campaign(src: AdSources, cfg: EngineConfig, since: _dt.date | None = None) -> DataFrame:
+def staging_campaign(src: AdSources, cfg: EngineConfig, since: _dt.date | None = None,
+                     sync_time: bool = True) -> DataFrame:
     """Campaign-day facts: summed measures ⟕ goal pivot on (date, campaign_id).
 
     ``since`` is the incremental cut (``date >= since``); Catalyst pushes it
@@ -51,8 +52,8 @@ def staging_campaign(src: AdSources, cfg: EngineConfig, since: _dt.date | None =
     agg = aggregate_day(insights, ["date", "account_id", "campaign_id"])
     piv = goal_pivot(src.campaign_conversions, ["date", "campaign_id"], cfg, agg.columns)
     rows = agg if piv is None else agg.join(piv, ["date", "campaign_id"], "left")
-    # max over raw rows == max over the day aggregate; avoids re-aggregating
-    rows = with_last_updated(rows, insights, cfg.broadcast_max_rows)
+    if sync_time:  # max over raw rows == max over the day aggregate; avoids re-aggregating
+        rows = with_last_updated(rows, insights, cfg.broadcast_max_rows)
     return rows.withColumn("unique_key", surrogate_key("campaign_id", "date"))
 
 
@@ -61,7 +62,8 @@ def ad_insights(src: AdSources) -> DataFrame:
     return _insights(src, "ad_report", AD_RAW_EXCLUDE)
 
 
-def staging_ad(src: AdSources, cfg: EngineConfig, since: _dt.date | None = None) -> DataFrame:
+def staging_ad(src: AdSources, cfg: EngineConfig, since: _dt.date | None = None,
+               sync_time: bool = True) -> DataFrame:
     """Ad report rows (not aggregated) ⟕ goal pivot on (date, ad_id).
 
     Like the reference, segment rows of one ad-day each receive the ad-day's
@@ -70,18 +72,24 @@ def staging_ad(src: AdSources, cfg: EngineConfig, since: _dt.date | None = None)
     insights = _since(ad_insights(src), since)
     piv = goal_pivot(src.ad_conversions, ["date", "ad_id"], cfg, insights.columns)
     rows = insights if piv is None else insights.join(piv, ["date", "ad_id"], "left")
-    rows = with_last_updated(rows, insights, cfg.broadcast_max_rows)
+    if sync_time:
+        rows = with_last_updated(rows, insights, cfg.broadcast_max_rows)
     return rows.withColumn("unique_key", surrogate_key("ad_id", "date"))
 
 
-def staging_keyword(src: AdSources, cfg: EngineConfig, since: _dt.date | None = None) -> DataFrame:
-    """Keyword-day facts; both sides are aggregated to keyword grain before the join."""
+def staging_keyword(src: AdSources, cfg: EngineConfig, since: _dt.date | None = None,
+                    sync_time: bool = True) -> DataFrame:
+    """Keyword-day facts; both sides are aggregated to keyword grain before the join.
+
+    ``sync_time=False`` omits ``last_updated`` (reports never read it).
+    """
     keys = ["date", "account_id", "campaign_id", "ad_group_id", "keyword_id"]
     insights = _since(_insights(src, "keyword_report", KEYWORD_RAW_EXCLUDE), since)
     agg = aggregate_day(insights, keys)
     piv = goal_pivot(src.keyword_conversions, ["date", "ad_group_id", "keyword_id"], cfg, agg.columns)
     rows = agg if piv is None else agg.join(piv, ["date", "ad_group_id", "keyword_id"], "left")
-    rows = with_last_updated(rows, insights, cfg.broadcast_max_rows)
+    if sync_time:
+        rows = with_last_updated(rows, insights, cfg.broadcast_max_rows)
     return rows.withColumn("unique_key", surrogate_key("ad_group_id", "keyword_id", "date"))
 
 
