@@ -44,8 +44,7 @@ def test_incremental_staging_matches_full_refresh(spark, tmpdir_path):
     path = f"{tmpdir_path}/stg"
     first = testdata.ad_sources(spark, SF, max_date="2000-06-30")
     full = testdata.ad_sources(spark, SF)
-    assert run_staging(spark, "campaign", first, cfg, path, ()) == "skipped"  # strict: empty target keeps nothing
-    assert run_staging(spark, "campaign", first, cfg.with_(strict=False), path, ()) == "created"
+    assert run_staging(spark, "campaign", first, cfg, path, ()) == "created"  # missing target: full build
     assert run_staging(spark, "campaign", full, cfg, path, ()) == "rewritten"
     got = read_table(spark, path)
     expected = staging_campaign(full, cfg)
@@ -55,6 +54,14 @@ def test_incremental_staging_matches_full_refresh(spark, tmpdir_path):
     assert keyed(got) == keyed(expected)
 
 
+def test_empty_staging_target(spark, tmpdir_path):
+    path = f"{tmpdir_path}/empty"
+    src = testdata.ad_sources(spark, SF)
+    staging_campaign(src, EngineConfig()).limit(0).write.parquet(path)
+    assert run_staging(spark, "campaign", src, EngineConfig(), path, ()) == "skipped"  # strict: NULL cut
+    assert run_staging(spark, "campaign", src, EngineConfig(strict=False), path, ()) == "rewritten"
+
+
 def test_report_run_appends_and_replaces(spark, tmpdir_path):
     cfg = EngineConfig(strict=False)
     path = f"{tmpdir_path}/rep"
