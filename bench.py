@@ -16,7 +16,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from adcube.config import EngineConfig  # noqa: E402
 from adcube.operators.rollup import measure_columns, period_rollup, period_rollup_union  # noqa: E402

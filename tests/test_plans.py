@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from adcube.config import EngineConfig
 from adcube.operators.goals import discover_goals
