@@ -55,6 +55,8 @@ class EngineConfig:
             )
         if self.lookback_days < 0:
             raise ValueError("lookback_days must be >= 0")
+        from .functions.dates import weekday_number
+        weekday_number(self.week_start)  # raises on an unknown day name
 
     @property
     def conversion_value(self) -> str:

@@ -531,6 +531,7 @@ def oracle_sql() -> dict[str, str]:
         "report_by_ad": report_sql("ad"),
         "report_by_keyword": report_sql("keyword"),
         "report_by_campaign_eur": report_sql("campaign", currency=True),
+        "report_by_ad_eur": report_sql("ad", currency=True),
         "report_by_campaign_sunday": _report_sunday_sql(),
         "report_by_campaign_conversions_var": report_sql("campaign", measure="conversions", value="revenue"),
         "staging_incremental_window": STAGING_WINDOW,

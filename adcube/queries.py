@@ -232,6 +232,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_by_ad": _report("ad"),
     "report_by_keyword": _report("keyword"),
     "report_by_campaign_eur": _report("campaign", EUR),
+    "report_by_ad_eur": _report("ad", EUR),
     "report_by_campaign_sunday": q_report_by_campaign_sunday,
     "report_by_campaign_conversions_var": _report("campaign", USD.with_(conversion_measure="conversions")),
     "staging_incremental_window": q_staging_incremental_window,
