@@ -40,6 +40,12 @@ def enrich(fact: DataFrame, hierarchy: DataFrame, key: str, max_rows: int) -> Da
     """``fact ⟕ hierarchy USING key``.
 
     Equivalent to joining each level to the fact in turn (left joins on keys
-    of the previous level associate), but the fact is joined only once.
+    of the previous level associate), but the fact is joined only once.  When
+    the hierarchy is too large to broadcast, fact rows with a NULL key (which
+    cannot match) bypass the shuffle join instead of piling into one task.
     """
-    return fact.join(bounded_broadcast(hierarchy, max_rows), key, "left")
+    if row_count_at_most(hierarchy, max_rows):
+        return fact.join(F.broadcast(hierarchy), key, "left")
+    null_key = F.col(key).isNull()
+    matched = fact.where(~null_key).join(hierarchy, key, "left")
+    return matched.unionByName(fact.where(null_key), allowMissingColumns=True)

@@ -11,11 +11,10 @@ the keyed upsert.  Doubles are rounded (money 2, ratios 6) on both sides.
 from __future__ import annotations
 
 # Fixed test-data values: goals present in the conversion stand-in and the
-# column names they clean to; load cut-offs; the rate calendar's as-of day.
+# column names they clean to; the first-load cut-off; the rate calendar's as-of day.
 GOALS = (("1-URGENT", "1urgent"), ("2-HIGH", "2high"), ("3-MEDIUM", "3medium"),
          ("4-NOT SPECIFIED", "4notspecified"))
 FIRST_LOAD = "2000-06-30"
-SECOND_LOAD = "2000-07-31"
 AS_OF = "2001-06-30"
 LOOKBACK = 31
 
@@ -436,7 +435,7 @@ def _report_sunday_sql():
 
 STAGING_WINDOW = _select(
     staging_sources(FIRST_LOAD, "_t") + [staging_campaign_cte(name="target", sfx="_t")]
-    + staging_sources(SECOND_LOAD, "_b")
+    + staging_sources(None, "_b")
     + [staging_campaign_cte(name="batch", sfx="_b", since=f"(SELECT MAX(date) - {LOOKBACK} FROM target)")],
     """SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.unique_key = t.unique_key)
 UNION ALL SELECT * FROM batch""", money=STAGING_MONEY)
@@ -444,7 +443,7 @@ UNION ALL SELECT * FROM batch""", money=STAGING_MONEY)
 
 def _upsert_columns_sql(policy):
     ctes = (staging_sources(FIRST_LOAD, "_t") + [staging_campaign_cte(name="target", sfx="_t")]
-            + staging_sources(SECOND_LOAD, "_b")
+            + staging_sources(None, "_b")
             + [staging_campaign_cte(name="batch", sfx="_b", conversions=False,
                                     since=f"(SELECT MAX(date) - {LOOKBACK} FROM target)")])
     kept = "FROM target t WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.unique_key = t.unique_key)"
@@ -461,7 +460,7 @@ def _report_incremental_sql(entity, exact, strict_keys=True):
     if exact:
         since["week"] = f"(SELECT CAST(date_trunc('week', {window}) AS DATE))"
     ctes = [HISTORIES, DIMS] + report_ctes(entity, max_date=FIRST_LOAD, sfx="_t")
-    ctes += report_ctes(entity, max_date=SECOND_LOAD, sfx="_b", since_by_g=since)
+    ctes += report_ctes(entity, sfx="_b", since_by_g=since)
     if strict_keys:
         match = "b.unique_key = t.unique_key"
     else:

@@ -33,9 +33,10 @@ from .sources import testdata
 from .sources.catalog import SOURCE_TABLES
 from .functions.classify import campaign_type
 
-# Fixed test parameters (mirrored in adcube/oracle.py).
+# Fixed test parameters (mirrored in adcube/oracle.py): the target tables of
+# the incremental queries hold the data shipped up to FIRST_LOAD; the next run
+# then sees the whole tables.
 FIRST_LOAD = _dt.date(2000, 6, 30)
-SECOND_LOAD = _dt.date(2000, 7, 31)
 AS_OF = _dt.date(2001, 6, 30)
 
 USD = EngineConfig()
@@ -165,14 +166,14 @@ def q_report_by_campaign_sunday(spark, sf_dir):
 def q_staging_incremental_window(spark, sf_dir):
     """Second daily run of campaign staging: re-stage max(date) - 31 onward, upsert (sync)."""
     target = staging_campaign(_src(spark, sf_dir, max_date=str(FIRST_LOAD)), USD)
-    batch = staging_batch("campaign", _src(spark, sf_dir, max_date=str(SECOND_LOAD)), USD, _max_date(target))
+    batch = staging_batch("campaign", _src(spark, sf_dir), USD, _max_date(target))
     return rounded(merge_by_key(target, batch, ["unique_key"], "sync"))
 
 
 def _report_incremental(entity, exact, cfg=USD):
     def q(spark, sf_dir):
         first = _src(spark, sf_dir, max_date=str(FIRST_LOAD))
-        second = _src(spark, sf_dir, max_date=str(SECOND_LOAD))
+        second = _src(spark, sf_dir)
         target = report(entity, first, cfg)
         batch = report_batch(entity, second, cfg, _max_date(target), exact=exact)
         return rounded(merge_by_key(target, batch, report_keys(entity, cfg), "append"))
@@ -182,7 +183,7 @@ def _report_incremental(entity, exact, cfg=USD):
 def _upsert_columns(policy):
     def q(spark, sf_dir):
         target = staging_campaign(_src(spark, sf_dir, max_date=str(FIRST_LOAD)), USD)
-        second = _src(spark, sf_dir, max_date=str(SECOND_LOAD), conversions=False)
+        second = _src(spark, sf_dir, conversions=False)
         batch = staging_batch("campaign", second, USD, _max_date(target))
         return rounded(merge_by_key(target, batch, ["unique_key"], policy))
     return q

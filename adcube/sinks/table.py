@@ -8,6 +8,8 @@ rest of the table is not touched.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,12 @@ def merge_by_key(target: DataFrame, batch: DataFrame, keys: list[str], policy: s
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
-    kept = target.join(batch.select(*keys), on=keys, how="left_anti")
+    # A NULL key never matches, so those rows are kept without joining: left
+    # in the anti-join they would all hash to one shuffle partition (a hot
+    # task when many entities miss their dimension).
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    kept = (target.where(~any_null).join(batch.select(*keys), on=keys, how="left_anti")
+            .unionByName(target.where(any_null)))
     if policy == "append":
         return kept.unionByName(batch, allowMissingColumns=True)
     types = {f.name: f.dataType for f in batch.schema.fields}

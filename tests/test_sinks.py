@@ -75,3 +75,14 @@ def test_report_run_appends_and_replaces(spark, tmpdir_path):
     a = got.groupBy("date_granularity").agg(F.sum("clicks").alias("c")).collect()
     b = full.groupBy("date_granularity").agg(F.sum("clicks").alias("c")).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_enrich_large_hierarchy_keeps_null_keys(spark):
+    from adcube.operators.enrich import enrich
+    fact = spark.createDataFrame([(1, 10), (None, 20), (2, 30)], "ad_id long, clicks long")
+    dims = spark.createDataFrame([(1, "a"), (3, "c")], "ad_id long, ad_text string")
+    small = sorted(map(tuple, enrich(fact, dims, "ad_id", 100).select("ad_id", "clicks", "ad_text").collect()),
+                   key=str)
+    large = sorted(map(tuple, enrich(fact, dims, "ad_id", 1).select("ad_id", "clicks", "ad_text").collect()),
+                   key=str)
+    assert small == large == sorted([(1, 10, "a"), (None, 20, None), (2, 30, None)], key=str)
