@@ -77,25 +77,31 @@ def upsert_by_key(spark: SparkSession, batch: DataFrame, path: str, keys: list[s
                   policy: str = "append", partition_by=("date",)) -> str:
     """Upsert ``batch`` into the Parquet table at ``path``; returns what was done.
 
-    The merged partitions are checkpointed (to the session's
-    ``spark.checkpoint.dir``) before they are written back, so the write never
-    reads the files it replaces and a lost executor recomputes from the
-    checkpoint, not from the half-written table.  ``sync`` with a removed or
-    retyped column rewrites the whole table (rare; schema changes only).
+    The batch is checkpointed once (to the session's ``spark.checkpoint.dir``):
+    the touched partitions and the merge both read it, so the batch plan runs
+    once and a lost executor recomputes from the checkpoint.  The merge then
+    goes straight back to ``path`` with dynamic partition overwrite: its tasks
+    read the old files, which are replaced only when the job commits, and only
+    touched partitions are replaced.  A crash during the commit is repaired by
+    re-running: every touched partition is rebuilt from the batch window.
+    ``sync`` with a removed or retyped column rewrites the whole table (schema
+    changes only); that path checkpoints the merged rows, because a full
+    overwrite may not read its own target.
     """
     target = read_table(spark, path)
     if target is None:
         write_table(batch, path, partition_by)
         return "created"
     ensure_checkpoint_dir(spark)
+    batch = batch.checkpoint(eager=True)
     old_types = {f.name: f.dataType for f in target.schema.fields}
     new_types = {f.name: f.dataType for f in batch.schema.fields}
     reshaped = policy == "sync" and any(c not in new_types or new_types[c] != t for c, t in old_types.items())
-    scope = target if (reshaped or not partition_by) else target.where(_partition_predicate(batch, partition_by))
-    merged = merge_by_key(scope, batch, keys, policy).checkpoint(eager=True)
     if reshaped or not partition_by:
+        merged = merge_by_key(target, batch, keys, policy).checkpoint(eager=True)
         write_table(merged, path, partition_by)
         return "rewritten"
+    merged = merge_by_key(target.where(_partition_predicate(batch, partition_by)), batch, keys, policy)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
     return "upserted"
