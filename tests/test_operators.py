@@ -122,3 +122,44 @@ def test_quality_checks(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
     assert [tuple(r) for r in unique_violations(df, "k").collect()] == [("a", 2)]
     assert not_null_violations(df, "k").count() == 2
+
+
+goal_rows = st.lists(st.tuples(st.integers(0, 3), st.integers(1, 3),
+                               st.sampled_from(["Sign Up", "Buy (A/B)", "", None]),
+                               st.one_of(st.none(), st.integers(0, 9)), st.floats(0, 100, allow_nan=False)),
+                     min_size=1, max_size=30)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=goal_rows)
+def test_pivot_totals_equal_conversion_totals(spark, rows):
+    conv = spark.createDataFrame([(D(2024, 1, 1 + d), c, g, m, v) for d, c, g, m, v in rows],
+                                 "date date, campaign_id long, goal string, all_conversions long, all_revenue double")
+    goals = [g for g in ("Sign Up", "Buy (A/B)") if any(r[2] == g for r in rows)]
+    if not goals:
+        return
+    piv = pivot_goals(conv, ["date", "campaign_id"], goals, "all_conversions", "all_revenue").collect()
+    names = {"Sign Up": "signup", "Buy (A/B)": "buyab"}
+    for g in goals:
+        want = sum(r[3] or 0 for r in rows if r[2] == g)
+        want_v = sum(r[4] for r in rows if r[2] == g)
+        assert sum(p[names[g]] for p in piv) == want
+        assert abs(sum(p[names[g] + "_value"] for p in piv) - want_v) < 1e-6
+    assert len(piv) == len({(r[0], r[1]) for r in rows})  # every key with any conversion row, goal or not
+
+
+history_rows = st.lists(st.tuples(st.integers(1, 4), st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 99)),
+                        min_size=1, max_size=30)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=history_rows)
+def test_latest_versions_is_newest_subset(spark, rows):
+    df = spark.createDataFrame([(i, ts(t), v) for i, t, v in rows], "id long, modified_time timestamp_ntz, v long")
+    got = sorted(tuple(r) for r in latest_versions(df).collect())
+    newest = {}
+    for i, t, _ in rows:
+        if t is not None:
+            newest[i] = max(newest.get(i, t), t)
+    want = sorted((i, ts(t), v) for i, t, v in rows if t is not None and t == newest[i])
+    assert got == want
