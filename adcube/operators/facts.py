@@ -12,7 +12,7 @@ DAY_MEASURES = ("impressions", "clicks", "spend", "conversions", "all_conversion
                 "revenue", "all_revenue", "assists")
 
 
-def aggregate_day(insights: DataFrame, keys: list[str]) -> DataFrame:
+def aggregate_day(insights: DataFrame, keys: list[str], cluster_by: list[str] | None = None) -> DataFrame:
     """Sum the fixed measures per ``keys``; greatest currency code and sync time.
 
     Aggregating *before* the goal join keeps segment rows (device, network, ...)
@@ -22,9 +22,15 @@ def aggregate_day(insights: DataFrame, keys: list[str]) -> DataFrame:
     sort-based aggregate over every raw row.  The currency code is therefore
     made a grouping key of a first, hash-based aggregate (map-side combine,
     no sort); the string max then runs over one row per (keys, currency).
+
+    ``cluster_by`` (a subset of ``keys``, e.g. the goal-join keys) is the
+    partitioning of that second level: the same exchange then also serves the
+    join that follows, instead of a second shuffle of the day rows.
     """
     pre = insights.groupBy(*keys, "currency_code").agg(
         *[F.sum(m).alias(m) for m in DAY_MEASURES], F.max("_fivetran_synced").alias("_fivetran_synced"))
+    if cluster_by:
+        pre = pre.repartition(*cluster_by)
     return pre.groupBy(*keys).agg(
         *[F.sum(m).alias(m) for m in DAY_MEASURES],
         F.max("currency_code").alias("currency_code"),

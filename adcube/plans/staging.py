@@ -49,9 +49,10 @@ def staging_campaign(src: AdSources, cfg: EngineConfig, since: _dt.date | None =
     into both scans, through the aggregate and across the join key.
     """
     insights = _since(_insights(src, "campaign_report", CAMPAIGN_RAW_EXCLUDE), since)
-    agg = aggregate_day(insights, ["date", "account_id", "campaign_id"])
-    piv = goal_pivot(src.campaign_conversions, ["date", "campaign_id"], cfg, agg.columns)
-    rows = agg if piv is None else agg.join(piv, ["date", "campaign_id"], "left")
+    join_keys = ["date", "campaign_id"]
+    agg = aggregate_day(insights, ["date", "account_id", "campaign_id"], cluster_by=join_keys)
+    piv = goal_pivot(src.campaign_conversions, join_keys, cfg, agg.columns)
+    rows = agg if piv is None else agg.join(piv, join_keys, "left")
     if sync_time:  # max over raw rows == max over the day aggregate; avoids re-aggregating
         rows = with_last_updated(rows, insights, cfg.broadcast_max_rows)
     return rows.withColumn("unique_key", surrogate_key("campaign_id", "date"))
@@ -85,9 +86,10 @@ def staging_keyword(src: AdSources, cfg: EngineConfig, since: _dt.date | None =
     """
     keys = ["date", "account_id", "campaign_id", "ad_group_id", "keyword_id"]
     insights = _since(_insights(src, "keyword_report", KEYWORD_RAW_EXCLUDE), since)
-    agg = aggregate_day(insights, keys)
-    piv = goal_pivot(src.keyword_conversions, ["date", "ad_group_id", "keyword_id"], cfg, agg.columns)
-    rows = agg if piv is None else agg.join(piv, ["date", "ad_group_id", "keyword_id"], "left")
+    join_keys = ["date", "ad_group_id", "keyword_id"]
+    agg = aggregate_day(insights, keys, cluster_by=join_keys)
+    piv = goal_pivot(src.keyword_conversions, join_keys, cfg, agg.columns)
+    rows = agg if piv is None else agg.join(piv, join_keys, "left")
     if sync_time:
         rows = with_last_updated(rows, insights, cfg.broadcast_max_rows)
     return rows.withColumn("unique_key", surrogate_key("ad_group_id", "keyword_id", "date"))
