@@ -10,15 +10,16 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
-    ckpt = tempfile.mkdtemp(prefix="adcube-test-ckpt-")
+
+    from adcube.session import ensure_checkpoint_dir
     s = (SparkSession.builder.master("local[4]").appName("adcube-tests")
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(s, allow_local=True)  # keeps a configured spark.checkpoint.dir
     yield s
 
 
