@@ -48,3 +48,14 @@ def convert_money(df: DataFrame, rates: DataFrame | None, max_rows: int) -> Data
     j = df.join(r, df["date"] == r["_rate_date"], "left")
     return (j.withColumns({c: F.col(c).cast("double") / F.col("exchange_rate") for c in money})
             .drop("_rate_date", "exchange_rate"))
+
+
+def unconverted_rows(df: DataFrame, rates: DataFrame, max_rows: int) -> DataFrame:
+    """Rows of ``df`` whose day has no usable rate (their money converts to NULL).
+
+    Dates after ``as_of``, the first calendar day and days before the first
+    rate fall here; reports then show 0 for their money.  A left-anti join
+    against the (broadcast, calendar-sized) days that do have a rate.
+    """
+    known = rates.where(F.col("exchange_rate").isNotNull()).select("date")
+    return df.join(bounded_broadcast(known, max_rows), "date", "left_anti")

@@ -543,4 +543,8 @@ def oracle_sql() -> dict[str, str]:
         "quality_unique": QUALITY_UNIQUE,
         "quality_not_null": _quality_not_null_sql(),
         "declared_tests": _declared_tests_sql(),
+        "quality_missing_rates": with_(*(staging_sources() + [staging_campaign_cte(), CALENDAR_AND_RATES])) + """
+SELECT s.date, CAST(COUNT(*) AS BIGINT) AS n_rows FROM staging_campaign s
+WHERE NOT EXISTS (SELECT 1 FROM rates r WHERE r.date = s.date AND r.exchange_rate IS NOT NULL)
+GROUP BY s.date""",
     }

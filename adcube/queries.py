@@ -195,6 +195,15 @@ def q_quality_unique(spark, sf_dir):
     return unique_violations(staging_ad(_src(spark, sf_dir), USD), "unique_key")
 
 
+def q_quality_missing_rates(spark, sf_dir):
+    """Campaign-day rows per day whose money stays unconverted (EUR, as of AS_OF)."""
+    from .operators.currency import unconverted_rows
+    from .plans.reports import rates_for
+    src = _src(spark, sf_dir)
+    rows = unconverted_rows(staging_campaign(src, EUR), rates_for(src, EUR), EUR.broadcast_max_rows)
+    return rows.groupBy("date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def q_declared_tests(spark, sf_dir):
     from .plans.checks import declared_tests
     return declared_tests(_src(spark, sf_dir), USD)
@@ -246,4 +255,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_unique": q_quality_unique,
     "quality_not_null": q_quality_not_null,
     "declared_tests": q_declared_tests,
+    "quality_missing_rates": q_quality_missing_rates,
 }
