@@ -11,11 +11,11 @@ SF = "/root/testdata/sf0.001"
 def test_cli_daily_run(spark, tmpdir_path, capsys):
     raw = f"{tmpdir_path}/raw"
     src = testdata.ad_sources(spark, SF)
-    in_2000 = (F.col("date") >= F.lit("2000-01-01").cast("date")) & (F.col("date") <= F.lit("2000-03-31").cast("date"))
+    in_2000 = (F.col("date") >= F.lit("2000-01-01").cast("date")) & (F.col("date") <= F.lit("2000-01-31").cast("date"))
     for name, table in SOURCE_TABLES.items():
         df = getattr(src, name)
         if name.endswith("report") or name.endswith("conversions"):
-            df = df.where(in_2000)  # one quarter of facts keeps the day-partitioned writes small
+            df = df.where(in_2000)  # one month of facts keeps the day-partitioned writes small
         df.write.parquet(f"{raw}/{table}")
     target = f"{tmpdir_path}/wh"
     args = ["--source-parquet", raw, "--target", target, "--entities", "campaign", "ad"]
