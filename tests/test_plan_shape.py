@@ -36,3 +36,21 @@ def test_incremental_cut_is_pushed_to_the_scan(spark):
     df = staging_campaign(testdata.ad_sources(spark, SF), EngineConfig(goals=()), since=dt.date(2000, 1, 1))
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "l_shipdate" in p and "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in p
+
+
+def test_rollup_shuffles_only_partial_aggregates(spark):
+    """A hot entity is combined in every map task before the single shuffle."""
+    from pyspark.sql import functions as F
+
+    from adcube.operators.rollup import period_rollup
+    hot = spark.range(1000).select(F.lit(1).cast("long").alias("campaign_id"),  # one key holds every row
+                                   F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 40).cast("int"))
+                                   .alias("date"), F.col("id").alias("clicks"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = period_rollup(hot, ["campaign_id"], ["clicks"])
+        p = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert p.count("Exchange") == 1 and "partial_sum" in p
+    assert out.where("date_granularity = 'year'").first()["clicks"] == sum(range(1000))
