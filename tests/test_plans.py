@@ -66,3 +66,14 @@ def test_tune_for_scale(spark):
     assert int(conf["spark.sql.shuffle.partitions"]) == 100_000  # clamped
     assert tune_for_scale(spark, 10 << 30)["spark.sql.shuffle.partitions"] == "200"
     spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_from_parquet_missing_conversion_report(spark, tmpdir_path):
+    from adcube.sources.catalog import SOURCE_TABLES, AdSources
+    src = testdata.ad_sources(spark, SF)
+    for name in ("campaign_report", "campaigns", "accounts"):
+        getattr(src, name).write.parquet(f"{tmpdir_path}/{SOURCE_TABLES[name]}")
+    loaded = AdSources.from_parquet(spark, tmpdir_path)
+    assert loaded.campaign_conversions is None and loaded.ads is None
+    cols = staging_campaign(loaded, EngineConfig()).columns
+    assert not [c for c in cols if c.endswith("_value")]
