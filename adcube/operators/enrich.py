@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_log = logging.getLogger("adcube.broadcast")
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True if ``df`` has at most ``max_rows`` rows; stops counting past the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    n = df.limit(max_rows + 1).count()
+    _log.info("size check: %s rows%s (bound %d) -> %s", n, "+" if n > max_rows else "", max_rows,
+              "broadcast" if n <= max_rows else "shuffle join")
+    return n <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
