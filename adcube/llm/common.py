@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK_BYTES = 4 << 20
 
@@ -92,7 +93,7 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         row = end
 
 
-def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch, int, int, np.ndarray, np.ndarray], pa.RecordBatch | None], schema: str, text: str = "text") -> DataFrame:
+def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch, int, int, np.ndarray, np.ndarray], pa.RecordBatch | None], schema: str | T.StructType, text: str = "text") -> DataFrame:
     """Apply ``fn(batch, first, end, bytes, offsets)`` to every chunk of the text column."""
 
     def run(batches):
