@@ -11,8 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import superkmer
-from .common import table
+from . import context_tree, hyperminhash, personal, toxicity, superkmer, winnowing
+from .common import id_remainder, table
+
+
+def op2_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = personal.find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    counts = [F.size(F.expr(f"filter(spans, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in personal.KINDS]
+    return out.select("doc_id", *counts, F.sha2(personal.as_text(base), 256).alias("base_sha256"), personal.as_text(F.col("spans")).alias("spans"))
+
+
+def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(table(spark, sf_dir, "documents"), id_remainder("doc_id", 7) == 2)
 
 
 def op4_superkmer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +31,29 @@ def op4_superkmer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder("doc_id", 5) == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.classify(docs, toxicity.train(docs, labels), carry=["doc_id"])
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_personal": op2_personal,
+    "op3_context_tree": op3_context_tree,
     "op4_superkmer": op4_superkmer,
+    "op5_winnowing": op5_winnowing,
+    "op6_toxicity": op6_toxicity,
+    "op9_hyperminhash": op9_hyperminhash,
 }
