@@ -149,13 +149,13 @@ def hash_words(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     h = mix((h ^ np.where(left > 0, v & keep[left], v)) * _M1)
     todo = np.flatnonzero(size > 8)
     k = 8
-    while len(todo) and k < 64:
+    while len(todo) and k < 256:
         rest = size[todo] - k
         v = lanes[start[todo] + k]
         h[todo] = mix((h[todo] ^ np.where(rest < 8, v & keep[np.minimum(rest, 7)], v)) * _M1)
         todo = todo[rest > 8]
         k += 8
-    for i in todo:  # rare: words of over 64 bytes
+    for i in todo:  # rare: words of over 256 bytes
         h[i] = np.uint64(xxhash.xxh3_64_intdigest(raw[start[i] : end[i]].tobytes()))
     return h
 
