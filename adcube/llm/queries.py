@@ -11,10 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import context_tree, hyperminhash, personal, toxicity, superkmer, winnowing
+from . import context_tree, hyperminhash, licenses, personal, pieces, secrets, superkmer, toxicity, weak_supervision, winnowing
 from .common import id_remainder, table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan(table(spark, sf_dir, "documents"), path_col="source")
+    return out.select("doc_id", "word", F.length("value").cast("long").alias("length"), F.sha2("value", 256).alias("value_sha256"), "probability", "secret")
+
+
 def op2_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = personal.find(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] != "term")
@@ -44,16 +49,40 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.load()
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    out = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
+def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = weak_supervision.judge(table(spark, sf_dir, "documents"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & (F.col("quality") >= weak_supervision.KEEP)).alias("kept"))
+
+
 def op9_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents lie at source/lang/hundred/id."""
+    path = F.concat_ws("/", "source", "lang", F.expr("doc_id div 100"), "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    return licenses.scan(docs).withColumn("similarity", F.round("similarity", 6))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op2_personal": op2_personal,
     "op3_context_tree": op3_context_tree,
     "op4_superkmer": op4_superkmer,
     "op5_winnowing": op5_winnowing,
     "op6_toxicity": op6_toxicity,
+    "op7_pieces": op7_pieces,
+    "op8_weak_supervision": op8_weak_supervision,
     "op9_hyperminhash": op9_hyperminhash,
+    "op10_licenses": op10_licenses,
 }

@@ -149,7 +149,7 @@ def extend(pairs: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, gram: int = GRAM, bits: int = BITS) -> DataFrame:
-    """``doc_id, n_words, n_hit, items`` (ids as text, sorted) for every row of ``docs``.
+    """``doc_id, text_key, n_words, n_hit, items`` (ids as text, sorted) for every row of ``docs``.
 
     A word counts as hit inside any occurrence of a window of an item.  Null and
     empty texts have no words and no windows; rows that repeat an item id count
@@ -173,7 +173,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         lambda acc: acc["n"].cast("long"),
     )
     by_doc = by_doc.withColumn("n_hit", covered)
-    return found.join(by_doc, same_row(found, by_doc), "left").select(found["doc_id"], "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return found.join(by_doc, same_row(found, by_doc), "left").select(found["doc_id"], found["text_key"], "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def _slots(tests: DataFrame, bits: int) -> DataFrame:
