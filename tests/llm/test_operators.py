@@ -1,0 +1,355 @@
+"""Every operator against a plain version, on awkward and on empty tables."""
+
+import math
+from collections import Counter
+
+import data
+import plain
+import pytest
+from pyspark.sql import functions as F
+
+from adcube.llm import context_tree, hyperminhash, licenses, personal, pieces, queries, secrets, superkmer, toxicity, weak_supervision, winnowing
+from adcube.llm.common import id_remainder
+
+
+def pairs(rows):
+    return [(r[0], r[1]) for r in rows]
+
+
+def same(found, expected):
+    assert Counter(found) == Counter(expected)
+
+
+@pytest.fixture(scope="module")
+def docs(llm):
+    return data.documents(llm).cache()
+
+
+@pytest.fixture(scope="module")
+def texts():
+    return data.texts()
+
+
+# ------------------------------------------------------------------ 1 secrets
+
+def test_secrets_found_and_numbers_left(llm, docs):
+    found = {(r.doc_id, r.value): r.secret for r in secrets.scan(docs, path_col="source").collect()}
+    assert found[15, "04dbebab91ab85687d33eeaaf9ac699e1188f962"]
+    assert not found[15, "4785380592391139"]
+
+
+def test_secrets_without_labels_of_both_classes_remove_nothing(llm):
+    docs = llm.createDataFrame([(1, "number 4785380592391139 only")], "doc_id long, text string")
+    assert [(r.probability, r.secret) for r in secrets.scan(docs).collect()] == [(1.0, True)]
+
+
+def test_redact_keeps_rows_and_columns(llm, docs):
+    out = secrets.redact(docs, secrets.scan(docs, path_col="source"))
+    assert out.columns == docs.columns and out.count() == docs.count()
+    by_id = {r.doc_id: r.text for r in out.collect()}
+    assert by_id[15] == 'token = "[secret]" and 4785380592391139 here'
+    before = {r.doc_id: r.text for r in docs.collect()}
+    assert all(by_id[i] == before[i] for i in by_id if i not in (15, 6, None))
+
+
+# ----------------------------------------------------------------- 2 personal
+
+def test_personal_base_spans(llm, docs, texts):
+    found = [(r.doc_id, r.s) for r in personal.find(docs).select("doc_id", personal.as_text(F.expr("filter(spans, s -> s.kind != 'term')")).alias("s")).collect()]
+    same(found, [(i, plain.personal(t)) for i, t in texts])
+
+
+def test_disclosing_terms_are_generalised_or_removed(llm):
+    rows = [(i, f"{a} Zanzibari {b} ask zoe@corp.example {c} often") for i, (a, b, c) in enumerate([("red", "house", "now"), ("blue", "garden", "then"), ("green", "tower", "soon")])]
+    rows += [(10 + i, f"word{'abcdefghij'[i % 10]} often plain text {data.prose(20, i)}") for i in range(60)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    found = personal.find(docs)
+    terms = {r.doc_id: [docs_text(rows, r.doc_id)[s.start : s.end] for s in r.spans if s.kind == "term"] for r in found.collect()}
+    assert all("Zanzibari" in terms[i] for i in range(3))
+    assert all("often" not in t for t in terms.values())
+    clean = {r.doc_id: r.text for r in personal.sanitised(docs, found).collect()}
+    assert clean[0] == "red  house ask [email] now often"
+
+
+def docs_text(rows, doc_id):
+    return dict(rows)[doc_id]
+
+
+def test_copies_of_one_text_reveal_nothing(llm):
+    rows = [(i, "the Zanzibari ask zoe@corp.example now") for i in range(9)] + [(100 + i, data.prose(20, i)) for i in range(50)]
+    found = personal.find(llm.createDataFrame(rows, "doc_id long, text string"))
+    assert found.where("exists(spans, s -> s.kind = 'term')").count() == 0
+
+
+# -------------------------------------------------------------- 3 context tree
+
+def test_base_scores_and_sent_or_joined_tables(llm, docs, texts):
+    held_out = id_remainder("doc_id", 7) == 2
+    sent = context_tree.score(docs, held_out).collect()
+    same([(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in sent], plain.unigram(texts))
+    joined = context_tree.score(docs, held_out, sent_rows=0, frequent=2).collect()
+    same([(r.doc_id, r.n_bytes, r.n_known, round(r.base_score, 5), round(r.score, 5)) for r in joined], [(r.doc_id, r.n_bytes, r.n_known, round(r.base_score, 5), round(r.score, 5)) for r in sent])
+    assert all(r.score == 0 and r.n_tokens == 1 for r in sent if r.n_bytes == 0)
+
+
+def test_tree_against_plain_recursion(llm):
+    """Weighted probabilities by the definition, node by node."""
+    train, test = ["abab abba", "baab ab"], "abba b"
+    rows = [(k, t, False) for k, t in enumerate(train)] + [(9, test, True)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, out boolean")
+    found = {r.doc_id: r.score for r in context_tree.score(docs, F.col("doc_id") == 9).collect()}
+    depth = context_tree.ORDER
+    nodes: dict = {}
+
+    def steps(text):
+        raw = b"\n" * depth + text.encode()
+        for p in range(depth, len(raw)):
+            for shift in range(8):
+                prefix = (1 << shift) | (raw[p] >> (8 - shift))
+                yield raw[p - depth : p], prefix, (raw[p] >> (7 - shift)) & 1
+
+    for t in train:
+        for context, prefix, bit in steps(t):
+            for d in range(depth + 1):
+                nodes.setdefault((context[depth - d :], prefix), [0, 0])[bit] += 1
+
+    def kt(a, b):
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - 2 * math.lgamma(0.5) - math.lgamma(a + b + 1)
+
+    def product(context, prefix):
+        return sum(weighted(c, p) for c, p in nodes if p == prefix and len(c) == len(context) + 1 and c[1:] == context)
+
+    def weighted(context, prefix):
+        own = kt(*nodes.get((context, prefix), (0, 0)))
+        if len(context) == depth:
+            return own
+        below = product(context, prefix)
+        return math.log((math.exp(own) + math.exp(below)) / 2)
+
+    def chance(context, prefix, bit, d):
+        n = nodes.get((context[depth - d :], prefix), (0, 0))
+        estimate = (n[bit] + 0.5) / (sum(n) + 1)
+        if d == depth:
+            return estimate
+        own, below = kt(*n), product(context[depth - d :], prefix)
+        share = math.exp(own) / (math.exp(own) + math.exp(below))
+        return share * estimate + (1 - share) * chance(context, prefix, bit, d + 1)
+
+    expected = sum(math.log10(chance(c, p, b, 0)) for c, p, b in steps(test))
+    assert found[9] == pytest.approx(expected, abs=1e-9)
+
+
+# ---------------------------------------------------------------- 4 super-k-mer
+
+@pytest.mark.parametrize("hot", [superkmer.HOT, 1])
+def test_repeats_removed(llm, docs, texts, hot):
+    out = superkmer.remove_repeats(docs, hot=hot).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256))
+    same([tuple(r) for r in out.collect()], plain.repeats(texts))
+
+
+def test_full_bitmap_changes_nothing(llm, docs, texts):
+    out = superkmer.remove_repeats(docs, bits=8).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256))
+    same([tuple(r) for r in out.collect()], plain.repeats(texts))
+
+
+# ------------------------------------------------------------------ 5 winnowing
+
+def contract5(out):
+    return [tuple(r) for r in out.select("doc_id", "n_words", "n_hit", F.size("items"), F.sha2(F.concat_ws(",", "items"), 256), F.col("n_hit") > 0).collect()]
+
+
+@pytest.mark.parametrize("bits", [winnowing.BITS, 6])
+def test_contamination(llm, docs, texts, bits):
+    same(contract5(winnowing.decontaminate(docs, data.items(llm), bits=bits)), plain.contaminated(texts, data.benchmark()))
+
+
+def test_no_items_hit_nothing(llm, docs):
+    out = winnowing.decontaminate(docs, data.items(llm, False))
+    assert out.count() == docs.count() and out.where("n_hit > 0").count() == 0
+
+
+# ------------------------------------------------------------------- 6 toxicity
+
+def test_toxicity_learns_insults(llm):
+    rows = [(k, f"{data.prose(60, k)} {'you idiot' if k % 3 == 0 else ''} {data.prose(30, k + 900)}") for k in range(300)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    labels = llm.createDataFrame([(k, int(k % 3 == 0)) for k in range(200)], "doc_id long, toxic int")
+    out = toxicity.classify(docs, toxicity.train(docs, labels)).collect()
+    right = sum((r.score >= 0.5) == (r.doc_id % 3 == 0) for r in out if r.doc_id >= 200)
+    assert right >= 97
+
+
+def test_toxicity_awkward_tables(llm, docs):
+    model = toxicity.train(docs, data.marks(llm))
+    out = toxicity.classify(docs, model, score_col="toxicity")
+    assert out.columns == [*docs.columns, "toxicity"] and out.count() == docs.count()
+    assert out.where("toxicity is null or toxicity < 0 or toxicity > 1").count() == 0
+    empty = out.where("doc_id in (1, 2)").select("toxicity").distinct().collect()
+    assert len(empty) == 1
+    none = toxicity.train(docs, data.marks(llm, False))
+    assert toxicity.classify(docs, none, score_col="toxicity").where("toxicity >= 0.5").count() == 0
+
+
+def test_toxicity_sample_bound_keeps_both_classes(llm):
+    rows = [(k, ("idiot " if k % 2 else "") + data.prose(40, k)) for k in range(80)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    labels = llm.createDataFrame([(k, k % 2) for k in range(80)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, toxic=10, other=10)
+    out = toxicity.classify(docs, model).collect()
+    assert sum((r.score >= 0.5) == bool(r.doc_id % 2) for r in out) >= 76
+
+
+# --------------------------------------------------------------------- 7 pieces
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return pieces.load()
+
+
+def test_round_trip(llm, docs, vocabulary):
+    out = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    assert out.where("not (decoded <=> coalesce(text, ''))").count() == 0 and out.count() == docs.count()
+    assert out.columns == [*docs.columns, "ids", "decoded"]
+
+
+def plain_viterbi(text, v, sp):
+    score = {sp.id_to_piece(i): (sp.get_score(i), i) for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))}
+    text = "▁" + text.replace("▁", "\0").replace(" ", "▁")
+    best, back = [0.0], [None]
+    for end in range(1, len(text) + 1):
+        top = None
+        for length in range(1, min(end, 16) + 1):
+            piece = text[end - length : end]
+            s, i = score.get(piece, (v.unknown, -1) if length == 1 else (None, None))
+            if s is not None and (top is None or best[end - length] + s >= top[0]):
+                top = (best[end - length] + s, length, i)
+        best.append(top[0]), back.append(top)
+    ids, end = [], len(text)
+    while end:
+        _, length, i = back[end]
+        ids = ([i] if i >= 0 else [3 + b for b in text[end - 1].replace("\0", "▁").encode()]) + ids
+        end -= length
+    return ids
+
+
+def test_segmentation_is_the_best(llm, vocabulary, whole):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    rows = [(i, t[:600]) for i, t in whole[0][:60]] + [(1000, "日本語 ▁▁ a  b"), (1001, "x" * 900), (1002, " lead"), (1003, "w" * 399 + " " + "w" * 399)]
+    out = pieces.encode(llm.createDataFrame(rows, "doc_id long, text string"), vocabulary).collect()
+    assert all(r.ids == plain_viterbi(r.text, vocabulary, sp) for r in out)
+    assert pieces.decode(llm.createDataFrame([(1, None)], "doc_id long, ids array<int>"), vocabulary).collect()[0].decoded is None
+
+
+# --------------------------------------------------------- 8 weak supervision
+
+def test_quality_counts(llm, docs, texts):
+    out = weak_supervision.judge(docs, rounds=3)
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    found = [tuple(r) for r in out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed).collect()]
+    same(found, [(i, *plain.quality_counts(t)) for i, t in texts])
+
+
+def test_estimation_finds_the_weak_rules(llm):
+    """Two rules that tell, one that votes at random: the posterior follows the two."""
+    rows = [(1 if k % 4 else -1, 1 if k % 4 else (-1 if k % 8 else 1), 1 if k % 3 else -1) for k in range(400)]
+    votes = llm.createDataFrame(rows, "a int, b int, c int")
+    model = weak_supervision.estimate(votes, ["a", "b", "c"], rounds=15)
+    assert model["a", -1, 0] > 0.8 and model["a", -1, 1] < 0.2
+    assert abs(model["c", -1, 0] - model["c", -1, 1]) < 0.2
+    judged = votes.withColumn("q", weak_supervision.chance(weak_supervision.log_odds(["a", "b", "c"], model)))
+    assert judged.where("(a = 1) != (q >= 0.5)").count() == 0
+
+
+def test_quality_of_nothing(llm):
+    assert weak_supervision.judge(data.no_documents(llm)).count() == 0
+
+
+# ---------------------------------------------------------------- 9 near copies
+
+def test_near_duplicates(llm, docs, texts):
+    out = hyperminhash.near_duplicates(docs)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    same([tuple(r) for r in out.select("doc_id", "n_shingles", "component_id", kept).collect()], plain.near(texts))
+
+
+def test_chain_of_near_copies_is_one_component(llm):
+    base = data.prose(120, 77).split()
+    rows = []
+    for k in range(12):
+        rows.append((k, " ".join(base)))
+        base = list(base)
+        base[5 + 9 * k] = f"new{k}"
+    rows += [(100 + k, data.prose(120, 200 + k)) for k in range(5)]
+    out = {r.doc_id: r for r in hyperminhash.near_duplicates(llm.createDataFrame(rows, "doc_id long, text string")).collect()}
+    same([(i, r.n_shingles, r.component_id, r.representative) for i, r in out.items()], plain.near(rows))
+
+
+def test_estimate_is_corrected_for_collisions():
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    sets = [np.sort(r.integers(0, 1 << 63, 500, dtype=np.uint64)) for _ in range(40)]
+    regs = hyperminhash.registers(sets)
+    equal = np.mean([(regs[a] == regs[b]).mean() for a in range(40) for b in range(a)])
+    assert equal == pytest.approx(float(hyperminhash.collisions(np.array(500), np.array(500))), abs=2e-4)
+
+
+# ------------------------------------------------------------------ 10 licences
+
+def test_licences_and_inheritance(llm):
+    rows = [
+        (1, "a/LICENSE", licenses.TEMPLATES["MIT"][2] + "\n" + data.prose(30, 1)),
+        (2, "a/b/c.txt", "no word of it"),
+        (3, "a/b/d/e.txt", "# Licensed under the Apache License, Version 2.0.\n" + data.prose(200, 2)),
+        (4, "a/b/d/f.txt", ""),
+        (5, "x/y.txt", None),
+        (6, None, "Released under the MIT License.\n" + data.prose(100, 3)),
+        (7, "top.txt", "text"),
+        (8, "a/z/COPYING", "Licensed under CC BY-NC 4.0."),
+        (8, "a/z/COPYING", "Licensed under CC BY-NC 4.0."),
+        (9, "a/z/deep/er/file", "text"),
+        (None, "a/z/q", "the licence of my heart is red"),
+    ]
+    out = licenses.scan(llm.createDataFrame(rows, "doc_id long, path string, text string"))
+    found = Counter((r.doc_id, r.own_licence, r.licence, r.licensed_by) for r in out.collect())
+    assert found == Counter([
+        (1, "MIT", "MIT", "a/LICENSE"),
+        (2, None, "MIT", "a"),
+        (3, "Apache-2.0", "Apache-2.0", "a/b/d/e.txt"),
+        (4, None, "MIT", "a"),
+        (5, None, None, None),
+        (6, "MIT", "MIT", None),
+        (7, None, None, None),
+        (8, "CC-BY-NC-4.0", "CC-BY-NC-4.0", "a/z/COPYING"),
+        (8, "CC-BY-NC-4.0", "CC-BY-NC-4.0", "a/z/COPYING"),
+        (9, None, "CC-BY-NC-4.0", "a/z"),
+        (None, None, "CC-BY-NC-4.0", "a/z"),
+    ])
+
+
+# ---------------------------------------------------------------- all operators
+
+def test_awkward_rows_keep_their_number(llm, docs):
+    paths = docs.withColumn("path", F.concat_ws("/", "source", "doc_id"))
+    assert licenses.scan(paths).count() == docs.count()
+    assert personal.sanitised(docs, personal.find(docs)).count() == docs.count()
+
+
+def test_empty_tables(llm):
+    none = data.no_documents(llm)
+    assert secrets.scan(none).count() == 0
+    assert personal.find(none).count() == 0
+    assert context_tree.score(none, id_remainder("doc_id", 7) == 2).count() == 0
+    assert superkmer.remove_repeats(none).count() == 0
+    assert winnowing.decontaminate(none, data.items(llm)).count() == 0
+    assert toxicity.classify(none, toxicity.train(none, data.marks(llm)), carry=["doc_id"]).count() == 0
+    vocabulary = pieces.load()
+    assert pieces.decode(pieces.encode(none, vocabulary), vocabulary).count() == 0
+    assert hyperminhash.near_duplicates(none).count() == 0
+    assert licenses.scan(none).count() == 0
+
+
+def test_ten_queries_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
