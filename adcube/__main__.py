@@ -1,7 +1,8 @@
 """Command-line daily run: stage, report, (optionally) middle tables, then data tests.
 
     python -m adcube --source-parquet s3://raw/ads --target s3://warehouse/ads \
-        [--currency EUR] [--entities campaign ad keyword] [--full-refresh] [--exact] [--middle]
+        [--currency EUR] [--entities campaign ad keyword] [--full-refresh] [--strict] [--middle] \\
+        [--goals "Sign up" Purchase] [--exclude column ...] [--publish reporting]
 
 Each entity's staging table is upserted first and its report is then built
 from the *written* staging table (so the report never re-joins raw rows).
@@ -22,7 +23,7 @@ from .plans.checks import DECLARED_TESTS, key_test_counts
 from .plans.incremental import run_report, run_staging
 from .plans.reports import middle, report_table_name
 from .session import ensure_checkpoint_dir
-from .sinks.table import read_table, write_table
+from .sinks.table import publish, read_table, write_table
 from .sources.catalog import AdSources
 from .plans import dims
 
@@ -41,7 +42,10 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--lookback-days", type=int, default=31)
     p.add_argument("--as-of", type=_dt.date.fromisoformat, default=None)
     p.add_argument("--namespace", default="")
-    p.add_argument("--exact", action="store_true", help="corrected semantics instead of strict reproduction")
+    p.add_argument("--strict", action="store_true", help="reproduce the reference's known defects")
+    p.add_argument("--goals", nargs="*", default=None, help="conversion goals; default: those found in the reports")
+    p.add_argument("--exclude", nargs="*", default=[], help="further raw report columns to leave out")
+    p.add_argument("--publish", default=None, help="catalog database that the written tables are registered in")
     p.add_argument("--full-refresh", action="store_true")
     p.add_argument("--middle", action="store_true", help="also rebuild the converted day-fact tables")
     p.add_argument("--skip-tests", action="store_true")
@@ -51,26 +55,25 @@ def parse_args(argv=None) -> argparse.Namespace:
 def main(argv=None) -> int:
     a = parse_args(argv)
     spark = SparkSession.builder.appName("adcube").getOrCreate()
-    ensure_checkpoint_dir(spark)  # upserts cut lineage there; must be shared storage
+    ensure_checkpoint_dir(spark)  # small intermediate results go there
     cfg = EngineConfig(currency=a.currency, week_start=a.week_start, conversion_measure=a.conversion_measure,
-                       lookback_days=a.lookback_days, as_of=a.as_of, namespace=a.namespace, strict=not a.exact)
+                       lookback_days=a.lookback_days, as_of=a.as_of, namespace=a.namespace, strict=a.strict,
+                       goals=None if a.goals is None else tuple(a.goals), extra_exclude=tuple(a.exclude))
     src = (AdSources.from_catalog(spark, a.source_db) if a.source_db
            else AdSources.from_parquet(spark, a.source_parquet))
     root = a.target.rstrip("/")
     for entity in a.entities:
         stg_path = f"{root}/staging_{entity}"
-        if a.full_refresh:
-            from .plans.staging import STAGING
-            write_table(STAGING[entity](src, cfg), stg_path, ("date",))
-            print(f"staging_{entity}: rebuilt")
-        else:
-            print(f"staging_{entity}: {run_staging(spark, entity, src, cfg, stg_path)}")
+        print(f"staging_{entity}: {run_staging(spark, entity, src, cfg, stg_path, full_refresh=a.full_refresh)}")
         staging = read_table(spark, stg_path)
         rep_path = f"{root}/{report_table_name(entity, cfg)}"
         print(f"{report_table_name(entity, cfg)}: "
               f"{run_report(spark, entity, src, cfg, rep_path, staging=staging, full_refresh=a.full_refresh)}")
         if a.middle:
             write_table(middle(entity, src, cfg, staging=staging), f"{root}/middle_{entity}", ("date",))
+        if a.publish:
+            publish(spark, stg_path, f"{a.publish}.staging_{entity}")
+            publish(spark, rep_path, f"{a.publish}.{report_table_name(entity, cfg)}")
     if a.skip_tests:
         return 0
     built = {name: dims.dimension(getattr(src, name), name)

@@ -28,10 +28,12 @@ class EngineConfig:
     """Parameters shared by every plan.
 
     ``as_of`` replaces ``current_date`` in the exchange-rate calendar so runs are
-    reproducible; ``None`` means today.  ``strict`` selects bit-for-bit reference
-    behaviour where the reference has a known defect (see README "Semantics").
-    ``max_goals`` guards the data-dependent goal schema: discovery fails loudly
-    above it instead of building thousands of columns.
+    reproducible; ``None`` means today.  By default runs are exact: an
+    incremental run gives what a full refresh gives.  ``strict`` selects
+    bit-for-bit reference behaviour where the reference has a known defect (see
+    README "Semantics").  ``max_goals`` (``None``: no bound) makes goal discovery
+    fail above so many goals.  ``extra_exclude`` names further raw report columns
+    that no table carries.
     """
 
     currency: str = DEFAULT_CURRENCY
@@ -40,11 +42,9 @@ class EngineConfig:
     lookback_days: int = DEFAULT_LOOKBACK_DAYS
     as_of: _dt.date | None = None
     namespace: str = ""
-    strict: bool = True
-    max_goals: int = 500
-    # Row bound under which a dimension / rate table is broadcast; above it the
-    # join falls back to a shuffle join (AQE may still convert it at run time).
-    broadcast_max_rows: int = 500_000
+    strict: bool = False
+    max_goals: int | None = None
+    extra_exclude: tuple[str, ...] = ()
     goals: tuple[str, ...] | None = field(default=None)
 
     def __post_init__(self) -> None:

@@ -7,8 +7,6 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .enrich import bounded_broadcast
-
 # Money columns converted to the reporting currency (besides any
 # column whose name contains "_value").
 MONEY_COLUMNS = ("spend", "revenue", "all_revenue")
@@ -36,7 +34,7 @@ def exchange_rates(calendar: DataFrame, currency: DataFrame, code: str,
                        F.last("raw_rate", ignorenulls=True).over(prev).alias("exchange_rate")).distinct()
 
 
-def convert_money(df: DataFrame, rates: DataFrame | None, max_rows: int) -> DataFrame:
+def convert_money(df: DataFrame, rates: DataFrame | None) -> DataFrame:
     """Money columns as double divided by the day's rate; ``rates=None`` means USD (÷1).
 
     A day without a rate gives NULL money (reports turn it into 0).
@@ -44,18 +42,18 @@ def convert_money(df: DataFrame, rates: DataFrame | None, max_rows: int) -> Data
     money = [c for c in df.columns if is_money(c)]
     if rates is None:
         return df.withColumns({c: F.col(c).cast("double") for c in money})
-    r = bounded_broadcast(rates.select(F.col("date").alias("_rate_date"), "exchange_rate"), max_rows)
+    r = rates.select(F.col("date").alias("_rate_date"), "exchange_rate")
     j = df.join(r, df["date"] == r["_rate_date"], "left")
     return (j.withColumns({c: F.col(c).cast("double") / F.col("exchange_rate") for c in money})
             .drop("_rate_date", "exchange_rate"))
 
 
-def unconverted_rows(df: DataFrame, rates: DataFrame, max_rows: int) -> DataFrame:
+def unconverted_rows(df: DataFrame, rates: DataFrame) -> DataFrame:
     """Rows of ``df`` whose day has no usable rate (their money converts to NULL).
 
     Dates after ``as_of``, the first calendar day and days before the first
     rate fall here; reports then show 0 for their money.  A left-anti join
-    against the (broadcast, calendar-sized) days that do have a rate.
+    against the calendar-sized days that do have a rate.
     """
     known = rates.where(F.col("exchange_rate").isNotNull()).select("date")
-    return df.join(bounded_broadcast(known, max_rows), "date", "left_anti")
+    return df.join(known, "date", "left_anti")

@@ -1,31 +1,32 @@
-"""Size-checked broadcasts and the dimension-chain enrichment join."""
+"""Left joins to dimensions and small keyed tables, without hints."""
 
 from __future__ import annotations
 
-import logging
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Rows with a NULL key are dealt to so many hash values.
+NULL_SPREAD = 4096
 
-_log = logging.getLogger("adcube.broadcast")
 
+def left_join(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows ⟕ other USING keys``; rows with a NULL key keep their place but spread out.
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; stops counting past the bound."""
-    n = df.limit(max_rows + 1).count()
-    _log.info("size check: %s rows%s (bound %d) -> %s", n, "+" if n > max_rows else "", max_rows,
-              "broadcast" if n <= max_rows else "shuffle join")
-    return n <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only for a side proven to hold at most ``max_rows`` rows.
-
-    Above the bound the hint is withheld and the join stays a shuffle join
-    (sort-merge, with AQE skew splitting); AQE can still demote it at run time.
+    A NULL key matches nothing, yet a shuffle join hashes all of them to one
+    task.  A second key, equal on both sides for real keys and a hash of the
+    whole row for NULL ones, deals them out.  No hint: planner and AQE broadcast
+    ``other`` by its size in bytes, and split skewed keys otherwise.
     """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    def any_null(df):
+        return reduce(lambda a, b: a | b, [df[k].isNull() for k in keys])
+
+    spread = F.when(any_null(rows), F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.lit(NULL_SPREAD).cast("long")) + 1)
+    left = rows.withColumn("_spread", spread.otherwise(F.lit(0).cast("long")))
+    # 0 for every row, but not a constant that the optimizer would fold out of the join key
+    right = other.withColumn("_spread", F.pmod(F.xxhash64(*[other[k] for k in keys]), F.lit(1).cast("long")))
+    return left.join(right, [*keys, "_spread"], "left").drop("_spread")
 
 
 def dimension_chain(levels: list[tuple[DataFrame, str]]) -> DataFrame:
@@ -44,16 +45,10 @@ def dimension_chain(levels: list[tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
-def enrich(fact: DataFrame, hierarchy: DataFrame, key: str, max_rows: int) -> DataFrame:
+def enrich(fact: DataFrame, hierarchy: DataFrame, key: str) -> DataFrame:
     """``fact ⟕ hierarchy USING key``.
 
     Equivalent to joining each level to the fact in turn (left joins on keys
-    of the previous level associate), but the fact is joined only once.  When
-    the hierarchy is too large to broadcast, fact rows with a NULL key (which
-    cannot match) bypass the shuffle join instead of piling into one task.
+    of the previous level associate), but the fact is joined only once.
     """
-    if row_count_at_most(hierarchy, max_rows):
-        return fact.join(F.broadcast(hierarchy), key, "left")
-    null_key = F.col(key).isNull()
-    matched = fact.where(~null_key).join(hierarchy, key, "left")
-    return matched.unionByName(fact.where(null_key), allowMissingColumns=True)
+    return left_join(fact, hierarchy, [key])

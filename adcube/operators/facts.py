@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .enrich import bounded_broadcast
+from ..session import written
 
 # The measures summed by the campaign and keyword staging facts.
 DAY_MEASURES = ("impressions", "clicks", "spend", "conversions", "all_conversions",
@@ -37,7 +37,7 @@ def aggregate_day(insights: DataFrame, keys: list[str], cluster_by: list[str] |
         F.max("_fivetran_synced").alias("_fivetran_synced"))
 
 
-def with_last_updated(rows: DataFrame, source: DataFrame, max_rows: int,
+def with_last_updated(rows: DataFrame, source: DataFrame,
                       partition_col: str = "account_id", ts_col: str = "_fivetran_synced",
                       out_col: str = "last_updated") -> DataFrame:
     """Add ``max(ts_col) over (partition by partition_col)`` to ``rows``.
@@ -46,11 +46,13 @@ def with_last_updated(rows: DataFrame, source: DataFrame, max_rows: int,
     ``rows`` (max ignores duplicates), typically the pre-join side.  Written
     as aggregate + null-safe join instead of a window: a window would put all
     rows of one account in one task, while the aggregate combines map-side and
-    has one row per account, broadcast after a size check.  NULL accounts form
-    one group, as they do in a window partition.
+    has one row per account.  That result is written once, so the planner sees
+    its size in bytes and broadcasts it below
+    ``spark.sql.autoBroadcastJoinThreshold``.  NULL accounts form one group, as
+    they do in a window partition.
     """
     per = (source.groupBy(F.col(partition_col).alias("_lu_key"))
            .agg(F.max(ts_col).alias(out_col)))
-    per = bounded_broadcast(per, max_rows)
+    per = written(per)
     return (rows.join(per, rows[partition_col].eqNullSafe(per["_lu_key"]), "left")
             .drop("_lu_key"))

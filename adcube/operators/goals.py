@@ -8,20 +8,19 @@ from pyspark.sql import functions as F
 from ..functions.naming import goal_columns
 
 
-def discover_goals(conversions: DataFrame, max_goals: int = 500) -> list[str]:
+def discover_goals(conversions: DataFrame, max_goals: int | None = None) -> list[str]:
     """Distinct non-empty goal values, most frequent first (ties by name).
 
     The goal list becomes part of the output schema, so it has to reach the
-    driver; the partial aggregate keeps the job cheap and ``max_goals`` stops an
-    unbounded list from being collected (it raises instead of truncating).
+    driver; the partial aggregate keeps the job cheap.  ``max_goals`` raises
+    (never truncates) above so many goals; ``None`` takes them all.
     """
     g = F.col("goal")
-    rows = (conversions.where(g.isNotNull() & (g != ""))
-            .groupBy("goal").count()
-            .orderBy(F.desc("count"), F.asc("goal"))
-            .limit(max_goals + 1)
-            .collect())
-    if len(rows) > max_goals:
+    found = (conversions.where(g.isNotNull() & (g != ""))
+             .groupBy("goal").count()
+             .orderBy(F.desc("count"), F.asc("goal")))
+    rows = (found if max_goals is None else found.limit(max_goals + 1)).collect()
+    if max_goals is not None and len(rows) > max_goals:
         raise ValueError(f"more than {max_goals} distinct goals; pass EngineConfig(goals=...) "
                          "or raise max_goals")
     return [r["goal"] for r in rows]

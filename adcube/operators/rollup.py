@@ -39,21 +39,22 @@ def _lower_bound(since, granularity: str) -> Column | None:
 
 
 def period_rollup(df: DataFrame, dimensions: list[str], measures: list[str],
-                  week_start: str = "Monday", since=None) -> DataFrame:
+                  week_start: str = "Monday", since=None, weighted_share_measure: bool = True) -> DataFrame:
     """``(date_granularity, date=period start, *dimensions, Σ measures)`` for all 5 granularities.
 
     One scan: each day row is tagged with its five (granularity, period)
     pairs through ``inline`` and a single ``groupBy`` sums them, with partial
     aggregation before the shuffle absorbing the 5x expansion.  Sums are
     ``COALESCE(SUM(m), 0)``.  ``impression_share`` is the impression-weighted
-    share: numerator and denominator are summed separately and divided last.
+    share (numerator and denominator are summed separately and divided last),
+    or, without ``weighted_share_measure``, a plain sum like the others.
 
     ``since`` limits the source days read per granularity: a date, or a
     ``{granularity: date}`` dict (used by the exact incremental mode to read
     whole weeks).
     """
-    share = SHARE_MEASURE in measures
-    plain = [m for m in measures if m != SHARE_MEASURE]
+    share = weighted_share_measure and SHARE_MEASURE in measures
+    plain = [m for m in measures if not (share and m == SHARE_MEASURE)]
     cols: list[Column] = [F.col(d) for d in dimensions] + [F.col(m) for m in plain]
     if share:
         imp, sh = F.col("impressions"), F.col(SHARE_MEASURE)

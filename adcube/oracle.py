@@ -455,12 +455,18 @@ def _upsert_columns_sql(policy):
 
 
 def _report_incremental_sql(entity, exact, strict_keys=True):
-    window = f"(SELECT CAST(date_trunc('year', MAX(date) - {LOOKBACK}) AS DATE) FROM report_t)"
-    since = {g: window for g in ("day", "week", "month", "quarter", "year")}
+    # The newest period start of a report is its newest day, that of its facts.
+    bound = f"""
+bound AS MATERIALIZED (SELECT w, CAST(date_trunc('week', w) AS DATE) AS first_week FROM (
+  SELECT CAST(date_trunc('year', MAX(date) - {LOOKBACK}) AS DATE) AS w FROM perf_base_t))"""
+    since = {g: "SELECT w FROM bound" for g in ("day", "week", "month", "quarter", "year")}
     if exact:
-        since["week"] = f"(SELECT CAST(date_trunc('week', {window}) AS DATE))"
-    ctes = [HISTORIES, DIMS] + report_ctes(entity, max_date=FIRST_LOAD, sfx="_t")
-    ctes += report_ctes(entity, sfx="_b", since_by_g=since)
+        since["week"] = "SELECT first_week FROM bound"
+    first = report_ctes(entity, max_date=FIRST_LOAD, sfx="_t")
+    ctes = [HISTORIES, DIMS, first[0], bound, *first[1:]] + report_ctes(entity, sfx="_b", since_by_g=since)
+    for name in ("perf_base_t", "perf_base_b", f"staging_{entity}_t", f"staging_{entity}_b", "facts_t", "facts_b",
+                 "report_t", "report_b", *([f"dim_{e}" for e in ("accounts", "campaigns", "ad_groups", "keywords")])):
+        ctes = [c.replace(f"\n{name} AS (", f"\n{name} AS MATERIALIZED (") for c in ctes]
     if strict_keys:
         match = "b.unique_key = t.unique_key"
     else:
@@ -471,6 +477,18 @@ def _report_incremental_sql(entity, exact, strict_keys=True):
     return _select(ctes, body, money=REPORT_MONEY)
 
 
+def _null_ids(sql: str) -> str:
+    """The same over sources whose rows of every fifth line number have no ad id."""
+    return sql.replace("l.l_orderkey AS ad_id", "CASE WHEN l.l_linenumber % 5 <> 0 THEN l.l_orderkey END AS ad_id")
+
+
+AD_SHARE = _select([perf_base()], " UNION ALL ".join(
+    f"""SELECT '{g}' AS date_granularity, {g} AS date, ad_id, CAST(SUM(impressions) AS BIGINT) AS impressions,
+       COALESCE(SUM(CAST(impression_share_percent AS DOUBLE) / CAST(100.0 AS DOUBLE)), 0) AS impression_share
+FROM (SELECT *, {date_parts()} FROM perf_base) GROUP BY 1, 2, 3""" for g in ("day", "week", "month", "quarter", "year")),
+    ratio=("impression_share",))
+
+
 QUALITY_UNIQUE = with_(*(staging_sources() + [staging_ad_cte()])) + """
 SELECT unique_key, CAST(COUNT(*) AS BIGINT) AS n_records FROM staging_ad
 WHERE unique_key IS NOT NULL GROUP BY unique_key HAVING COUNT(*) > 1"""
@@ -526,6 +544,8 @@ def oracle_sql() -> dict[str, str]:
         "date_parts_monday": _date_parts_sql("Monday"),
         "date_parts_sunday": _date_parts_sql("Sunday"),
         "impression_share_rollup": IMPRESSION_SHARE,
+        "ad_share_from_sources": AD_SHARE,
+        "ad_share_from_staging": AD_SHARE,
         "report_by_campaign": report_sql("campaign"),
         "report_by_ad": report_sql("ad"),
         "report_by_keyword": report_sql("keyword"),
@@ -540,6 +560,10 @@ def oracle_sql() -> dict[str, str]:
         "upsert_append_columns": _upsert_columns_sql("append"),
         "upsert_null_keys": _report_incremental_sql("keyword", exact=False),
         "upsert_entity_keys": _report_incremental_sql("keyword", exact=True, strict_keys=False),
+        "sink_full_refresh": _staging_sql("campaign"),
+        "sink_staging_runs": _upsert_columns_sql("sync"),
+        "sink_report_runs": report_sql("campaign"),
+        "sink_null_entities": _null_ids(report_sql("ad")),
         "quality_unique": QUALITY_UNIQUE,
         "quality_not_null": _quality_not_null_sql(),
         "declared_tests": _declared_tests_sql(),

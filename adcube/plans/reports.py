@@ -13,8 +13,9 @@ from ..functions.classify import campaign_type
 from ..functions.dates import date_part_columns, week_start_date
 from ..functions.keys import surrogate_key
 from ..operators.currency import convert_money, exchange_rates
-from ..operators.enrich import enrich
+from ..operators.enrich import enrich, left_join
 from ..operators.rollup import measure_columns, period_rollup
+from ..session import written
 from ..sources.catalog import AdSources
 from .columns import (AD_FACT_EXCLUDE, AD_MEASURE_EXCLUDE, CAMPAIGN_FACT_EXCLUDE,
                       CAMPAIGN_MEASURE_EXCLUDE, KEYWORD_FACT_EXCLUDE, KEYWORD_MEASURE_EXCLUDE)
@@ -28,11 +29,12 @@ class ReportSpec:
     measure_exclude: tuple[str, ...]
     dimension: str
     key: tuple[str, ...]
+    weighted_share: bool = False
 
 
 REPORTS = {
     "campaign": ReportSpec(CAMPAIGN_FACT_EXCLUDE, CAMPAIGN_MEASURE_EXCLUDE, "campaign_id",
-                           ("date", "date_granularity", "campaign_id")),
+                           ("date", "date_granularity", "campaign_id"), weighted_share=True),
     "ad": ReportSpec(AD_FACT_EXCLUDE, AD_MEASURE_EXCLUDE, "ad_id",
                      ("date", "date_granularity", "ad_group_id", "ad_id")),
     "keyword": ReportSpec(KEYWORD_FACT_EXCLUDE, KEYWORD_MEASURE_EXCLUDE, "keyword_id",
@@ -41,15 +43,23 @@ REPORTS = {
 
 
 def rates_for(src: AdSources, cfg: EngineConfig) -> DataFrame | None:
-    """Lagged exchange rates for a non-USD reporting currency, else ``None`` (÷1)."""
+    """Lagged exchange rates for a non-USD reporting currency, else ``None`` (÷1).
+
+    One row per calendar day, written once so that its size is known.  A day
+    with two rates would fan every fact row of that day out: the run fails
+    there, except in strict mode, where the fan-out is the reference's.
+    """
     if not cfg.converts_currency:
         return None
     rates = exchange_rates(src.require("calendar"), src.require("currency"), cfg.currency, cfg.as_of)
-    if not cfg.strict and rates.groupBy("date").count().where("count > 1").take(1):
-        # a day with two rates would fan every fact row of that day out (the
-        # reference keeps the fan-out; strict mode reproduces it)
-        raise ValueError("exchange-rate calendar has duplicate dates")
-    return rates
+    if not cfg.strict:
+        twice = F.raise_error(F.concat(F.lit("exchange-rate calendar has duplicate dates: "), F.col("date").cast("string")))
+        rates = (rates.groupBy("date")
+                 .agg(F.max("raw_rate").alias("raw_rate"), F.max("exchange_rate").alias("exchange_rate"),
+                      F.count(F.lit(1)).alias("n"))
+                 .select("date", "raw_rate", F.when(F.col("n") > 1, twice.cast("double"))
+                         .otherwise(F.col("exchange_rate")).alias("exchange_rate")))
+    return written(rates)
 
 
 def report_table_name(entity: str, cfg: EngineConfig) -> str:
@@ -62,7 +72,7 @@ def converted_facts(staging: DataFrame, entity: str, src: AdSources, cfg: Engine
     """Staging minus the fact exclude list, money columns converted."""
     spec = REPORTS[entity]
     fields = [c for c in staging.columns if c not in spec.fact_exclude]
-    return convert_money(staging.select(*fields), rates_for(src, cfg), cfg.broadcast_max_rows)
+    return convert_money(staging.select(*fields), rates_for(src, cfg))
 
 
 def middle(entity: str, src: AdSources, cfg: EngineConfig, staging: DataFrame | None = None) -> DataFrame:
@@ -96,7 +106,7 @@ def ad_day_facts(src: AdSources, cfg: EngineConfig) -> DataFrame:
     read as is.)
     """
     spec = REPORTS["ad"]
-    insights = ad_insights(src)
+    insights = ad_insights(src, cfg)
     skip = set(spec.fact_exclude) | set(spec.measure_exclude) | {spec.dimension}
     base = measure_columns(insights, insights.columns, skip)
     day = insights.groupBy("date", "ad_id").agg(*[F.sum(c).alias(c) for c in base],
@@ -104,7 +114,7 @@ def ad_day_facts(src: AdSources, cfg: EngineConfig) -> DataFrame:
     piv = goal_pivot(src.ad_conversions, ["date", "ad_id"], cfg, insights.columns)
     if piv is not None:
         goals = [c for c in piv.columns if c not in ("date", "ad_id")]
-        day = day.join(piv, ["date", "ad_id"], "left").withColumns({c: F.col(c) * F.col("_rows") for c in goals})
+        day = left_join(day, piv, ["date", "ad_id"]).withColumns({c: F.col(c) * F.col("_rows") for c in goals})
     return day.drop("_rows")
 
 
@@ -117,7 +127,7 @@ def report(entity: str, src: AdSources, cfg: EngineConfig, staging: DataFrame |
     """
     spec = REPORTS[entity]
     if staging is None and entity == "ad":
-        facts = convert_money(ad_day_facts(src, cfg), rates_for(src, cfg), cfg.broadcast_max_rows)
+        facts = convert_money(ad_day_facts(src, cfg), rates_for(src, cfg))
     else:
         # built here, staging skips last_updated: reports never read it
         stg = staging if staging is not None else STAGING[entity](src, cfg, sync_time=False)
@@ -129,8 +139,9 @@ def report(entity: str, src: AdSources, cfg: EngineConfig, staging: DataFrame |
         lowest = min(since.values()) if isinstance(since, dict) else since
         facts = facts.where(F.col("date") >= F.lit(lowest).cast("date"))  # prunes the scan
     measures = measure_columns(facts, facts.columns, spec.measure_exclude, [spec.dimension])
-    rolled = period_rollup(facts, [spec.dimension], measures, cfg.week_start, since=since)
-    out = enrich(rolled, hierarchy(src, entity, cfg), spec.dimension, cfg.broadcast_max_rows)
+    rolled = period_rollup(facts, [spec.dimension], measures, cfg.week_start, since=since,
+                           weighted_share_measure=spec.weighted_share)
+    out = enrich(rolled, hierarchy(src, entity, cfg), spec.dimension)
     return (out.withColumn("campaign_type_default", campaign_type(F.col("campaign_name")))
             .withColumn("unique_key", surrogate_key(*spec.key)))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import EngineConfig
 from ..functions.keys import surrogate_key
 from ..functions.naming import clean_columns
+from ..operators.enrich import left_join
 from ..operators.facts import aggregate_day, with_last_updated
 from ..operators.goals import discover_goals, pivot_goals
 from ..sources.catalog import SOURCE_TABLES, AdSources
@@ -36,9 +37,11 @@ def _since(df: DataFrame, since: _dt.date | None) -> DataFrame:
     return df if since is None else df.where(F.col("date") >= F.lit(since).cast("date"))
 
 
-def _insights(src: AdSources, name: str, exclude) -> DataFrame:
+def report_rows(src: AdSources, name: str, exclude, cfg: EngineConfig | None = None) -> DataFrame:
+    """Raw report rows without the excluded columns, renamed."""
     raw = src.require(name)
-    return raw.select(*clean_columns(SOURCE_TABLES[name], raw.columns, exclude))
+    extra = () if cfg is None else cfg.extra_exclude
+    return raw.select(*clean_columns(SOURCE_TABLES[name], raw.columns, (*exclude, *extra)))
 
 
 def staging_campaign(src: AdSources, cfg: EngineConfig, since: _dt.date | None = None,
@@ -48,19 +51,19 @@ def staging_campaign(src: AdSources, cfg: EngineConfig, since: _dt.date | None =
     ``since`` is the incremental cut (``date >= since``); Catalyst pushes it
     into both scans, through the aggregate and across the join key.
     """
-    insights = _since(_insights(src, "campaign_report", CAMPAIGN_RAW_EXCLUDE), since)
+    insights = _since(report_rows(src, "campaign_report", CAMPAIGN_RAW_EXCLUDE, cfg), since)
     join_keys = ["date", "campaign_id"]
     agg = aggregate_day(insights, ["date", "account_id", "campaign_id"], cluster_by=join_keys)
     piv = goal_pivot(src.campaign_conversions, join_keys, cfg, agg.columns)
-    rows = agg if piv is None else agg.join(piv, join_keys, "left")
+    rows = agg if piv is None else left_join(agg, piv, join_keys)
     if sync_time:  # max over raw rows == max over the day aggregate; avoids re-aggregating
-        rows = with_last_updated(rows, insights, cfg.broadcast_max_rows)
+        rows = with_last_updated(rows, insights)
     return rows.withColumn("unique_key", surrogate_key("campaign_id", "date"))
 
 
-def ad_insights(src: AdSources) -> DataFrame:
+def ad_insights(src: AdSources, cfg: EngineConfig | None = None) -> DataFrame:
     """Ad report rows minus the excluded rate columns, renamed."""
-    return _insights(src, "ad_report", AD_RAW_EXCLUDE)
+    return report_rows(src, "ad_report", AD_RAW_EXCLUDE, cfg)
 
 
 def staging_ad(src: AdSources, cfg: EngineConfig, since: _dt.date | None = None,
@@ -70,11 +73,11 @@ def staging_ad(src: AdSources, cfg: EngineConfig, since: _dt.date | None = None,
     Like the reference, segment rows of one ad-day each receive the ad-day's
     goal totals (see README, "fan-out"); ``quality`` checks expose it.
     """
-    insights = _since(ad_insights(src), since)
+    insights = _since(ad_insights(src, cfg), since)
     piv = goal_pivot(src.ad_conversions, ["date", "ad_id"], cfg, insights.columns)
-    rows = insights if piv is None else insights.join(piv, ["date", "ad_id"], "left")
+    rows = insights if piv is None else left_join(insights, piv, ["date", "ad_id"])
     if sync_time:
-        rows = with_last_updated(rows, insights, cfg.broadcast_max_rows)
+        rows = with_last_updated(rows, insights)
     return rows.withColumn("unique_key", surrogate_key("ad_id", "date"))
 
 
@@ -85,13 +88,13 @@ def staging_keyword(src: AdSources, cfg: EngineConfig, since: _dt.date | None =
     ``sync_time=False`` omits ``last_updated`` (reports never read it).
     """
     keys = ["date", "account_id", "campaign_id", "ad_group_id", "keyword_id"]
-    insights = _since(_insights(src, "keyword_report", KEYWORD_RAW_EXCLUDE), since)
+    insights = _since(report_rows(src, "keyword_report", KEYWORD_RAW_EXCLUDE, cfg), since)
     join_keys = ["date", "ad_group_id", "keyword_id"]
     agg = aggregate_day(insights, keys, cluster_by=join_keys)
     piv = goal_pivot(src.keyword_conversions, join_keys, cfg, agg.columns)
-    rows = agg if piv is None else agg.join(piv, join_keys, "left")
+    rows = agg if piv is None else left_join(agg, piv, join_keys)
     if sync_time:
-        rows = with_last_updated(rows, insights, cfg.broadcast_max_rows)
+        rows = with_last_updated(rows, insights)
     return rows.withColumn("unique_key", surrogate_key("ad_group_id", "keyword_id", "date"))
 
 

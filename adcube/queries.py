@@ -9,6 +9,7 @@ The matching DuckDB SQL lives in :mod:`adcube.oracle`.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql.types import DoubleType
 
 from .config import EngineConfig
 from .functions.dates import date_part_columns
-from .functions.naming import clean_columns, clean_goal_name_col
+from .functions.naming import clean_goal_name_col
 from .operators.facts import aggregate_day
 from .operators.latest import latest_versions
 from .operators.quality import not_null_violations, unique_violations
@@ -25,12 +26,12 @@ from .operators.currency import exchange_rates
 from .operators.rollup import period_rollup
 from .plans import dims
 from .plans.columns import CAMPAIGN_RAW_EXCLUDE, KEYWORD_RAW_EXCLUDE
-from .plans.incremental import report_batch, report_keys, staging_batch
+from .plans.incremental import report_batch, report_keys, run_report, run_staging, staging_batch, staging_keys
 from .plans.reports import middle, report
-from .plans.staging import goal_pivot, staging_ad, staging_campaign, staging_keyword
-from .sinks.table import merge_by_key
+from .plans.staging import goal_pivot, report_rows, staging_ad, staging_campaign, staging_keyword
+from .session import ensure_checkpoint_dir
+from .sinks.table import merge_by_key, publish, read_table, write_table
 from .sources import testdata
-from .sources.catalog import SOURCE_TABLES
 from .functions.classify import campaign_type
 
 # Fixed test parameters (mirrored in adcube/oracle.py): the target tables of
@@ -40,6 +41,7 @@ FIRST_LOAD = _dt.date(2000, 6, 30)
 AS_OF = _dt.date(2001, 6, 30)
 
 USD = EngineConfig()
+STRICT = EngineConfig(strict=True)
 EUR = EngineConfig(currency="EUR", as_of=AS_OF)
 RATIO_COLUMNS = ("impression_share", "raw_rate", "exchange_rate")
 
@@ -68,13 +70,9 @@ def _src(spark, sf_dir, **kw):
     return testdata.ad_sources(spark, sf_dir, **kw)
 
 
-def _insights(src, name, exclude):
-    raw = src.require(name)
-    return raw.select(*clean_columns(SOURCE_TABLES[name], raw.columns, exclude))
-
-
-def _max_date(df: DataFrame) -> _dt.date:
-    return df.agg(F.max("date")).first()[0]
+def _newest_day(src, name: str) -> _dt.date:
+    """Newest day of a table built from ``src``: that of its report rows."""
+    return src.require(name).agg(F.max("date")).first()[0]
 
 
 # --------------------------------------------------------------------------- dimensions
@@ -97,13 +95,13 @@ def q_campaign_type(spark, sf_dir):
 
 def q_campaign_day_aggregate(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return rounded(aggregate_day(_insights(src, "campaign_report", CAMPAIGN_RAW_EXCLUDE),
+    return rounded(aggregate_day(report_rows(src, "campaign_report", CAMPAIGN_RAW_EXCLUDE),
                                  ["date", "account_id", "campaign_id"]))
 
 
 def q_keyword_day_aggregate(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return rounded(aggregate_day(_insights(src, "keyword_report", KEYWORD_RAW_EXCLUDE),
+    return rounded(aggregate_day(report_rows(src, "keyword_report", KEYWORD_RAW_EXCLUDE),
                                  ["date", "account_id", "campaign_id", "ad_group_id", "keyword_id"]))
 
 
@@ -146,11 +144,20 @@ def _date_parts(week_start):
 
 def q_impression_share_rollup(spark, sf_dir):
     src = _src(spark, sf_dir)
-    facts = _insights(src, "campaign_report", CAMPAIGN_RAW_EXCLUDE).select(
+    facts = report_rows(src, "campaign_report", CAMPAIGN_RAW_EXCLUDE).select(
         "date", "campaign_id", "impressions", "impression_share")
     return rounded(period_rollup(facts, ["campaign_id"], ["impressions", "impression_share"]))
 
 
+def _ad_share(from_staging):
+    """Ad report whose source has a share: ads and keywords sum it plainly."""
+    def q(spark, sf_dir):
+        src = _src(spark, sf_dir, ad_share=True)
+        out = report("ad", src, USD, staging=staging_ad(src, USD) if from_staging else None)
+        return rounded(out.select("date_granularity", "date", "ad_id", "impressions", "impression_share"))
+    return q
+
+
 # --------------------------------------------------------------------------- reports
 
 def _report(entity, cfg=USD):
@@ -165,30 +172,71 @@ def q_report_by_campaign_sunday(spark, sf_dir):
 
 def q_staging_incremental_window(spark, sf_dir):
     """Second daily run of campaign staging: re-stage max(date) - 31 onward, upsert (sync)."""
-    target = staging_campaign(_src(spark, sf_dir, max_date=str(FIRST_LOAD)), USD)
-    batch = staging_batch("campaign", _src(spark, sf_dir), USD, _max_date(target))
-    return rounded(merge_by_key(target, batch, ["unique_key"], "sync"))
+    first = _src(spark, sf_dir, max_date=str(FIRST_LOAD))
+    batch = staging_batch("campaign", _src(spark, sf_dir), STRICT, _newest_day(first, "campaign_report"))
+    return rounded(merge_by_key(staging_campaign(first, STRICT), batch, ["unique_key"], "sync"))
 
 
-def _report_incremental(entity, exact, cfg=USD):
+def _report_incremental(entity, cfg):
     def q(spark, sf_dir):
         first = _src(spark, sf_dir, max_date=str(FIRST_LOAD))
         second = _src(spark, sf_dir)
-        target = report(entity, first, cfg)
-        batch = report_batch(entity, second, cfg, _max_date(target), exact=exact)
-        return rounded(merge_by_key(target, batch, report_keys(entity, cfg), "append"))
+        batch = report_batch(entity, second, cfg, _newest_day(first, f"{entity}_report"))
+        return rounded(merge_by_key(report(entity, first, cfg), batch, report_keys(entity, cfg), "append",
+                                    null_safe=not cfg.strict))
     return q
 
 
 def _upsert_columns(policy):
     def q(spark, sf_dir):
-        target = staging_campaign(_src(spark, sf_dir, max_date=str(FIRST_LOAD)), USD)
+        first = _src(spark, sf_dir, max_date=str(FIRST_LOAD))
         second = _src(spark, sf_dir, conversions=False)
-        batch = staging_batch("campaign", second, USD, _max_date(target))
-        return rounded(merge_by_key(target, batch, ["unique_key"], policy))
+        batch = staging_batch("campaign", second, USD, _newest_day(first, "campaign_report"))
+        return rounded(merge_by_key(staging_campaign(first, USD), batch, staging_keys("campaign", USD), policy,
+                                    null_safe=True))
     return q
 
 
+# --------------------------------------------------------------------------- sinks
+
+def _folder(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def q_sink_full_refresh(spark, sf_dir):
+    """A table written twice holds the second content (partitions by day)."""
+    path = _folder(spark)
+    write_table(staging_campaign(_src(spark, sf_dir, max_date=str(FIRST_LOAD)), USD), path, ("date",))
+    write_table(staging_campaign(_src(spark, sf_dir), USD), path, ("date",))
+    return rounded(read_table(spark, path))
+
+
+def q_sink_staging_runs(spark, sf_dir):
+    """Two daily staging runs on disk, the second without conversion reports (columns synced)."""
+    path = _folder(spark)
+    run_staging(spark, "campaign", _src(spark, sf_dir, max_date=str(FIRST_LOAD)), USD, path)
+    run_staging(spark, "campaign", _src(spark, sf_dir, conversions=False), USD, path)
+    return rounded(read_table(spark, path))
+
+
+def q_sink_report_runs(spark, sf_dir):
+    """Two report runs on disk, columns appended, read back through the catalog."""
+    path, table = _folder(spark), f"adcube_{uuid.uuid4().hex}"
+    run_report(spark, "campaign", _src(spark, sf_dir, max_date=str(FIRST_LOAD)), USD, path, partition_by=("date_granularity",))
+    run_report(spark, "campaign", _src(spark, sf_dir), USD, path, partition_by=("date_granularity",))
+    publish(spark, path, table)
+    return rounded(spark.table(table))
+
+
+def q_sink_null_entities(spark, sf_dir):
+    """Rows without an ad id: after two more exact runs the table equals a full refresh."""
+    path = _folder(spark)
+    run_report(spark, "ad", _src(spark, sf_dir, max_date=str(FIRST_LOAD), null_ids=True), USD, path, partition_by=("date_granularity",))
+    for _ in range(2):
+        run_report(spark, "ad", _src(spark, sf_dir, null_ids=True), USD, path, partition_by=("date_granularity",))
+    return rounded(read_table(spark, path))
+
+
 # --------------------------------------------------------------------------- quality
 
 def q_quality_unique(spark, sf_dir):
@@ -200,7 +248,7 @@ def q_quality_missing_rates(spark, sf_dir):
     from .operators.currency import unconverted_rows
     from .plans.reports import rates_for
     src = _src(spark, sf_dir)
-    rows = unconverted_rows(staging_campaign(src, EUR), rates_for(src, EUR), EUR.broadcast_max_rows)
+    rows = unconverted_rows(staging_campaign(src, EUR), rates_for(src, EUR))
     return rows.groupBy("date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -238,6 +286,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "date_parts_monday": _date_parts("Monday"),
     "date_parts_sunday": _date_parts("Sunday"),
     "impression_share_rollup": q_impression_share_rollup,
+    "ad_share_from_sources": _ad_share(False),
+    "ad_share_from_staging": _ad_share(True),
     "report_by_campaign": _report("campaign"),
     "report_by_ad": _report("ad"),
     "report_by_keyword": _report("keyword"),
@@ -246,12 +296,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_by_campaign_sunday": q_report_by_campaign_sunday,
     "report_by_campaign_conversions_var": _report("campaign", USD.with_(conversion_measure="conversions")),
     "staging_incremental_window": q_staging_incremental_window,
-    "report_incremental_reference": _report_incremental("campaign", exact=False),
-    "report_incremental_exact": _report_incremental("campaign", exact=True),
+    "report_incremental_reference": _report_incremental("campaign", STRICT),
+    "report_incremental_exact": _report_incremental("campaign", USD),
     "upsert_sync_columns": _upsert_columns("sync"),
     "upsert_append_columns": _upsert_columns("append"),
-    "upsert_null_keys": _report_incremental("keyword", exact=False),
-    "upsert_entity_keys": _report_incremental("keyword", exact=True, cfg=USD.with_(strict=False)),
+    "upsert_null_keys": _report_incremental("keyword", STRICT),
+    "upsert_entity_keys": _report_incremental("keyword", USD),
+    "sink_full_refresh": q_sink_full_refresh,
+    "sink_staging_runs": q_sink_staging_runs,
+    "sink_report_runs": q_sink_report_runs,
+    "sink_null_entities": q_sink_null_entities,
     "quality_unique": q_quality_unique,
     "quality_not_null": q_quality_not_null,
     "declared_tests": q_declared_tests,

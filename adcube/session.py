@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "adcube") -> SparkSession:
@@ -18,39 +19,42 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
              .config("spark.driver.memory", "8g")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark, allow_local=True)
+    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str:
-    """Return the session's checkpoint directory, wiring ``spark.checkpoint.dir`` if needed.
+def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
+    """The session's shared folder for intermediate data.
 
-    On a cluster the directory must be shared storage named by the cluster in
-    ``spark.checkpoint.dir``; a machine-local temporary folder is only created
-    when ``allow_local`` (tests, local bench) and nothing is configured.
+    The one named in ``spark.checkpoint.dir``, else ``folder``, else one below
+    the warehouse; only a one-process local session with neither (tests) gets a
+    temporary folder.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:
-            configured = None
-    if not configured:
-        if not allow_local:
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running "
-                               "jobs that cut lineage (incremental upserts)")
-        configured = tempfile.mkdtemp(prefix="adcube-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
+    found = sc.getCheckpointDir()
+    if found:
+        return found
+    found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or folder
+    if not found:
+        one_process = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
+        found = (tempfile.mkdtemp(prefix="adcube-") if one_process
+                 else f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate")
+    sc.setCheckpointDir(found)
     return sc.getCheckpointDir()
 
 
-def tune_for_scale(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
-                   max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back, for small results joined to large ones.
+
+    The plan then starts from a table whose size in bytes the planner knows.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def tune_for_scale(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Size scan splits and shuffle partitions for ``input_bytes`` of source data.
 
     Scan splits and post-shuffle partitions target ``target_partition_bytes``
@@ -58,7 +62,7 @@ def tune_for_scale(spark: SparkSession, input_bytes: int, target_partition_bytes
     The shuffle partition count is an upper bound: AQE coalesces small
     partitions at run time and splits skewed ones in joins.
     """
-    parts = max(200, min(max_shuffle_partitions, input_bytes // target_partition_bytes))
+    parts = max(1, -(-input_bytes // target_partition_bytes))
     conf = {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),

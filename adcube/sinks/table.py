@@ -1,29 +1,50 @@
 """Table sinks: full refresh and keyed upsert (delete+insert) on Parquet.
 
-No table format with MERGE is assumed (plain Parquet).  The upsert is
-partition-local: the key embeds the date, so only partitions touched by the
-batch are read, merged and rewritten (dynamic partition overwrite); the
-rest of the table is not touched.
+No table format with MERGE is assumed (plain Parquet).  A write never touches
+the table's own files first: it writes beside the table, on the same store, and
+then moves the written folders into place.  What was written and not yet moved is
+finished by the next run (:func:`recover`), so an interrupted run loses no row:
+
+* ``<path>__replace``  a whole new table, moved over ``path``;
+* ``<path>__upsert``   the merged content of the touched partitions, each moved
+  over the partition of the same name;
+* ``<path>__batch``    the batch of a running upsert, deleted at the end.
+
+A side folder without Spark's ``_SUCCESS`` marker is an unfinished write and is
+deleted.  While one partition is being moved a reader may not see it.
+
+Every table folder holds its schema in ``_adcube_schema.json``, so reading opens
+no file footers and partition values have the types they were written with.
 """
 
 from __future__ import annotations
 
+import json
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from ..session import ensure_checkpoint_dir
+from pyspark.sql.types import StructField, StructType
 
 POLICIES = ("append", "sync")
+SCHEMA_FILE = "_adcube_schema.json"
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def merge_by_key(target: DataFrame, batch: DataFrame, keys: list[str], policy: str = "append") -> DataFrame:
+def _all_of(conditions):
+    return reduce(lambda a, b: a & b, conditions)
+
+
+def merge_by_key(target: DataFrame, batch: DataFrame, keys: list[str], policy: str = "append",
+                 null_safe: bool = False) -> DataFrame:
     """Target rows whose key is not in the batch, plus every batch row (lazy).
 
-    NULL keys never match, so target rows with a NULL key are never replaced
-    (the reference's delete behaves the same).  Schema policy:
+    By default NULL keys never match, so target rows with a NULL key are never
+    replaced (the reference's delete behaves the same).  ``null_safe`` matches
+    NULL with NULL, so a row of an unknown entity is replaced like any other.
+    Schema policy:
 
     * ``append`` — new batch columns are added (NULL on old rows); columns the
       batch lacks are kept (NULL on inserted rows).
@@ -31,12 +52,16 @@ def merge_by_key(target: DataFrame, batch: DataFrame, keys: list[str], policy: s
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
-    # A NULL key never matches, so those rows are kept without joining: left
-    # in the anti-join they would all hash to one shuffle partition (a hot
-    # task when many entities miss their dimension).
-    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    kept = (target.where(~any_null).join(batch.select(*keys), on=keys, how="left_anti")
-            .unionByName(target.where(any_null)))
+    if null_safe:
+        seen = batch.select(*[F.col(k).alias(f"_key_{k}") for k in keys]).distinct()
+        kept = target.join(seen, _all_of([target[k].eqNullSafe(seen[f"_key_{k}"]) for k in keys]), "left_anti")
+    else:
+        # A NULL key never matches, so those rows are kept without joining: left
+        # in the anti-join they would all hash to one shuffle partition (a hot
+        # task when many entities miss their dimension).
+        any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        kept = (target.where(~any_null).join(batch.select(*keys), on=keys, how="left_anti")
+                .unionByName(target.where(any_null)))
     if policy == "append":
         return kept.unionByName(batch, allowMissingColumns=True)
     types = {f.name: f.dataType for f in batch.schema.fields}
@@ -45,71 +70,218 @@ def merge_by_key(target: DataFrame, batch: DataFrame, keys: list[str], policy: s
     return kept.unionByName(batch)
 
 
+# ------------------------------------------------------------------ file system
+
+class _Store:
+    """The file system of a path, through Spark's own client."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        return self._fs.exists(self._path(path))
+
+    def delete(self, path: str) -> None:
+        if self.exists(path):
+            self._fs.delete(self._path(path), True)
+
+    def move(self, source: str, target: str) -> None:
+        """Put the folder or file ``source`` in the place of ``target``."""
+        self._fs.mkdirs(self._path(target).getParent())
+        self.delete(target)
+        if not self._fs.rename(self._path(source), self._path(target)):
+            raise OSError(f"could not move {source} to {target}")
+
+    def folders(self, path: str) -> list[str]:
+        """Names of the partition folders (``column=value``) directly below ``path``."""
+        if not self.exists(path):
+            return []
+        return [s.getPath().getName() for s in self._fs.listStatus(self._path(path))
+                if s.isDirectory() and "=" in s.getPath().getName()]
+
+    def read(self, path: str) -> str:
+        stream = self._fs.open(self._path(path))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def write(self, path: str, text: str) -> None:
+        stream = self._fs.create(self._path(path), True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+
+def _leaves(store: _Store, path: str, below: str = "") -> list[str]:
+    """Relative paths of the innermost partition folders."""
+    found = []
+    for name in store.folders(f"{path}/{below}" if below else path):
+        child = f"{below}/{name}" if below else name
+        found += _leaves(store, path, child) or [child]
+    return found
+
+
+# ----------------------------------------------------------------------- reading
+
+def _without_partitions_last(schema: StructType, partition_by) -> StructType:
+    fields = [f for f in schema.fields if f.name not in partition_by]
+    return StructType([StructField(f.name, f.dataType, True) for f in fields]
+                      + [StructField(c, schema[c].dataType, True) for c in partition_by])
+
+
+def _stored_schema(store: _Store, path: str) -> tuple[StructType, list[str]] | None:
+    if not store.exists(f"{path}/{SCHEMA_FILE}"):
+        return None
+    found = json.loads(store.read(f"{path}/{SCHEMA_FILE}"))
+    return StructType.fromJson(found["schema"]), found["partition_by"]
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException:
+    """The table at ``path``, ``None`` if there is none; any other failure is raised.
+
+    Tables written by other tools have no schema file: their footers are merged.
+    """
+    recover(spark, path)
+    store = _Store(spark, path)
+    if not store.exists(path):
         return None
+    known = _stored_schema(store, path)
+    if known:
+        return spark.read.schema(known[0]).parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def max_date(spark: SparkSession, path: str, column: str = "date"):
+    """``max(column)`` of the table, or ``None`` if it is absent or empty.
+
+    For a partition column the folder names tell: no file is opened.
+    """
+    t = read_table(spark, path)
+    if t is None:
+        return None
+    store = _Store(spark, path)
+    values = [part.split("=", 1)[1] for leaf in _leaves(store, path) for part in leaf.split("/")
+              if part.split("=", 1)[0] == column]
+    if not values:
+        return t.agg(F.max(column)).first()[0]
+    values = sorted({unquote(v) for v in values} - {_NULL_PARTITION})
+    listed = spark.createDataFrame([(v,) for v in values], "v string")
+    return listed.agg(F.max(F.col("v").cast(t.schema[column].dataType))).first()[0]
+
+
+# ----------------------------------------------------------------------- writing
+
+def _write_beside(df: DataFrame, folder: str, partition_by) -> None:
+    """Rows of a partition go through few tasks (rebalanced by size), so it gets few files."""
+    spread = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+    w = spread.write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(folder)
+    schema = _without_partitions_last(df.schema, list(partition_by))
+    _Store(df.sparkSession, folder).write(
+        f"{folder}/{SCHEMA_FILE}", json.dumps({"schema": json.loads(schema.json()), "partition_by": list(partition_by)}))
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish the moves of an interrupted run; delete what it had not finished writing."""
+    store = _Store(spark, path)
+    for side, finish in ((f"{path}__replace", _move_table), (f"{path}__upsert", _move_partitions)):
+        if not store.exists(side):
+            continue
+        # The schema file is written after Spark's marker: both there, all is there.
+        if store.exists(f"{side}/_SUCCESS") and store.exists(f"{side}/{SCHEMA_FILE}"):
+            finish(store, side, path)
+        else:
+            store.delete(side)
+
+
+def _move_table(store: _Store, side: str, path: str) -> None:
+    store.move(side, path)
+
+
+def _move_partitions(store: _Store, side: str, path: str) -> None:
+    for leaf in _leaves(store, side):
+        store.move(f"{side}/{leaf}", f"{path}/{leaf}")
+    store.write(f"{path}/{SCHEMA_FILE}", store.read(f"{side}/{SCHEMA_FILE}"))
+    store.delete(side)
 
 
 def write_table(df: DataFrame, path: str, partition_by=()) -> None:
     """Full refresh: replace the whole table."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    recover(df.sparkSession, path)
+    _write_beside(df, f"{path}__replace", partition_by)
+    recover(df.sparkSession, path)
 
 
-def _partition_predicate(batch: DataFrame, partition_by) -> F.Column:
-    """Literal predicate on the partition columns selecting the batch's partitions.
+def _touched(target: DataFrame, batch: DataFrame, partition_by) -> DataFrame:
+    """Target rows in partitions that the batch has rows in.
 
-    The distinct partition values reach the driver (one per touched day or
-    period, bounded by the reprocess window), so the target scan prunes
-    partitions statically.
+    The bounds of the batch's partition values prune the listing; the exact
+    partitions follow by a join on their distinct values.
     """
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in partition_by]
-    key = F.concat_ws("\u0001", *parts)
-    values = [r[0] for r in batch.select(key.alias("k")).distinct().collect()]
-    return key.isin(values)
+    bounds = batch.agg(*[f(c).alias(f"{n}_{c}") for c in partition_by for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    near = [F.col(c).isNull() | F.col(c).between(F.lit(bounds[f"lo_{c}"]), F.lit(bounds[f"hi_{c}"]))
+            if bounds[f"lo_{c}"] is not None else F.col(c).isNull() for c in partition_by]
+    target = target.where(_all_of(near))
+    parts = batch.select(*[F.col(c).alias(f"_part_{c}") for c in partition_by]).distinct()
+    return target.join(parts, _all_of([target[c].eqNullSafe(parts[f"_part_{c}"]) for c in partition_by]), "left_semi")
 
 
 def upsert_by_key(spark: SparkSession, batch: DataFrame, path: str, keys: list[str],
-                  policy: str = "append", partition_by=("date",)) -> str:
+                  policy: str = "append", partition_by=("date",), null_safe: bool = False) -> str:
     """Upsert ``batch`` into the Parquet table at ``path``; returns what was done.
 
-    The batch is checkpointed once (to the session's ``spark.checkpoint.dir``):
-    the touched partitions and the merge both read it, so the batch plan runs
-    once and a lost executor recomputes from the checkpoint.  The merge then
-    goes straight back to ``path`` with dynamic partition overwrite: its tasks
-    read the old files, which are replaced only when the job commits, and only
-    touched partitions are replaced.  A crash during the commit is repaired by
-    re-running: every touched partition is rebuilt from the batch window.
-    ``sync`` with a removed or retyped column rewrites the whole table (schema
-    changes only); that path checkpoints the merged rows, because a full
-    overwrite may not read its own target.
+    The batch is written once beside the table; the merged touched partitions
+    are then written beside it too and moved into place, all others stay.  A run
+    that stops before the moves leaves the table as it was; one that stops
+    between them is finished by the next run.  A table without partitions, and
+    one that ``sync`` removes or retypes a column of, is replaced as a whole.
     """
     target = read_table(spark, path)
     if target is None:
         write_table(batch, path, partition_by)
         return "created"
-    ensure_checkpoint_dir(spark)
-    batch = batch.checkpoint(eager=True)
-    old_types = {f.name: f.dataType for f in target.schema.fields}
-    new_types = {f.name: f.dataType for f in batch.schema.fields}
-    reshaped = policy == "sync" and any(c not in new_types or new_types[c] != t for c, t in old_types.items())
-    if reshaped or not partition_by:
-        merged = merge_by_key(target, batch, keys, policy).checkpoint(eager=True)
-        write_table(merged, path, partition_by)
-        return "rewritten"
-    merged = merge_by_key(target.where(_partition_predicate(batch, partition_by)), batch, keys, policy)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
-    return "upserted"
+    store = _Store(spark, path)
+    side = f"{path}__batch"
+    _write_beside(batch, side, ())
+    try:
+        batch = spark.read.schema(batch.schema).parquet(side)
+        old, new = ({f.name: f.dataType for f in df.schema.fields if f.name not in partition_by} for df in (target, batch))
+        reshaped = policy == "sync" and any(new.get(c) != t for c, t in old.items())
+        if reshaped or not partition_by:
+            write_table(merge_by_key(target, batch, keys, policy, null_safe), path, partition_by)
+            return "rewritten"
+        merged = merge_by_key(_touched(target, batch, partition_by), batch, keys, policy, null_safe)
+        _write_beside(merged, f"{path}__upsert", partition_by)
+        recover(spark, path)
+        return "upserted"
+    finally:
+        store.delete(side)
 
 
-def max_date(spark: SparkSession, path: str, column: str = "date"):
-    """``max(column)`` of the table, or ``None`` if it is absent or empty."""
-    t = read_table(spark, path)
-    if t is None:
-        return None
-    return t.agg(F.max(column)).first()[0]
+# --------------------------------------------------------------- catalog tables
+
+def publish(spark: SparkSession, path: str, table: str) -> None:
+    """Make the table at ``path`` known to the session catalog as ``table``.
+
+    ``table`` is external: its rows stay at ``path``, where upserts go, and it is
+    made anew when the columns change.
+    """
+    store = _Store(spark, path)
+    schema, partition_by = _stored_schema(store, path)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    if "." in table:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {parts} LOCATION '{path}'")
+    if partition_by:
+        try:
+            spark.sql(f"MSCK REPAIR TABLE {table}")
+        except AnalysisException as e:
+            # Catalogs that do not keep partitions list the folders at each read.
+            if "INVALID_PARTITION_OPERATION" not in str(e) and "not partition" not in str(e).lower():
+                raise
+    spark.catalog.refreshTable(table)

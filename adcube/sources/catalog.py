@@ -70,14 +70,16 @@ class AdSources:
     def from_parquet(cls, spark: SparkSession, root: str) -> "AdSources":
         """Read ``<root>/<table>`` Parquet datasets; absent paths become ``None``.
 
-        Works on any Hadoop file system: a missing path surfaces as an
-        ``AnalysisException`` from the (metadata-only) file listing.
+        Works on any Hadoop file system.  Only a path that does not exist is an
+        absent table; one that cannot be read is an error.
         """
         kw = {}
         for f in fields(cls):
             path = f"{root.rstrip('/')}/{SOURCE_TABLES[f.name]}"
             try:
                 kw[f.name] = spark.read.parquet(path)
-            except AnalysisException:
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
                 kw[f.name] = None
         return cls(**kw)

@@ -52,7 +52,7 @@ def _perf_base(t: dict[str, DataFrame]) -> DataFrame:
         F.col("s_nationkey").cast("long").alias("campaign_id"),
         F.col("l_suppkey").alias("ad_group_id"),
         F.col("l_partkey").alias("keyword_id"),
-        F.col("l_orderkey").alias("ad_id"),
+        F.col("ad_id" if "ad_id" in li.columns else "l_orderkey").alias("ad_id"),
         F.col("l_quantity").cast("long").alias("impressions"),
         F.col("l_linenumber").cast("long").alias("clicks"),
         F.col("l_extendedprice").alias("spend"),
@@ -83,10 +83,11 @@ def campaign_report(t) -> DataFrame:
         "impression_share_percent", "ctr", "_fivetran_id")
 
 
-def ad_report(t) -> DataFrame:
+def ad_report(t, share: bool = False) -> DataFrame:
     return _perf_base(t).select(
         "date", "account_id", "campaign_id", "ad_group_id", "ad_id", *MEASURES,
-        "currency_code", "_fivetran_synced", "device_type", "destination_url", "ctr")
+        "currency_code", "_fivetran_synced", "device_type", "destination_url", "ctr",
+        *(["impression_share_percent"] if share else []))
 
 
 def keyword_report(t) -> DataFrame:
@@ -106,7 +107,7 @@ def _conversions(t) -> DataFrame:
     return j.select(
         F.col("l_shipdate").cast("date").alias("date"),
         F.col("s_nationkey").cast("long").alias("campaign_id"),
-        F.col("l_orderkey").alias("ad_id"),
+        F.col("ad_id" if "ad_id" in li.columns else "l_orderkey").alias("ad_id"),
         F.col("l_suppkey").alias("ad_group_id"),
         F.col("l_partkey").alias("keyword_id"),
         goal.alias("goal"),
@@ -238,11 +239,18 @@ def history_with_ties(t) -> DataFrame:
 
 
 def ad_sources(spark: SparkSession, sf_dir: str, *, conversions: bool = True,
-               max_date: str | None = None) -> AdSources:
-    """All sources of the ad model; ``max_date`` cuts facts to simulate an earlier load."""
+               max_date: str | None = None, null_ids: bool = False, ad_share: bool = False) -> AdSources:
+    """All sources of the ad model; ``max_date`` cuts facts to simulate an earlier load.
+
+    ``null_ids``: report and conversion rows of every fifth line number have no
+    ad id.  ``ad_share``: the ad report has a share column.
+    """
     t = tables(spark, sf_dir)
+    if null_ids:
+        t["lineitem"] = t["lineitem"].withColumn(
+            "ad_id", F.when(F.col("l_linenumber") % 5 != 0, F.col("l_orderkey")))
     facts = dict(
-        campaign_report=campaign_report(t), ad_report=ad_report(t), keyword_report=keyword_report(t),
+        campaign_report=campaign_report(t), ad_report=ad_report(t, ad_share), keyword_report=keyword_report(t),
         campaign_conversions=campaign_conversions(t) if conversions else None,
         ad_conversions=ad_conversions(t) if conversions else None,
         keyword_conversions=keyword_conversions(t) if conversions else None,

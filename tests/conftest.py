@@ -19,7 +19,7 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s, allow_local=True)  # keeps a configured spark.checkpoint.dir
+    ensure_checkpoint_dir(s)  # keeps a configured spark.checkpoint.dir
     yield s
 
 

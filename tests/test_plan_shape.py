@@ -54,3 +54,32 @@ def test_rollup_shuffles_only_partial_aggregates(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert p.count("Exchange") == 1 and "partial_sum" in p
     assert out.where("date_granularity = 'year'").first()["clicks"] == sum(range(1000))
+
+
+def _jobs(spark, build):
+    """Jobs that building a DataFrame starts."""
+    tracker = spark.sparkContext.statusTracker()
+    group = f"build-{id(build)}"
+    spark.sparkContext.setJobGroup(group, "build")
+    try:
+        df = build()
+        return df, len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_a_report_runs_no_pass_over_the_facts_but_goals(spark):
+    from adcube.config import EngineConfig
+    from adcube.plans.reports import report
+    from adcube.sources import testdata
+    src = testdata.ad_sources(spark, SF)
+    _, jobs = _jobs(spark, lambda: report("ad", src, EngineConfig(goals=("2-HIGH",))))
+    assert jobs == 0
+
+
+def test_raw_report_is_scanned_once_after_the_account_maxima(spark):
+    from adcube.config import EngineConfig
+    from adcube.plans.staging import staging_campaign
+    from adcube.sources import testdata
+    df = staging_campaign(testdata.ad_sources(spark, SF), EngineConfig(goals=()))
+    assert plan(df).count("l_quantity") and plan(df).count("lineitem.parquet") == 1

@@ -1,6 +1,8 @@
 import datetime as dt
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from adcube.config import EngineConfig
 from adcube.operators.goals import discover_goals
@@ -26,8 +28,10 @@ def test_non_numeric_measure_rejected(spark):
     assert measure_columns(df, df.columns, ["date", "device"], ["ad_id"]) == ["clicks"]
 
 
-def test_goal_cap_raises_instead_of_truncating(spark):
-    conv = spark.createDataFrame([(f"g{i}",) for i in range(5)], "goal string")
+def test_goals_have_no_cap_unless_asked_for(spark):
+    conv = spark.createDataFrame([(f"g{i}",) for i in range(700)], "goal string")
+    assert len(discover_goals(conv)) == 700
+    conv = conv.limit(5)
     assert len(discover_goals(conv, max_goals=5)) == 5
     with pytest.raises(ValueError):
         discover_goals(conv, max_goals=4)
@@ -38,9 +42,9 @@ def test_duplicate_rate_dates_rejected_when_not_strict(spark):
     dup = src.currency.unionByName(src.currency.limit(1))
     bad = src.with_(currency=dup)
     cfg = EngineConfig(currency="EUR", as_of=D(2001, 6, 30))
-    assert rates_for(bad, cfg) is not None  # strict: reference keeps the fan-out
-    with pytest.raises(ValueError):
-        rates_for(bad, cfg.with_(strict=False))
+    assert rates_for(bad, cfg.with_(strict=True)) is not None  # strict: reference keeps the fan-out
+    with pytest.raises(Exception, match="duplicate dates"):
+        rates_for(bad, cfg).collect()
 
 
 def test_staging_without_conversions_has_no_goal_columns(spark):
@@ -55,6 +59,33 @@ def test_explicit_goal_list_skips_discovery(spark):
     assert "2high" in cols and "1urgent" not in cols
 
 
+def test_extra_exclude_drops_a_text_column(spark):
+    from adcube.plans.reports import report
+    src = testdata.ad_sources(spark, SF)
+    src = src.with_(ad_report=src.ad_report.withColumn("ad_label", F.lit("Search")))
+    with pytest.raises(TypeError, match="ad_label"):
+        report("ad", src, EngineConfig())
+    assert "ad_label" not in report("ad", src, EngineConfig(extra_exclude=("ad_label",))).columns
+
+
+def test_unreadable_conversion_report_is_an_error(spark, tmpdir_path):
+    from adcube.sources.catalog import SOURCE_TABLES, AdSources
+    folder = f"{tmpdir_path}/{SOURCE_TABLES['ad_conversions']}"
+    os.makedirs(folder)
+    with open(f"{folder}/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        AdSources.from_parquet(spark, tmpdir_path)
+
+
+def test_null_join_keys_are_spread_and_kept(spark):
+    from adcube.operators.enrich import enrich
+    fact = spark.createDataFrame([(1, 10), (None, 20), (2, 30)], "ad_id long, clicks long")
+    dims = spark.createDataFrame([(1, "a"), (3, "c"), (None, "n")], "ad_id long, ad_text string")
+    found = sorted(map(tuple, enrich(fact, dims, "ad_id").select("ad_id", "clicks", "ad_text").collect()), key=str)
+    assert found == sorted([(1, 10, "a"), (None, 20, None), (2, 30, None)], key=str)
+
+
 def test_window_and_names():
     assert report_window_start(D(2025, 1, 15), 31) == D(2024, 1, 1)
     assert report_window_start(D(2025, 2, 15), 31) == D(2025, 1, 1)
@@ -63,8 +94,8 @@ def test_window_and_names():
 
 def test_tune_for_scale(spark):
     conf = tune_for_scale(spark, 100 << 40)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100_000  # clamped
-    assert tune_for_scale(spark, 10 << 30)["spark.sql.shuffle.partitions"] == "200"
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409_600  # 256 MB each, no ceiling
+    assert tune_for_scale(spark, 10 << 30)["spark.sql.shuffle.partitions"] == "40"
     spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 

@@ -1,12 +1,14 @@
 import datetime as dt
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from adcube.config import EngineConfig
 from adcube.plans.incremental import run_report, run_staging
 from adcube.plans.reports import report
 from adcube.plans.staging import staging_campaign
-from adcube.sinks.table import merge_by_key, read_table, upsert_by_key
+from adcube.sinks.table import max_date, merge_by_key, publish, read_table, upsert_by_key, write_table
 from adcube.sources import testdata
 
 SF = "/root/testdata/sf0.001"
@@ -58,8 +60,8 @@ def test_empty_staging_target(spark, tmpdir_path):
     path = f"{tmpdir_path}/empty"
     src = testdata.ad_sources(spark, SF)
     staging_campaign(src, EngineConfig()).limit(0).write.parquet(path)
-    assert run_staging(spark, "campaign", src, EngineConfig(), path, ()) == "skipped"  # strict: NULL cut
-    assert run_staging(spark, "campaign", src, EngineConfig(strict=False), path, ()) == "rewritten"
+    assert run_staging(spark, "campaign", src, EngineConfig(strict=True), path, ()) == "skipped"  # strict: NULL cut
+    assert run_staging(spark, "campaign", src, EngineConfig(), path, ()) == "rewritten"
 
 
 def test_report_run_appends_and_replaces(spark, tmpdir_path):
@@ -77,12 +79,103 @@ def test_report_run_appends_and_replaces(spark, tmpdir_path):
     assert rows(got) == rows(full)
 
 
-def test_enrich_large_hierarchy_keeps_null_keys(spark):
-    from adcube.operators.enrich import enrich
-    fact = spark.createDataFrame([(1, 10), (None, 20), (2, 30)], "ad_id long, clicks long")
-    dims = spark.createDataFrame([(1, "a"), (3, "c")], "ad_id long, ad_text string")
-    small = sorted(map(tuple, enrich(fact, dims, "ad_id", 100).select("ad_id", "clicks", "ad_text").collect()),
-                   key=str)
-    large = sorted(map(tuple, enrich(fact, dims, "ad_id", 1).select("ad_id", "clicks", "ad_text").collect()),
-                   key=str)
-    assert small == large == sorted([(1, 10, "a"), (None, 20, None), (2, 30, None)], key=str)
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def _days(spark, rows):
+    return spark.createDataFrame([(dt.date(2024, 1, d), k, v) for d, k, v in rows], "date date, ad_id long, v long")
+
+
+def test_null_safe_upsert_replaces_rows_without_entity(spark, tmpdir_path):
+    path, keys = f"{tmpdir_path}/t", ["date", "ad_id"]
+    batch = _days(spark, [(1, None, 1), (1, 7, 2), (2, None, 3)])
+    for _ in range(3):
+        upsert_by_key(spark, batch, path, keys, null_safe=True)
+    assert _rows(read_table(spark, path).select("date", "ad_id", "v")) == _rows(batch)
+
+
+@pytest.mark.parametrize("stop_after", [0, 1])
+def test_interrupted_upsert_is_finished_by_the_next_run(spark, tmpdir_path, monkeypatch, stop_after):
+    from adcube.sinks import table
+    path = f"{tmpdir_path}/t"
+    first = _days(spark, [(1, 1, 1), (2, 1, 2), (2, 2, 3), (3, 9, 9), (1, None, 5)])
+    upsert_by_key(spark, first, path, ["date", "ad_id"], null_safe=True)
+    batch = _days(spark, [(1, 1, 10), (2, 1, 20)])
+    expected = [(dt.date(2024, 1, d), k, v) for d, k, v in [(1, 1, 10), (2, 1, 20), (2, 2, 3), (3, 9, 9), (1, None, 5)]]
+    moves = []
+    move = table._Store.move
+
+    def stop(self, source, target):
+        if "__upsert" in source:
+            if len(moves) == stop_after:
+                raise RuntimeError("executor gone")
+            moves.append(target)
+        move(self, source, target)
+
+    monkeypatch.setattr(table._Store, "move", stop)
+    with pytest.raises(RuntimeError):
+        upsert_by_key(spark, batch, path, ["date", "ad_id"], null_safe=True)
+    monkeypatch.setattr(table._Store, "move", move)
+    # Kept rows (2, 2), (3, 9) and the one without an id are in no later batch.
+    upsert_by_key(spark, batch, path, ["date", "ad_id"], null_safe=True)
+    assert _rows(read_table(spark, path).select("date", "ad_id", "v")) == sorted(expected, key=str)
+    assert not [n for n in os.listdir(tmpdir_path) if n != "t"]
+
+
+def test_unfinished_write_beside_the_table_is_dropped(spark, tmpdir_path):
+    path = f"{tmpdir_path}/t"
+    first = _days(spark, [(1, 1, 1)])
+    write_table(first, path, ("date",))
+    _days(spark, [(1, 1, 99)]).write.partitionBy("date").parquet(f"{path}__upsert")
+    os.remove(f"{path}__upsert/_SUCCESS")
+    assert _rows(read_table(spark, path).select("date", "ad_id", "v")) == _rows(first)
+
+
+def test_touched_partitions_get_few_files(spark, tmpdir_path):
+    path = f"{tmpdir_path}/t"
+    rows = _days(spark, [(d, k, k) for d in (1, 2, 3) for k in range(400)]).repartition(32)
+    write_table(rows, path, ("date",))
+    upsert_by_key(spark, rows.where("date > '2024-01-01'").repartition(32), path, ["date", "ad_id"])
+    for d in (1, 2, 3):
+        files = [f for f in os.listdir(f"{path}/date=2024-01-0{d}") if f.endswith(".parquet")]
+        assert len(files) <= 2
+
+
+def test_partition_type_and_newest_day_without_opening_files(spark, tmpdir_path):
+    path = f"{tmpdir_path}/t"
+    rows = spark.createDataFrame([(5, "a", 1), (40, "b", 2)], "day long, k string, v long")
+    write_table(rows, path, ("day",))
+    assert upsert_by_key(spark, rows, path, ["day", "k"], "sync", ("day",)) == "upserted"  # not "rewritten"
+    assert dict(read_table(spark, path).dtypes)["day"] == "bigint"
+    for folder, _, names in os.walk(path):
+        for n in names:
+            if n.endswith(".parquet"):
+                with open(f"{folder}/{n}", "wb"):
+                    pass  # a file that cannot be opened
+    for folder, _, names in os.walk(path):
+        for n in names:
+            if n.endswith(".crc"):
+                os.remove(f"{folder}/{n}")
+    assert max_date(spark, path, "day") == 40
+
+
+def test_unreadable_table_is_not_taken_for_absent(spark, tmpdir_path):
+    path = f"{tmpdir_path}/t"
+    os.makedirs(path)
+    with open(f"{path}/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        upsert_by_key(spark, _days(spark, [(1, 1, 1)]), path, ["date", "ad_id"])
+    assert os.path.exists(f"{path}/part-0.parquet")
+
+
+def test_published_table_has_all_columns(spark, tmpdir_path):
+    path = f"{tmpdir_path}/t"
+    write_table(_days(spark, [(1, 1, 1), (2, 1, 2)]), path, ("date",))
+    more = _days(spark, [(2, 1, 20)]).withColumn("g", F.lit("new"))
+    upsert_by_key(spark, more, path, ["date", "ad_id"])
+    publish(spark, path, "adcube_test_db.days")
+    found = _rows(spark.table("adcube_test_db.days").select("date", "v", "g"))
+    assert found == [(dt.date(2024, 1, 1), 1, None), (dt.date(2024, 1, 2), 20, "new")]
+    spark.sql("DROP DATABASE adcube_test_db CASCADE")
