@@ -8,11 +8,13 @@ Jaccard similarity is estimated from equal registers, corrected for the
 collisions that the short registers are expected to have, and pairs that may
 reach the threshold are confirmed on their full sets.
 
-Equal sets are one class from the start.  Inside a bucket no pairs are listed at
-first: every class is compared with one pivot.  Confirmed links are contracted
-to components, and only classes of one bucket that are in different components
-are then compared with each other, so a bucket of many mutual copies costs as
-many comparisons as it has members.
+Equal sets are one class from the start.  A shingle that no other candidate has
+cannot be shared: a class with too many of them links with nothing and goes, and
+the others' bound the similarity of a pair.  Inside a bucket no pairs are listed
+at first: every class is compared with one pivot, the one with the fewest lone
+shingles.  Confirmed links are contracted to components, and only classes of one
+bucket that are in different components are then compared with each other, so a
+bucket of many mutual copies costs as many comparisons as it has members.
 """
 
 from __future__ import annotations
@@ -24,12 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, bitmap, documents, find_words, gram_hashes, hash_words, in_bitmap, map_text, mix, rows_of, signed, slot_of, stored, whole_runs
+from .common import LOWER, bitmap, documents, find_words, gram_hashes, hash_words, in_bitmap, map_text, mix, rows_of, signed, stored
 
 SHINGLE, PERCENT = 5, 85
 REGISTERS, MANTISSA, ROWS, BANDS = 128, 10, 6, 48
 MARGIN = 6.0  # standard deviations that an estimate may fall short by
 BITS = 26
+BLOCK = 512  # classes of a bucket that one task compares with as many others
 
 _random = np.random.default_rng(9)
 _SEED = _random.integers(1, 1 << 63, REGISTERS, np.uint64)
@@ -105,26 +108,15 @@ def _registers(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), REGISTERS)
 
 
-def bands(classes: DataFrame, bits: int) -> DataFrame:
-    """``bucket, class, n``: classes in band buckets that may hold several (by a bitmap of slots counted first)."""
-    sc = classes.sparkSession.sparkContext
-
-    def count(batches):
-        for batch in batches:
-            if batch.num_rows:
-                slot, n = np.unique(slot_of(band_keys(_registers(batch.column(0))).ravel(), bits), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(slot)), pa.array(n)], ["slot", "n"])
-
-    slots = classes.select("registers").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    several = sc.broadcast(bitmap(slots.where("n > 1"), F.col("slot"), bits))
+def bands(classes: DataFrame) -> DataFrame:
+    """``bucket, class, n``: the BANDS buckets of each class."""
 
     def emit(batches):
         for batch in batches:
             if batch.num_rows:
                 keys = band_keys(_registers(batch.column(0)))
-                row, band = np.nonzero(in_bitmap(several.value, slot_of(keys, bits)))
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(keys[row, band])), batch.column(1).take(take), batch.column(2).take(take)], ["bucket", "class", "n"])
+                take = pa.array(np.repeat(np.arange(batch.num_rows), BANDS))
+                yield pa.RecordBatch.from_arrays([pa.array(signed(keys.ravel())), batch.column(1).take(take), batch.column(2).take(take)], ["bucket", "class", "n"])
 
     return classes.select("registers", "class", "n").mapInArrow(emit, "bucket long, class binary, n long")
 
@@ -160,10 +152,10 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ra", "rb", "na", "nb").mapInArrow(run, "a binary, b binary, equal int")
 
 
-def full_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, bits: int) -> DataFrame:
-    """``class, shingles`` of the classes in ``pairs``, read again from one document of each."""
+def full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
+    """``class, shingles`` of the ``wanted`` classes, read again from one document of each
+    (a bitmap of text hashes lets the others pass; a full one sends more)."""
     sc = docs.sparkSession.sparkContext
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     wanted = stored(classes.join(wanted, "class").select("class", F.col("one.doc_id").alias("doc_id"), F.col("one.text_key").alias("text_key")))
     held = sc.broadcast(bitmap(wanted, F.expr(f"shiftrightunsigned(text_key, {64 - bits})"), bits))
 
@@ -184,9 +176,33 @@ def full_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, bits: int)
     return read.join(w, same, "left_semi").select("class", "shingles").dropDuplicates(["class"])
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int, bits: int) -> DataFrame:
+def alone(sets: DataFrame) -> DataFrame:
+    """``class, u``: how many shingles of a class no other of ``sets`` has (0 where two
+    classes begin with the same seven bytes, by which they are told apart here)."""
+
+    def emit(batches):
+        for batch in batches:
+            for row in range(0, batch.num_rows, 64):
+                part = batch.slice(row, 64)
+                shingles = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(1)]
+                tag = np.repeat(part.column(0).to_numpy(), [len(x) for x in shingles])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingles)), pa.array(tag)], ["shingle", "tag"])
+
+    tag = F.conv(F.hex(F.substring("class", 1, 7)), 16, 10).cast("long")
+    tagged = sets.select(tag.alias("tag"), "class", "shingles")
+    once = tagged.select("tag", "shingles").mapInArrow(emit, "shingle long, tag long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("tag").alias("tag")).where("n = 1")
+    owners = tagged.groupBy("tag").agg(F.min("class").alias("class"), F.count("*").alias("n")).where("n = 1")
+    return once.groupBy("tag").agg(F.count("*").alias("u")).join(owners, "tag").select("class", "u")
+
+
+def can_link(percent: int) -> str:
+    """Whether the sizes (na, nb) and lone shingles (ua, ub) of two sets allow the threshold."""
+    shared = "least(na - ua, nb - ub)"
+    return f"100 * {shared} >= {percent} * (na + nb - {shared})"
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets reach the threshold."""
-    sets = stored(full_sets(docs, pairs, classes, bits))
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
 
@@ -204,6 +220,82 @@ def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: in
     return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
 
 
+def links_in_buckets(rows: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links ``a, b`` between classes of a bucket with different labels, by their full sets.
+
+    ``rows``: ``bucket, class, label, size``.  A bucket of more than ``block``
+    classes is dealt into blocks, and each pair of blocks is compared in a task
+    of its own.  Of the links found there, only those that join two labels not
+    yet joined are returned.
+    """
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    parts = rows.withColumn("own", F.pmod(F.xxhash64("class"), blocks.cast("long")).cast("int"))
+    parts = parts.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    parts = parts.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    parts = parts.join(sets, "class").select("bucket", "i", "j", "class", "label", "shingles")
+
+    def compare(group: pa.Table):
+        labels = group["label"].to_pylist()
+        if len(set(labels)) < 2:
+            return
+        names = group["class"].to_pylist()
+        found = [np.frombuffer(x.as_buffer(), np.uint64) for x in group["shingles"].combine_chunks()]
+        size = np.array([len(x) for x in found])
+        row = np.repeat(np.arange(len(found)), size)
+        _, column, times = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+        shared = np.zeros((len(found), len(found)), np.float32)
+        place = np.cumsum(times > 1) - 1
+        held = times[column] > 1
+        row, column = row[held], place[column[held]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for first in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+            a, b = np.searchsorted(column, [first, first + 2048])
+            has = np.zeros((len(found), 2048), np.float32)
+            has[row[a:b], column[a:b] - first] = 1
+            shared += has @ has.T
+        total = size[:, None] + size[None, :] - shared
+        x, y = np.nonzero(np.triu(100 * shared >= percent * total, 1))
+        top = {label: label for label in labels}
+
+        def root(label):
+            while top[label] != label:
+                label = top[label]
+            return label
+
+        for i, j in zip(x.tolist(), y.tolist()):
+            p, q = root(labels[i]), root(labels[j])
+            if p != q:
+                top[p] = q
+                yield names[i], names[j]
+
+    def run(batches):
+        """Sorted by group: a group is compared when the next one begins."""
+        held, key = [], None
+        for batch in batches:
+            keys = list(zip(*(batch.column(k).to_pylist() for k in range(3))))
+            cuts = [0, *(r for r in range(1, len(keys)) if keys[r] != keys[r - 1]), len(keys)]
+            out = []
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if a == b:
+                    continue
+                if held and keys[a] != key:
+                    out += compare(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(a, b - a))
+                key = keys[a]
+            yield _pairs(out)
+        if held:
+            yield _pairs(list(compare(pa.Table.from_batches(held))))
+
+    dealt = parts.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return dealt.mapInArrow(run, "a binary, b binary")
+
+
+def _pairs(found: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+
 # ------------------------------------------------------------------- components
 
 def contract(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -229,39 +321,44 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bits: int = BITS) -> DataFrame:
-    """``doc_id, text_key, n_shingles, component_id`` for every row of ``docs``.
+    """``doc_id, text_key, n_shingles, component_id, representative`` for every row of ``docs``.
 
     Documents are linked if 100 * |intersection| >= ``percent`` * |union| of
     their shingle sets; component_id is the smallest id reachable.  Null and
     empty texts have no shingles, no links and their own id.  Rows with equal
     sets, repeated rows too, are linked; null ids come after all others, and a
-    component of null ids only has none.
+    component of null ids only has none.  The representative of a component is
+    one text of its smallest id (all rows that repeat it), and each text without
+    shingles represents itself.
     """
     whole = documents(docs, id_col, text_col)
     sketch = stored(sketches(whole))
     one = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     classes = stored(sketch.where("class is not null").groupBy("class").agg(F.min(one).alias("one"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")))
-    rows = stored(bands(classes, bits))
+    rows = bands(classes)
+    several = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
+    rows = stored(rows.join(several, "bucket"))
+    sets = stored(full_sets(whole, classes, rows.select("class").distinct(), bits))
+    rows = rows.join(alone(sets), "class", "left").withColumn("u", F.coalesce("u", F.lit(0)))
+    rows = stored(rows.where(f"100 * (n - u) >= {percent} * n"))
     labels = classes.select("class", F.col("class").alias("label"))
 
-    # One pivot for each bucket, and for each class the pivot most like it.
-    pivots = rows.groupBy("bucket").agg(F.min("class").alias("a"), F.count("*").alias("size")).where("size > 1")
-    pairs = rows.withColumnRenamed("class", "b").join(pivots, "bucket").where("a != b").select("a", "b").distinct()
-    best = estimated(pairs, classes, percent).groupBy("b").agg(F.max_by("a", F.struct("equal", "a")).alias("a"))
-    labels = contract(labels, confirmed(whole, stored(best), classes, percent, bits))
+    # One pivot for each bucket, the one most of which others have too, and for each class the pivot most like it.
+    pivots = rows.groupBy("bucket").agg(F.min(F.struct("u", "class", "n")).alias("p"))
+    pairs = rows.select("bucket", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("u").alias("ub")).join(pivots, "bucket")
+    pairs = pairs.select("b", "nb", "ub", F.col("p.class").alias("a"), F.col("p.n").alias("na"), F.col("p.u").alias("ua")).where("a != b").where(can_link(percent))
+    best = estimated(pairs.select("a", "b").distinct(), classes, percent).groupBy("b").agg(F.max_by("a", F.struct("equal", "a")).alias("a"))
+    labels = contract(labels, confirmed(best, sets, percent))
 
     # Then everything else in a bucket that is not in one component by now.
     named = rows.join(labels, "class")
-    mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("bucket")
-    named = stored(named.join(mixed, "bucket", "left_semi"))
-    left = named.select("bucket", F.col("class").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    right = named.select("bucket", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    sizes = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
-    pairs = left.join(right, "bucket").where("la < lb").where(sizes).select("a", "b").distinct()
-    rest = stored(estimated(pairs, classes, percent).select("a", "b"))
-    labels = contract(labels, confirmed(whole, rest, classes, percent, bits))
+    mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low != high").select("bucket", "size")
+    named = stored(named.join(mixed, "bucket").select("bucket", "class", "label", "size"))
+    labels = contract(labels, links_in_buckets(named, sets, percent, BLOCK))
 
     of_class = classes.join(labels, "class").select("class", "label", "one")
-    smallest = of_class.groupBy("label").agg(F.min("one").getField("doc_id").alias("component_id"))
-    of_class = of_class.join(smallest, "label").select("class", "component_id")
-    return sketch.join(of_class, "class", "left").select("doc_id", "text_key", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    smallest = of_class.groupBy("label").agg(F.min("one").alias("first"))
+    of_class = of_class.join(smallest, "label").select("class", "first")
+    empty = F.col("class").isNull()
+    first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    return sketch.join(of_class, "class", "left").select("doc_id", "text_key", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"), (empty | first).alias("representative"))

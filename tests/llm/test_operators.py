@@ -353,3 +353,18 @@ def test_empty_tables(llm):
 
 def test_ten_queries_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("block", [2, 512])
+def test_links_in_blocks_join_all_labels(llm, block, monkeypatch):
+    """Copies that differ in several places: no pivot links them all."""
+    monkeypatch.setattr(hyperminhash, "BLOCK", block)
+    base = data.prose(150, 5).split()
+    rows = []
+    for k in range(30):
+        w = list(base)
+        for e in range(k % 3):
+            w[(17 * k + 40 * e) % 150] = f"x{k}y{e}"
+        rows.append((k, " ".join(w)))
+    out = hyperminhash.near_duplicates(llm.createDataFrame(rows, "doc_id long, text string")).collect()
+    same([(r.doc_id, r.n_shingles, r.component_id, r.doc_id == r.component_id) for r in out], plain.near(rows))
