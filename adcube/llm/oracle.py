@@ -1,7 +1,68 @@
-"""DuckDB SQL for the text operators that SQL can express on whole tables."""
+"""DuckDB SQL for the text operators whose whole result SQL can express.
+
+The others have a trained or estimated part (op1, op2, op3, op6, op8, op10) or a
+tokenizer (op7); ``tests/llm`` holds them against plain versions instead.  Ids
+of documents are unique in the test tables.
+"""
 
 from __future__ import annotations
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WORDS = r"[^\x20\x09-\x0D]+"
+TEST_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _words(table: str, pattern: str, key: str = "doc_id", lower: bool = True) -> str:
+    text = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')" if lower else "coalesce(text, '')"
+    return f"SELECT {key}, regexp_extract_all({text}, '{pattern}') AS w FROM {table}"
+
+
+SUPERKMER = f"""
+WITH d AS ({_words("documents", WORDS, lower=False)}),
+win AS (SELECT doc_id, k, md5(array_to_string(w[k:k + 34], ' ')) AS key
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS k FROM d WHERE len(w) >= 35)),
+again AS (SELECT key FROM win GROUP BY key HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + 35)) AS p FROM win JOIN again USING (key)),
+pos AS (SELECT doc_id, p, w[p] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+         FROM pos ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id"""
+
+WINNOWING = f"""
+WITH d AS ({_words("documents", TEST_WORDS)}),
+b AS ({_words("benchmark", TEST_WORDS, "CAST(item_id AS VARCHAR) AS item_id")}),
+win AS (SELECT DISTINCT item_id, 10 AS n, array_to_string(w[k:k + 9], ' ') AS key
+        FROM (SELECT item_id, w, unnest(range(1, len(w) - 8)) AS k FROM b WHERE len(w) >= 10)
+        UNION ALL SELECT DISTINCT item_id, len(w), array_to_string(w, ' ') FROM b WHERE len(w) BETWEEN 1 AND 9),
+here AS (SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS key
+         FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k
+               FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, item_id, n, k FROM here JOIN win USING (n, key)),
+words_hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(i.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(h.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words_hit h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id"""
+
+HYPERMINHASH = f"""
+WITH RECURSIVE d AS ({_words("documents", WORDS)}),
+shingle AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM d WHERE len(w) >= 5)
+            UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+         FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM shared JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+         WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+smallest AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, smallest.c AS component_id, d.doc_id = smallest.c AS kept
+FROM d LEFT JOIN size ON size.doc_id = d.doc_id JOIN smallest ON smallest.a = d.doc_id"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_superkmer": SUPERKMER, "op5_winnowing": WINNOWING, "op9_hyperminhash": HYPERMINHASH}
