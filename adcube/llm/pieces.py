@@ -28,15 +28,17 @@ from .common import chunks, hash_words
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK, OTHER = 0x2581, 0x110000  # the marker for a space; what a marker in the text is taken for
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 6 << 20
 CELLS = 1 << 17  # units of a length go together up to so many characters
 ALONE = 400  # longer units are segmented one by one
+MAYBE = 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class Vocabulary:
     keys: list[np.ndarray]  # for each length: sorted hashes of the pieces
+    maybe: list[np.ndarray]  # for each length: which first MAYBE bits of a hash some key has
     ids: list[np.ndarray]
     scores: list[np.ndarray]
     unknown: float  # score of a character without a piece
@@ -69,14 +71,16 @@ def load(model: str = MODEL) -> Vocabulary:
                 least = min(least, sp.get_score(i))
     if (byte_id < 0).any():
         raise ValueError("the model has no piece for some byte")
-    keys, ids, scores = [], [], []
+    keys, maybe, ids, scores = [], [], [], []
     for length in range(1, max(by_length) + 1):
         rows = by_length.get(length, [])
         points = np.array([[ord(c) for c in p] for _, p, _ in rows], np.uint32).reshape(len(rows), length)
         key = substrings(points, length)[:, 0]
         order = np.argsort(key)
+        maybe.append(np.zeros(1 << MAYBE, bool))
+        maybe[-1][key >> np.uint64(64 - MAYBE)] = True
         keys.append(key[order]), ids.append(np.array([r[0] for r in rows], np.int32)[order]), scores.append(np.array([r[2] for r in rows], float)[order])
-    return Vocabulary(keys, ids, scores, least - 10, byte_id, np.frombuffer(b"".join(text), np.uint8), np.cumsum([0, *map(len, text)]))
+    return Vocabulary(keys, maybe, ids, scores, least - 10, byte_id, np.frombuffer(b"".join(text), np.uint8), np.cumsum([0, *map(len, text)]))
 
 
 def substrings(points: np.ndarray, length: int, prefix: np.ndarray | None = None) -> np.ndarray:
@@ -105,12 +109,15 @@ def viterbi(points: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     score, found = [], []
     for length in range(1, longest + 1):
         q, key = substrings(points, length, hashes), v.keys[length - 1]
-        if len(key):
+        scores, ids = np.full(q.shape, -np.inf), np.full(q.shape, -1, np.int32)
+        row, column = np.nonzero(v.maybe[length - 1][q >> np.uint64(64 - MAYBE)])
+        if len(row):
+            q = q[row, column]
             at = np.minimum(np.searchsorted(key, q), len(key) - 1)
             hit = key[at] == q
-            score.append(np.where(hit, v.scores[length - 1][at], -np.inf)), found.append(np.where(hit, v.ids[length - 1][at], -1))
-        else:
-            score.append(np.full(q.shape, -np.inf)), found.append(np.full(q.shape, -1, np.int32))
+            row, column, at = row[hit], column[hit], at[hit]
+            scores[row, column], ids[row, column] = v.scores[length - 1][at], v.ids[length - 1][at]
+        score.append(scores), found.append(ids)
     score[0] = np.where(found[0] < 0, v.unknown, score[0])
     if n == 1:
         last, piece = _one(score, found, size)
@@ -232,10 +239,12 @@ def decode_chunk(ids: np.ndarray, at: np.ndarray, v: Vocabulary) -> tuple[np.nda
     return out[keep], np.append(0, np.cumsum(keep))[text_at]
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_col: str = "ids", carry: list[str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_col: str = "ids", carry: list[str] | None = None, check_col: str | None = None) -> DataFrame:
     """The columns ``carry`` (None: all) of every row and, last, the ids of its whole text.
 
-    Null and empty texts have no ids; repeated rows have the same ones.
+    ``check_col``: one more column, whether the ids decode to the text again
+    (decoded by the same task).  Null and empty texts have no ids; repeated rows
+    have the same ones.
     """
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
     kept = docs.columns if carry is None else carry
@@ -246,9 +255,16 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_
             for first, end, raw, at in chunks(batch.column(batch.num_columns - 1), CHUNK_BYTES):
                 ids, id_at = encode_chunk(raw, at, sent.value)
                 own = [batch.column(i).slice(first, end - first) for i in range(batch.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*own, pa.ListArray.from_arrays(pa.array(id_at.astype(np.int32)), pa.array(ids.astype(np.int32)))], [*batch.schema.names[:-1], ids_col])
-
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField(ids_col, T.ArrayType(T.IntegerType()))]))
+                own.append(pa.ListArray.from_arrays(pa.array(id_at.astype(np.int32)), pa.array(ids.astype(np.int32))))
+                if check_col:
+                    again, again_at = decode_chunk(ids, id_at, sent.value)
+                    own.append(pa.array([raw[a:b].tobytes() == again[c:d].tobytes() for a, b, c, d in zip(at, at[1:], again_at, again_at[1:])], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(own, schema.names)
+
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+    if check_col:
+        schema = schema.add(check_col, T.BooleanType())
+    return rows.mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

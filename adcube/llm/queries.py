@@ -50,10 +50,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = pieces.load()
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    out = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
-    return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+    out = pieces.encode(table(spark, sf_dir, "documents"), pieces.load(), carry=["doc_id"], check_col="round_trip")
+    return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "round_trip")
 
 
 def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:

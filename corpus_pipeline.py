@@ -54,10 +54,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, source, lang, ids`` and whether the ids decode to the whole text again."""
-    vocabulary = pieces.load()
-    rows = docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))).select("doc_id", "source", "lang", "text")
-    out = pieces.decode(pieces.encode(rows, vocabulary), vocabulary)
-    return out.select("doc_id", "source", "lang", "ids", F.size("ids").cast("long").alias("n_ids"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+    out = pieces.encode(docs, pieces.load(), carry=["doc_id", "source", "lang"], check_col="round_trip")
+    return out.withColumn("n_ids", F.size("ids").cast("long"))
 
 
 STAGES = [
