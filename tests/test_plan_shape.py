@@ -83,3 +83,21 @@ def test_raw_report_is_scanned_once_after_the_account_maxima(spark):
     from adcube.sources import testdata
     df = staging_campaign(testdata.ad_sources(spark, SF), EngineConfig(goals=()))
     assert plan(df).count("l_quantity") and plan(df).count("lineitem.parquet") == 1
+
+
+def test_aggregated_facts_join_their_goals_without_another_exchange(spark):
+    from adcube.config import EngineConfig
+    from adcube.plans.staging import staging_keyword
+    from adcube.sources import testdata
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        src = testdata.ad_sources(spark, SF)
+        src = src.with_(keyword_report=spark.createDataFrame(src.keyword_report.limit(50).toPandas()),
+                        keyword_conversions=spark.createDataFrame(src.keyword_conversions.limit(50).toPandas()))
+        p = plan(staging_keyword(src, EngineConfig(goals=("2-HIGH",)), sync_time=False))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # facts: partial sums, then the join keys; goals: one
+    assert p.count("Exchange hashpartitioning") == 3
