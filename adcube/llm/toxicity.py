@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 
 from .common import LOWER, documents, map_text, mix, rows_of, stored
 
-GRAMS, BITS, FEATURES = (4, 5), 20, 4096
-TOXIC, OTHER = 2_000, 4_000
+GRAMS, BITS, FEATURES = (5, 6, 7), 20, 4096
+TOXIC, OTHER = 3_000, 5_000
 PENALTY, STEPS = 1.0, 300
 
 
@@ -104,7 +104,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     kind = chosen.schema["doc_id"].dataType.simpleString()
     rows = map_text(chosen, bits, f"doc_id {kind}, label int, bits binary").toArrow().sort_by([("doc_id", "ascending"), ("bits", "ascending")])
     has = np.unpackbits(np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint8).reshape(rows.num_rows, -1), 1)[:, : len(best)]
-    coefficient, bias = fit(has.astype(np.float32) * ratio.astype(np.float32), (rows["label"].to_numpy() == 1).astype(np.float32))
+    x = has.astype(np.float32)
+    x *= ratio.astype(np.float32)
+    coefficient, bias = fit(x, (rows["label"].to_numpy() == 1).astype(np.float32))
     weights = np.zeros(1 << BITS, np.float32)
     weights[chosen_slots] = coefficient * ratio
     # The sample's share of toxic texts is not that of the labels.
