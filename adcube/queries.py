@@ -204,18 +204,18 @@ def _folder(spark) -> str:
 
 
 def q_sink_full_refresh(spark, sf_dir):
-    """A table written twice holds the second content (partitions by day)."""
+    """A table written twice holds the second content (partitions by account)."""
     path = _folder(spark)
-    write_table(staging_campaign(_src(spark, sf_dir, max_date=str(FIRST_LOAD)), USD), path, ("date",))
-    write_table(staging_campaign(_src(spark, sf_dir), USD), path, ("date",))
+    write_table(staging_campaign(_src(spark, sf_dir, max_date=str(FIRST_LOAD)), USD), path, ("account_id",))
+    write_table(staging_campaign(_src(spark, sf_dir), USD), path, ("account_id",))
     return rounded(read_table(spark, path))
 
 
 def q_sink_staging_runs(spark, sf_dir):
     """Two daily staging runs on disk, the second without conversion reports (columns synced)."""
     path = _folder(spark)
-    run_staging(spark, "campaign", _src(spark, sf_dir, max_date=str(FIRST_LOAD)), USD, path)
-    run_staging(spark, "campaign", _src(spark, sf_dir, conversions=False), USD, path)
+    run_staging(spark, "campaign", _src(spark, sf_dir, max_date=str(FIRST_LOAD)), USD, path, ("account_id",))
+    run_staging(spark, "campaign", _src(spark, sf_dir, conversions=False), USD, path, ("account_id",))
     return rounded(read_table(spark, path))
 
 
