@@ -32,20 +32,20 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``doc_id`` and counts over the whole text of every row (null: empty)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^ \t-\r]"))
     rows = rows.select(
         "doc_id",
         F.filter(F.split("text", r"[ \t-\r]+"), lambda w: w != "").alias("words"),
         lines.alias("lines"),
         F.length(F.translate("text", BLANKS, "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.regexp_replace("text", f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
         F.length(F.regexp_replace("text", "[^A-Z]+", "")).cast("long").alias("n_capitals"),
     )
     rows = rows.withColumn("grams", F.expr("if(size(words) < 3, array(), transform(sequence(0, size(words) - 3), i -> xxhash64(words[i], words[i + 1], words[i + 2])))").cast("array<bigint>"))
     # Only texts with a repeated window sort them; equal ones are then neighbours.
-    sorted_grams = F.expr("if(size(array_distinct(grams)) = size(grams), array(), array_sort(transform(grams, (h, i) -> struct(h, i))))").cast("array<struct<h:bigint,i:int>>")
+    sorted_grams = F.expr("if(size(array_distinct(grams)) = size(grams), array(), sort_array(transform(grams, (h, i) -> struct(h, i))))").cast("array<struct<h:bigint,i:int>>")
     rows = rows.withColumn("sorted", sorted_grams)
-    at = F.expr("array_sort(transform(filter(sorted, (g, k) -> (k > 0 and sorted[greatest(k - 1, 0)].h = g.h) or (k < size(sorted) - 1 and sorted[least(k + 1, size(sorted) - 1)].h = g.h)), g -> g.i))")
+    at = F.expr("sort_array(transform(filter(sorted, (g, k) -> (k > 0 and sorted[greatest(k - 1, 0)].h = g.h) or (k < size(sorted) - 1 and sorted[least(k + 1, size(sorted) - 1)].h = g.h)), g -> g.i))")
     rows = rows.withColumn("starts", at)
     # A repeated window covers three words, less those that the one before covers.
     repeated = F.expr("aggregate(starts, struct(0L as n, -3 as last), (a, i) -> struct(a.n + least(3, i - a.last) as n, i as last), a -> a.n)")
@@ -59,7 +59,6 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         repeated.alias("n_repeat_words"),
         n_lines.alias("n_lines"),
         "n_capitals",
-        F.size(F.filter("words", lambda w: F.length(F.translate(w, SYMBOLS, "")) < F.length(w))).cast("long").alias("n_symbol_words"),
         F.size(F.filter("words", lambda w: (w == F.upper(w)) & (w != F.lower(w)))).cast("long").alias("n_capital_words"),
         F.size(F.array_distinct("words")).cast("long").alias("n_distinct"),
         F.size(F.array_intersect("words", F.array(*map(F.lit, FUNCTION_WORDS)))).cast("long").alias("n_function_words"),
@@ -77,7 +76,7 @@ def rules() -> dict[str, Column]:
     bad = {
         "word_size": (size < 2.5) | (size > 14),
         "symbols": F.col("n_symbols") / words > 0.1,
-        "symbol_words": F.col("n_symbol_words") / words > 0.1,
+        "symbol_chars": F.col("n_symbols") / chars > 0.02,
         "copied_lines": F.col("n_dup_lines") / lines > 0.3,
         "repeats": F.col("n_repeat_words") / words > 0.4,
         "variety": F.col("n_distinct") / words < 0.2,
