@@ -103,10 +103,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
     rows = map_text(chosen, bits, f"doc_id {kind}, label int, bits binary").toArrow().sort_by([("doc_id", "ascending"), ("bits", "ascending")])
-    has = np.unpackbits(np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint8).reshape(rows.num_rows, -1), 1)[:, : len(best)]
-    x = has.astype(np.float32)
-    x *= ratio.astype(np.float32)
-    coefficient, bias = fit(x, (rows["label"].to_numpy() == 1).astype(np.float32))
+    placed.destroy()
+    has = np.unpackbits(np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint8).reshape(rows.num_rows, -1), axis=1, count=len(best))
+    coefficient, bias = fit(has, ratio.astype(np.float32), (rows["label"].to_numpy() == 1).astype(np.float32))
     weights = np.zeros(1 << BITS, np.float32)
     weights[chosen_slots] = coefficient * ratio
     # The sample's share of toxic texts is not that of the labels.
@@ -123,30 +122,46 @@ def _deviance(in1, in0, n1, n0) -> np.ndarray:
     return out
 
 
-def fit(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = STEPS) -> tuple[np.ndarray, float]:
-    """Logistic regression with an L2 penalty, by accelerated gradient descent."""
-    step = 1.0 / (0.25 * _largest(x) + penalty)
-    w, b = np.zeros(x.shape[1], np.float32), 0.0
+BLOCK = 512
+
+
+def _blocks(has: np.ndarray):
+    """Rows of the matrix of bytes as floats, some at a time."""
+    for a in range(0, len(has), BLOCK):
+        yield slice(a, a + BLOCK), has[a : a + BLOCK].astype(np.float32)
+
+
+def fit(has: np.ndarray, ratio: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = STEPS) -> tuple[np.ndarray, float]:
+    """Logistic regression on ``has * ratio`` with an L2 penalty, by accelerated gradient descent."""
+    step = 1.0 / (0.25 * _largest(has, ratio) + penalty)
+    w, b = np.zeros(len(ratio), np.float32), 0.0
     v, c = w.copy(), b
     for k in range(steps):
-        error = 1 / (1 + np.exp(-np.clip(x @ v + c, -30, 30))) - y
-        w_next = v - step * (x.T @ error + penalty * v)
-        b_next = c - step * float(error.sum())
+        slope, lean = penalty * v, 0.0
+        for rows, x in _blocks(has):
+            error = 1 / (1 + np.exp(-np.clip(x @ (ratio * v) + c, -30, 30))) - y[rows]
+            slope += ratio * (error @ x)
+            lean += float(error.sum())
+        w_next, b_next = v - step * slope, c - step * lean
         momentum = k / (k + 3)
         v, c = w_next + momentum * (w_next - w), b_next + momentum * (b_next - b)
         w, b = w_next, b_next
     return w.astype(np.float64), float(b)
 
 
-def _largest(x: np.ndarray) -> float:
-    """Largest eigenvalue of the square of ``x`` with a column of ones, by power iteration."""
-    v, c = np.ones(x.shape[1], np.float32) / np.sqrt(x.shape[1] + 1), 1 / np.sqrt(x.shape[1] + 1)
+def _largest(has: np.ndarray, ratio: np.ndarray) -> float:
+    """Largest eigenvalue of the square of ``has * ratio`` with a column of ones, by power iteration."""
+    n = len(ratio) + 1
+    v, c = np.full(len(ratio), 1 / np.sqrt(n), np.float32), 1 / np.sqrt(n)
     size = 1.0
     for _ in range(20):
-        u = x @ v + c
-        v, c = x.T @ u, float(u.sum())
-        size = float(np.sqrt(v @ v + c * c))
-        v, c = v / size, c / size
+        slope, lean = np.zeros(len(ratio), np.float32), 0.0
+        for _, x in _blocks(has):
+            u = x @ (ratio * v) + np.float32(c)
+            slope += ratio * (u @ x)
+            lean += float(u.sum())
+        size = float(np.sqrt(slope @ slope + lean * lean))
+        v, c = slope / np.float32(size), lean / size
     return 1.1 * size
 
 
