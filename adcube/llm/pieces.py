@@ -28,8 +28,8 @@ from .common import chunks, hash_words
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK, OTHER = 0x2581, 0x110000  # the marker for a space; what a marker in the text is taken for
-CHUNK_BYTES = 6 << 20
-CELLS = 1 << 17  # units of a length go together up to so many characters
+CHUNK_BYTES = 2 << 20
+CELLS = 1 << 16  # units of a length go together up to so many characters
 ALONE = 400  # longer units are segmented one by one
 MAYBE = 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
