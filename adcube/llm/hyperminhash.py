@@ -359,6 +359,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_class = classes.join(labels, "class").select("class", "label", "one")
     smallest = of_class.groupBy("label").agg(F.min("one").alias("first"))
     of_class = of_class.join(smallest, "label").select("class", "first")
-    empty = F.col("class").isNull()
     first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
-    return sketch.join(of_class, "class", "left").select("doc_id", "text_key", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"), (empty | first).alias("representative"))
+    linked = sketch.join(of_class, "class").select("doc_id", "text_key", "n_shingles", F.col("first.doc_id").alias("component_id"), first.alias("representative"))
+    empty = sketch.where("class is null").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("representative"))
+    return linked.unionByName(empty)
