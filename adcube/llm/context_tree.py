@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from .common import LOWER, documents, find_words, hash_words, list_array, map_text, rows_of, signed, stored
 
 ORDER = 4  # up to 6: a gram and a decision then still fit 64 bits
+TOP = 2  # contexts of so many bytes are groups of their own
 # A table of at most so many rows is sent to the tasks; a larger one is joined by shuffle.
 SENT_ROWS = 1 << 21
 # Words counted at least N / FREQUENT times: there are FREQUENT of them at most.
@@ -107,12 +108,12 @@ def decisions(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def subtree(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, dict]:
-    """Below one context of one byte: for each gram the chance of each of its eight
-    decisions by the nodes of depth 1 to ORDER, and the nodes of depth 1."""
+    """Below one context of TOP bytes: for each gram the chance of each of its eight
+    decisions by the nodes of depth TOP to ORDER, and the nodes of depth TOP."""
     prefix, bit = decisions(gram)
     weight = np.repeat(n[:, None], 8, 1)
     below = chance = None
-    for depth in range(ORDER, 0, -1):
+    for depth in range(ORDER, TOP - 1, -1):
         context = (gram.astype(np.int64) >> 8) & ((1 << (8 * depth)) - 1)
         node = ((context[:, None] << 8) | prefix).ravel()
         ids, at = np.unique(node, return_inverse=True)
@@ -126,43 +127,64 @@ def subtree(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, dict]:
             last, of_last = below
             parent = np.empty(len(last), np.int64)
             parent[of_last] = at
-            product = np.bincount(parent, last, len(ids))
-            mixed = np.logaddexp(own, product)
-            share = np.exp(own - mixed)[at]
-            chance = share * estimate + (1 - share) * chance
-            weighted = mixed - np.log(2)
+            share, weighted = _mixed(own, np.bincount(parent, last, len(ids)))
+            chance = share[at] * estimate + (1 - share[at]) * chance
         below = (weighted, at)
-    return chance.reshape(-1, 8), {"prefix": ids & 255, "zeros": zero, "ones": one, "weighted": weighted}
+    return chance.reshape(-1, 8), {"before": ids >> 8, "prefix": ids & 255, "zeros": zero, "ones": one, "weighted": weighted}
+
+
+def _mixed(own: np.ndarray, product: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Share of a node's own estimate, and its weighted probability (ln)."""
+    both = np.logaddexp(own, product)
+    return np.exp(own - both), both - np.log(2)
+
+
+class Top:
+    """The nodes of depth 0 and 1, at most 256 * 255, as tables by context and prefix."""
+
+    def __init__(self, nodes: pa.Table):
+        self.zero, self.one, product = (np.zeros((2, 256, 256)) for _ in range(3))
+        at = (1, nodes["context"].to_numpy(), nodes["prefix"].to_numpy())
+        self.zero[at], self.one[at], product[at] = (nodes[c].to_numpy() for c in ("zeros", "ones", "product"))
+        self.share = np.zeros((2, 256, 256))
+        own = log_kt(self.zero[1].astype(np.int64), self.one[1].astype(np.int64))
+        self.share[1], weighted = _mixed(own, product[1])
+        here = np.zeros((256, 256), bool)
+        here[at[1:]] = True
+        self.zero[0, 0], self.one[0, 0] = self.zero[1].sum(0), self.one[1].sum(0)
+        own = log_kt(self.zero[0, 0].astype(np.int64), self.one[0, 0].astype(np.int64))
+        self.share[0, 0], _ = _mixed(own, np.where(here, weighted, 0).sum(0))
+
+    def mix(self, gram: np.ndarray, chance: np.ndarray) -> np.ndarray:
+        prefix, bit = decisions(gram)
+        for depth, context in ((1, (gram >> 8 & 255)[:, None]), (0, 0)):
+            zero, one, share = (t[depth, context, prefix] for t in (self.zero, self.one, self.share))
+            chance = share * (np.where(bit == 1, one, zero) + 0.5) / (zero + one + 1) + (1 - share) * chance
+        return chance
 
 
 def log_probabilities(table: DataFrame) -> DataFrame:
-    """``gram, log10`` from ``gram, n``.  A context of one byte is one group (at
-    most 2^(8 * ORDER) grams); the root has 255 nodes and needs their sums only."""
-    grouped = table.select("gram", "n").withColumn("before", F.expr("cast((gram >> 8) & 255 as int)"))
+    """``gram, log10`` from ``gram, n``.  The grams after one context of TOP bytes are a
+    group; the shorter contexts need sums over groups only, and are few."""
 
     def run(rows: pa.Table) -> pa.Table:
         chance, nodes = subtree(rows["gram"].to_numpy(), rows["n"].to_numpy())
         n, m = len(chance), len(nodes["prefix"])
         lists = pa.ListArray.from_arrays(pa.array(np.append(np.arange(n + 1) * 8, np.full(m, 8 * n)).astype(np.int32)), pa.array(chance.ravel()))
         column = {"gram": pa.concat_arrays([rows["gram"].combine_chunks(), pa.nulls(m, pa.int64())]), "chances": lists}
-        column |= {c: pa.concat_arrays([pa.nulls(n, pa.array(nodes[c]).type), pa.array(nodes[c])]) for c in ("prefix", "zeros", "ones", "weighted")}
+        column |= {c: pa.concat_arrays([pa.nulls(n, pa.array(nodes[c]).type), pa.array(nodes[c])]) for c in ("before", "prefix", "zeros", "ones", "weighted")}
         return pa.table(column)
 
-    parts = stored(grouped.groupBy("before").applyInArrow(run, "gram long, chances array<double>, prefix long, zeros long, ones long, weighted double"))
-    tops = parts.where("prefix is not null").groupBy("prefix").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("product"))
-    zero, one, share = np.zeros(256), np.zeros(256), np.zeros(256)
-    for r in tops.collect():  # at most 255 rows
-        own = float(log_kt(np.array([r.zeros]), np.array([r.ones]))[0])
-        zero[r.prefix], one[r.prefix], share[r.prefix] = r.zeros, r.ones, np.exp(own - np.logaddexp(own, r["product"]))
+    grouped = table.select("gram", "n").groupBy(F.expr(f"(gram >> 8) & {(1 << 8 * TOP) - 1}").alias("group"))
+    parts = stored(grouped.applyInArrow(run, "gram long, chances array<double>, before long, prefix long, zeros long, ones long, weighted double"))
+    nodes = parts.where("prefix is not null").groupBy(F.expr("before & 255").alias("context"), "prefix").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("product"))
+    top = Top(nodes.toArrow())
 
     def finish(batches):
         for batch in batches:
             gram = batch.column(0).to_numpy()
-            prefix, bit = decisions(gram)
-            chance = batch.column(1).flatten().to_numpy().reshape(-1, 8)
-            estimate = np.where(bit == 1, one[prefix] + 0.5, zero[prefix] + 0.5) / (zero[prefix] + one[prefix] + 1)
-            mixed = share[prefix] * estimate + (1 - share[prefix]) * chance
-            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(np.log10(mixed).sum(1))], ["gram", "log10"])
+            chance = top.mix(gram, batch.column(1).flatten().to_numpy().reshape(-1, 8))
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(np.log10(chance).sum(1))], ["gram", "log10"])
 
     return parts.where("gram is not null").select("gram", "chances").mapInArrow(finish, "gram long, log10 double")
 
