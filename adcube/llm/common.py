@@ -8,8 +8,6 @@ text, so a task's memory does not depend on the number or length of documents
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import written as stored  # small results used twice, cut off from their lineage
+
 CHUNK_BYTES = 2 << 20
 
 # Word separators: the characters \x20 and \x09-\x0D.
@@ -48,27 +48,6 @@ def id_remainder(doc_id: str | Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``.  Where it is unset: a temporary
-    folder for a one-process local session, else one below the warehouse."""
-    sc = spark.sparkContext
-    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        one_process = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
-        folder = tempfile.mkdtemp(prefix="llm-") if one_process else f"{spark.conf.get('spark.sql.warehouse.dir')}/_llm"
-        sc.setCheckpointDir(folder)
-        folder = sc.getCheckpointDir()
-    return folder
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a cut in the lineage
-    that outlives executors, for small intermediate results used twice."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_key"] == b["text_key"])
 
