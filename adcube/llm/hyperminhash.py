@@ -3,18 +3,18 @@
 A document's set is its distinct five-word shingles (as 64-bit hashes).  Each of
 REGISTERS hash functions keeps its minimum over the set in 16 bits: the number
 of leading zeros and the MANTISSA bits after the first one.  Groups of ROWS
-registers are banded; documents of one band bucket are candidates, their
-Jaccard similarity is estimated from equal registers, corrected for the
-collisions that the short registers are expected to have, and pairs that may
-reach the threshold are confirmed on their full sets.
+registers are banded; documents of one band bucket are candidates.  First each
+is compared with one pivot: their Jaccard similarity is estimated from equal
+registers, corrected for the collisions that the short registers are expected to
+have, and pairs that may reach the threshold are confirmed on their full sets.
 
 Equal sets are one class from the start.  A shingle that no other candidate has
 cannot be shared: a class with too many of them links with nothing and goes, and
-the others' bound the similarity of a pair.  Inside a bucket no pairs are listed
-at first: every class is compared with one pivot, the one with the fewest lone
-shingles.  Confirmed links are contracted to components, and only classes of one
-bucket that are in different components are then compared with each other, so a
-bucket of many mutual copies costs as many comparisons as it has members.
+the others' bound the similarity of a pair.  A bucket's pivot is the class with
+the fewest lone shingles.  Confirmed links are contracted to components, and only
+classes of one bucket that are in different components are then compared with
+each other, on their full sets and in blocks; of the links found there, those
+that join components leave the task.
 """
 
 from __future__ import annotations
