@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, text_key string, n_words string, slot string, spans string, path string, score string, unit string"
 
 
@@ -27,7 +28,7 @@ def texts() -> list[tuple]:
         (None, prose(80, 4)),
         (None, None),
         (4, long),
-        (5, "x" * 300_000),
+        (5, "x" * 60_000),
         (6, prose(120, 5)),
         (6, prose(120, 5)),
         (6, "Another text of the same id, mail a.b@c.de"),

@@ -4,7 +4,7 @@ from collections import Counter
 
 import duckdb
 import pytest
-from conftest import SF
+from data import SF
 
 from adcube.llm import oracle, queries
 

@@ -3,7 +3,7 @@
 import data
 import plain
 import pytest
-from conftest import SF
+from data import SF
 from pyspark.sql import functions as F
 
 import corpus_pipeline
