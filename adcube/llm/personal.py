@@ -39,7 +39,6 @@ _NO_LETTER = np.zeros(256, bool)
 _NO_LETTER[:128] = [not chr(c).isalpha() for c in range(128)]
 
 # Fixed patterns of the contract; an address is found from its "@" on.
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
