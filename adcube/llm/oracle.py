@@ -1,12 +1,14 @@
 """DuckDB SQL for the text operators whose whole result SQL can express.
 
-The others have a trained or estimated part (op1, op2, op3, op6, op8, op10) or a
+The others have a trained or estimated part (op1, op2, op3, op6, op8) or a
 tokenizer (op7); ``tests/llm`` holds them against plain versions instead.  Ids
 of documents are unique in the test tables.
 """
 
 from __future__ import annotations
 
+from .licenses import LICENCE_FILE, MOSTLY, SPEAKS_OF, TEMPLATES, TERM, THRESHOLD
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = r"[^\x20\x09-\x0D]+"
 TEST_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -64,5 +66,49 @@ SELECT d.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, smallest.c A
 FROM d LEFT JOIN size ON size.doc_id = d.doc_id JOIN smallest ON smallest.a = d.doc_id"""
 
 
+_FORMS = ", ".join(
+    "('{}', {}, '{}')".format(name, k, t.replace("'", "''"))
+    for name in sorted(TEMPLATES) for k, t in enumerate([*TEMPLATES[name], f"SPDX-License-Identifier: {name}"]))
+_WHITE = r"[ \t\n\x0B\f\r]+"
+
+LICENSES = f"""
+WITH templates(licence, form, text) AS (VALUES {_FORMS}),
+files AS (SELECT doc_id, coalesce(text, '') AS text,
+                 concat_ws('/', source, lang, CAST(doc_id // 100 AS VARCHAR), CAST(doc_id AS VARCHAR)) AS path FROM documents),
+found AS (SELECT doc_id, unit, len(regexp_split_to_array(trim(unit), '{_WHITE}')) / n AS words
+          FROM (SELECT doc_id, path, text, len(regexp_split_to_array(trim(text), '{_WHITE}')) AS n,
+                       unnest(CASE WHEN regexp_matches(path, '{LICENCE_FILE}') AND trim(text) <> '' THEN [text]
+                                   ELSE string_split(text, chr(10)) END) AS unit FROM files)
+          WHERE regexp_matches(unit, '{SPEAKS_OF}') OR regexp_matches(path, '{LICENCE_FILE}')),
+total AS (SELECT (SELECT count(*) FROM found) + (SELECT count(*) FROM templates) AS n),
+different AS (SELECT unit, count(*) AS copies FROM found GROUP BY unit),
+vec AS (SELECT unit, copies, term, count(*) AS tf
+        FROM (SELECT unit, copies, unnest(regexp_extract_all(lower(unit), '{TERM}')) AS term FROM different) GROUP BY ALL),
+form AS (SELECT licence, form, term, count(*) AS tf
+         FROM (SELECT licence, form, unnest(regexp_extract_all(lower(text), '{TERM}')) AS term FROM templates) GROUP BY ALL),
+idf AS (SELECT term, ln((1.0 + (SELECT n FROM total)) / (1 + sum(c))) + 1 AS idf
+        FROM (SELECT term, copies AS c FROM vec UNION ALL SELECT term, 1 FROM form) GROUP BY term),
+fw AS (SELECT licence, form, term, tf * idf AS w FROM form JOIN idf USING (term)),
+fs AS (SELECT licence, form, sqrt(sum(w * w)) AS size FROM fw GROUP BY 1, 2),
+uw AS (SELECT unit, term, tf * idf AS w FROM vec JOIN idf USING (term)),
+us AS (SELECT unit, sqrt(sum(w * w)) AS size FROM uw GROUP BY 1),
+cosine AS (SELECT unit, licence, round(sum(uw.w * fw.w) / min(us.size) / min(fs.size), 9) AS s
+           FROM uw JOIN fw USING (term) JOIN us USING (unit) JOIN fs USING (licence, form) GROUP BY unit, licence, form),
+best AS (SELECT unit, licence, s FROM cosine WHERE s >= {THRESHOLD}
+         QUALIFY row_number() OVER (PARTITION BY unit ORDER BY s DESC, licence DESC) = 1),
+own AS (SELECT doc_id, first(licence ORDER BY s DESC, licence DESC) AS own_licence, max(s) AS s,
+               bool_or(words >= {MOSTLY}) AS mostly FROM found JOIN best USING (unit) GROUP BY doc_id),
+placed AS (SELECT f.doc_id, f.path, regexp_replace(f.path, '/[^/]*$', '') AS directory, own_licence, s, mostly
+           FROM files f LEFT JOIN own ON f.doc_id = own.doc_id),
+licensed AS (SELECT directory AS above, first(own_licence ORDER BY s DESC, own_licence DESC) AS licence
+             FROM placed WHERE mostly GROUP BY 1),
+nearest AS (SELECT directory, above, licence FROM (SELECT DISTINCT directory FROM placed) d
+            JOIN licensed l ON d.directory = l.above OR starts_with(d.directory, l.above || '/') OR l.above = ''
+            QUALIFY row_number() OVER (PARTITION BY directory ORDER BY length(above) DESC) = 1)
+SELECT doc_id, path, own_licence, round(s, 6) AS similarity, coalesce(own_licence, licence) AS licence,
+       CASE WHEN own_licence IS NOT NULL THEN path ELSE above END AS licensed_by
+FROM placed LEFT JOIN nearest USING (directory)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_superkmer": SUPERKMER, "op5_winnowing": WINNOWING, "op9_hyperminhash": HYPERMINHASH}
+    return {"op4_superkmer": SUPERKMER, "op5_winnowing": WINNOWING, "op9_hyperminhash": HYPERMINHASH, "op10_licenses": LICENSES}
