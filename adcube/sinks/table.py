@@ -142,9 +142,9 @@ def _stored_schema(store: _Store, path: str) -> tuple[StructType, list[str]] | N
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, ``None`` if there is none; any other failure is raised.
 
-    Tables written by other tools have no schema file: their footers are merged.
+    Reading leaves the folders of a running or interrupted write alone.  Tables
+    written by other tools have no schema file: their footers are merged.
     """
-    recover(spark, path)
     store = _Store(spark, path)
     if not store.exists(path):
         return None
@@ -185,7 +185,10 @@ def _write_beside(df: DataFrame, folder: str, partition_by) -> None:
 
 
 def recover(spark: SparkSession, path: str) -> None:
-    """Finish the moves of an interrupted run; delete what it had not finished writing."""
+    """Finish the moves of an interrupted run; delete what it had not finished writing.
+
+    For writers only: every run calls it before it looks at the table.
+    """
     store = _Store(spark, path)
     for side, finish in ((f"{path}__replace", _move_table), (f"{path}__upsert", _move_partitions)):
         if not store.exists(side):
@@ -239,6 +242,7 @@ def upsert_by_key(spark: SparkSession, batch: DataFrame, path: str, keys: list[s
     between them is finished by the next run.  A table without partitions, and
     one that ``sync`` removes or retypes a column of, is replaced as a whole.
     """
+    recover(spark, path)
     target = read_table(spark, path)
     if target is None:
         write_table(batch, path, partition_by)

@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 
 from ..config import EngineConfig
 from ..session import written
-from ..sinks.table import read_table, upsert_by_key, write_table
+from ..sinks.table import read_table, recover, upsert_by_key, write_table
 from ..sources.catalog import AdSources
 from ..plans.incremental import STAGING_PARTITIONS, staging_keys
 from ..plans.staging import STAGING
@@ -35,6 +35,7 @@ def start_staging_stream(spark: SparkSession, entity: str, landing_path: str, la
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        recover(session, target_path)
         if read_table(session, target_path) is None:
             write_table(STAGING[entity](sources(session), cfg), target_path, partition_by)
             return

@@ -130,6 +130,10 @@ def test_unfinished_write_beside_the_table_is_dropped(spark, tmpdir_path):
     _days(spark, [(1, 1, 99)]).write.partitionBy("date").parquet(f"{path}__upsert")
     os.remove(f"{path}__upsert/_SUCCESS")
     assert _rows(read_table(spark, path).select("date", "ad_id", "v")) == _rows(first)
+    assert os.path.exists(f"{path}__upsert")  # reading may happen beside a running write
+    upsert_by_key(spark, first, path, ["date", "ad_id"])
+    assert _rows(read_table(spark, path).select("date", "ad_id", "v")) == _rows(first)
+    assert not os.path.exists(f"{path}__upsert")
 
 
 def test_touched_partitions_get_few_files(spark, tmpdir_path):
