@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from ..session import written as stored  # small results used twice, cut off from their lineage
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+BATCH_ROWS = 2_000
 
 # Word separators: the characters \x20 and \x09-\x0D.
 BLANK = np.zeros(256, bool)
@@ -72,12 +73,21 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         row = end
 
 
-def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch, int, int, np.ndarray, np.ndarray], pa.RecordBatch | None], schema: str | T.StructType, text: str = "text") -> DataFrame:
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts travel in Arrow batches of BATCH_ROWS rows at most (results do not depend on it):
+    a batch is held twice by the JVM and once by Python, for each task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def map_text(df: DataFrame, fn: Callable[[pa.RecordBatch, int, int, np.ndarray, np.ndarray], pa.RecordBatch | None], schema: str | T.StructType, text: str = "text", limit: int = CHUNK_BYTES) -> DataFrame:
     """Apply ``fn(batch, first, end, bytes, offsets)`` to every chunk of the text column."""
+    small_batches(df.sparkSession)
 
     def run(batches):
         for batch in batches:
-            for first, end, raw, at in chunks(batch.column(batch.schema.get_field_index(text))):
+            for first, end, raw, at in chunks(batch.column(batch.schema.get_field_index(text)), limit):
                 out = fn(batch, first, end, raw, at)
                 if out is not None and out.num_rows:
                     yield out

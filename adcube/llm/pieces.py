@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, hash_words
+from .common import chunks, hash_words, small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK, OTHER = 0x2581, 0x110000  # the marker for a space; what a marker in the text is taken for
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 CELLS = 1 << 16  # units of a length go together up to so many characters
 ALONE = 400  # longer units are segmented one by one
 MAYBE = 18
@@ -249,6 +249,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
     kept = docs.columns if carry is None else carry
     rows = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text_col}`").cast("string").alias("text to encode"))
+    small_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:

@@ -26,6 +26,7 @@ from .common import LOWER, documents, map_text, mix, rows_of, stored
 GRAMS, BITS, FEATURES = (5, 6, 7), 20, 4096
 TOXIC, OTHER = 3_000, 5_000
 PENALTY, STEPS = 1.0, 300
+CHUNK_BYTES = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -50,9 +51,8 @@ def slots(raw: np.ndarray, at: np.ndarray, keep: np.ndarray | None = None) -> tu
         whole = doc[:size] == doc[n - 1 :]
         if keep is not None:
             whole &= keep[slot]
-        found.append((doc[:size][whole] << BITS) | slot[whole])
-    key = np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
-    key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
+        found.append(np.unique((doc[:size][whole] << BITS) | slot[whole]))
+    key = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
     return key >> BITS, key & ((1 << BITS) - 1)
 
 
@@ -79,7 +79,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         key, n = np.unique(slot * 2 + (label[doc] == 1), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(key >> 1), pa.array(key & 1), pa.array(n)], ["slot", "label", "n"])
 
-    seen = map_text(chosen.select("label", "text"), count, "slot long, label long, n long").groupBy("slot").agg(F.sum(F.expr("n * label")).alias("one"), F.sum(F.expr("n * (1 - label)")).alias("zero"))
+    seen = map_text(chosen.select("label", "text"), count, "slot long, label long, n long", limit=CHUNK_BYTES).groupBy("slot").agg(F.sum(F.expr("n * label")).alias("one"), F.sum(F.expr("n * (1 - label)")).alias("zero"))
     seen = seen.toArrow()  # 2^BITS rows at most
     sizes = {r.label: r.n for r in chosen.groupBy((F.col("label") == 1).alias("label")).agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(True, 0), sizes.get(False, 0)
@@ -102,7 +102,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return pa.RecordBatch.from_arrays([*rows_of(batch, first, end, "doc_id", "label"), pa.array([r.tobytes() for r in np.packbits(has, 1)], pa.binary())], ["doc_id", "label", "bits"])
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    rows = map_text(chosen, bits, f"doc_id {kind}, label int, bits binary").toArrow().sort_by([("doc_id", "ascending"), ("bits", "ascending")])
+    rows = map_text(chosen, bits, f"doc_id {kind}, label int, bits binary", limit=CHUNK_BYTES).toArrow().sort_by([("doc_id", "ascending"), ("bits", "ascending")])
     placed.destroy()
     has = np.unpackbits(np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint8).reshape(rows.num_rows, -1), axis=1, count=len(best))
     coefficient, bias = fit(has, ratio.astype(np.float32), (rows["label"].to_numpy() == 1).astype(np.float32))
@@ -184,4 +184,4 @@ def classify(docs: DataFrame, model: Model, text_col: str = "text", carry: list[
         return pa.RecordBatch.from_arrays([*own, pa.array(chance)], [*batch.schema.names[:-1], score_col])
 
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField(score_col, T.DoubleType())])
-    return map_text(rows, run, schema, "text to score")
+    return map_text(rows, run, schema, "text to score", CHUNK_BYTES)
