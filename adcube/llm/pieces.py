@@ -1,12 +1,16 @@
-"""SentencePiece encoding and decoding by batched Viterbi.
+"""SentencePiece encoding and decoding, batched over units of one length.
 
-The pieces and scores of a model file are kept; a text's segmentation is the one
-whose scores add up highest.  No piece has a space after another character, so a
-text falls apart into units (spaces and the word after them) that are segmented
-on their own.  Each chunk segments every different unit once: units of one
-length advance together, polynomial hashes of all their substrings of a length
-are looked up among the sorted keys of the pieces at once, and maxima over the
-lengths of the last piece give the back pointers of a whole column.
+The pieces and scores of a model file are kept.  No piece has a space after
+another character, so a text falls apart into units (spaces and the word after
+them) that are segmented on their own.  Each chunk segments every different unit
+once: units of one length advance together, and polynomial hashes of all their
+substrings of a length are looked up among the sorted keys of the pieces at once.
+
+The scores of a BPE model are merge ranks, so its segmentation is that of its
+merges (``load(merges=True)``): in every step each unit joins its leftmost
+neighbours whose piece scores highest, until no neighbours form a piece.  The
+scores of a unigram model add up (``merges=False``): maxima over the lengths of
+the last piece give the back pointers of a whole column.
 
 The text is not normalised.  Spaces become the piece marker, with one more in
 front; characters without a piece, and the marker itself, become bytes, so
@@ -15,6 +19,7 @@ decoding gives back every text exactly.
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,9 +50,10 @@ class Vocabulary:
     byte_id: np.ndarray
     text: np.ndarray  # bytes of all pieces as decoded
     text_at: np.ndarray
+    merges: bool = False  # segment by merges (BPE models), not by the highest sum
 
 
-def load(model: str = MODEL) -> Vocabulary:
+def load(model: str = MODEL, merges: bool = False) -> Vocabulary:
     """Read a model file; its size bounds what is sent to the tasks."""
     import sentencepiece
 
@@ -80,7 +86,7 @@ def load(model: str = MODEL) -> Vocabulary:
         maybe.append(np.zeros(1 << MAYBE, bool))
         maybe[-1][key >> np.uint64(64 - MAYBE)] = True
         keys.append(key[order]), ids.append(np.array([r[0] for r in rows], np.int32)[order]), scores.append(np.array([r[2] for r in rows], float)[order])
-    return Vocabulary(keys, maybe, ids, scores, least - 10, byte_id, np.frombuffer(b"".join(text), np.uint8), np.cumsum([0, *map(len, text)]))
+    return Vocabulary(keys, maybe, ids, scores, least - 10, byte_id, np.frombuffer(b"".join(text), np.uint8), np.cumsum([0, *map(len, text)]), merges)
 
 
 def substrings(points: np.ndarray, length: int, prefix: np.ndarray | None = None) -> np.ndarray:
@@ -100,14 +106,11 @@ def prefixes(points: np.ndarray) -> np.ndarray:
     return h
 
 
-def viterbi(points: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Ids (-1: a character without a piece) and their ends, for units of one length,
-    right-aligned rows padded with -2.  Of equal sums the longer last piece wins."""
-    n, size = points.shape
-    longest = min(size, len(v.keys))
+def _found(points: np.ndarray, v: Vocabulary) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each length, the scores (-inf: none) and ids (-1) of the pieces that begin in each place."""
     hashes = prefixes(points)
     score, found = [], []
-    for length in range(1, longest + 1):
+    for length in range(1, min(points.shape[1], len(v.keys)) + 1):
         q, key = substrings(points, length, hashes), v.keys[length - 1]
         scores, ids = np.full(q.shape, -np.inf), np.full(q.shape, -1, np.int32)
         row, column = np.nonzero(v.maybe[length - 1][q >> np.uint64(64 - MAYBE)])
@@ -118,6 +121,84 @@ def viterbi(points: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
             row, column, at = row[hit], column[hit], at[hit]
             scores[row, column], ids[row, column] = v.scores[length - 1][at], v.ids[length - 1][at]
         score.append(scores), found.append(ids)
+    return score, found
+
+
+def merged(points: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids (-1: a character without a piece) and their ends, for units of one length,
+    rows padded with -2.  Every step joins one pair of each unit that still has one,
+    so these units have the same number of symbols."""
+    n, size = points.shape
+    score, found = _found(points, v)
+    out, ends = np.full((n, size), -2, np.int32), np.zeros((n, size), np.int32)
+    longest = len(score)
+    ids = np.full((longest, n, size), -1, np.int32)
+    for length in range(1, longest + 1):
+        ids[length - 1, :, : size - length + 1] = found[length - 1]
+
+    def finish(rows, edge):
+        begin = edge[:, :-1]
+        out[rows, : begin.shape[1]] = ids[edge[:, 1:] - begin - 1, rows[:, None], begin]
+        ends[rows, : begin.shape[1]] = edge[:, 1:]
+
+    if n == 1:
+        finish(np.zeros(1, np.int64), _merged_one(score, size))
+        return out, ends
+    value = np.full((longest + 1, n, size), -np.inf)
+    for length in range(1, longest + 1):
+        value[length - 1, :, : size - length + 1] = score[length - 1]
+    rows, edge = np.arange(n), np.tile(np.arange(size + 1), (n, 1))
+    pair = value[min(1, longest), :, : size - 1]
+    for symbols in range(size, 1, -1):
+        j = pair.argmax(1)
+        go = pair[np.arange(len(rows)), j] > -np.inf
+        if not go.all():
+            finish(rows[~go], edge[~go])
+            rows, edge, pair, j = rows[go], edge[go], pair[go], j[go]
+        k = np.arange(len(rows))
+        if not len(k):
+            break
+        keep = np.ones(edge.shape, bool)
+        keep[k, j + 1] = False
+        edge = edge[keep].reshape(len(k), symbols)
+        keep = np.ones(pair.shape, bool)
+        keep[k, j] = False
+        pair = pair[keep].reshape(len(k), symbols - 2)
+        for side, i in ((j > 0, j - 1), (j < symbols - 2, j)):
+            r, i = k[side], i[side]
+            begin = edge[r, i]
+            pair[r, i] = value[np.minimum(edge[r, i + 2] - begin, longest + 1) - 1, rows[r], begin]
+    if len(rows):
+        finish(rows, edge)
+    return out, ends
+
+
+def _merged_one(score, size):
+    """Edges of the symbols of one long unit, with a heap of the pairs instead of maxima over all."""
+    lists = [s[0].tolist() for s in score]
+    after, before = list(range(1, size + 1)), list(range(-1, size))
+    pairs = [(-s, a, a + 1, a + 2) for a, s in enumerate(lists[1] if len(lists) > 1 else []) if s > -1e300]
+    heapq.heapify(pairs)
+    gone = bytearray(size + 1)
+    while pairs:
+        _, a, middle, end = heapq.heappop(pairs)
+        if gone[a] or gone[middle] or after[a] != middle or after[middle] != end:
+            continue
+        gone[middle], after[a], before[end] = 1, end, a
+        for left, mid, right in ((before[a], a, end), (a, end, after[end] if end < size else -1)):
+            if left >= 0 and 0 <= right - left <= len(lists) and right > 0:
+                s = lists[right - left - 1][left]
+                if s > -1e300:
+                    heapq.heappush(pairs, (-s, left, mid, right))
+    return np.array([[i for i in range(size + 1) if not gone[i]]])
+
+
+def viterbi(points: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids (-1: a character without a piece) and their ends, for units of one length,
+    right-aligned rows padded with -2.  Of equal sums the longer last piece wins."""
+    n, size = points.shape
+    score, found = _found(points, v)
+    longest = len(score)
     score[0] = np.where(found[0] < 0, v.unknown, score[0])
     if n == 1:
         last, piece = _one(score, found, size)
@@ -210,7 +291,7 @@ def encode_chunk(raw: np.ndarray, at: np.ndarray, v: Vocabulary) -> tuple[np.nda
         for c in range(a, b, block):
             units = order[c : min(b, c + block)]
             p = points[start_1[units][:, None] + np.arange(length)]
-            ids, ends = viterbi(p, v)
+            ids, ends = (merged if v.merges else viterbi)(p, v)
             row, column = np.nonzero(ids > -2)
             piece = ids[row, column]
             char, n = _bytes_of(p[row, ends[row, column] - 1])

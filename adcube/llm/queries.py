@@ -50,7 +50,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pieces.encode(table(spark, sf_dir, "documents"), pieces.load(), carry=["doc_id"], check_col="round_trip")
+    out = pieces.encode(table(spark, sf_dir, "documents"), pieces.load(merges=True), carry=["doc_id"], check_col="round_trip")
     return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "round_trip")
 
 

@@ -54,7 +54,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, source, lang, ids`` and whether the ids decode to the whole text again."""
-    out = pieces.encode(docs, pieces.load(), carry=["doc_id", "source", "lang"], check_col="round_trip")
+    out = pieces.encode(docs, pieces.load(merges=True), carry=["doc_id", "source", "lang"], check_col="round_trip")
     return out.withColumn("n_ids", F.size("ids").cast("long"))
 
 

@@ -242,6 +242,24 @@ def test_segmentation_is_the_best(llm, vocabulary, whole):
     assert pieces.decode(llm.createDataFrame([(1, None)], "doc_id long, ids array<int>"), vocabulary).collect()[0].decoded is None
 
 
+def test_ids_are_those_of_the_model(llm, whole):
+    """Whole texts, and units so long that they are segmented alone."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    rows = whole[0] + [(1000, "日本語 a  b"), (1001, "x" * 900), (1002, " lead"), (1003, "w" * 399 + " " + "w" * 399), (1004, "documentation" * 60), (1005, "the and documentation")]
+    out = pieces.encode(llm.createDataFrame(rows, "doc_id long, text string"), pieces.load(merges=True)).collect()
+    assert all(r.ids == sp.encode(r.text or "") for r in out)
+
+
+def test_op7_registers_the_ids_of_the_model(llm, whole):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    found = queries.op7_pieces(llm, data.SF).collect()
+    same([(r.doc_id, tuple(r.ids)) for r in found], [(i, tuple(sp.encode(t or ""))) for i, t in whole[0]])
+
+
 # --------------------------------------------------------- 8 weak supervision
 
 def test_quality_counts(llm, docs, texts):
