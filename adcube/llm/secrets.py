@@ -1,6 +1,6 @@
 """Secret scans, in DataFrame functions and the DataFrame random forest only.
 
-Candidates are the credential-like runs of characters in the words of a text.
+Candidates are all credential-like runs of characters in the words of a text.
 A random forest, trained from labelled findings, removes false positives by the
 candidate's length, its character classes and the transitions between them, how
 like words its letter pairs are, how much of it dictionary words cover, its path
@@ -29,6 +29,11 @@ SECRET = 0.5
 VALUE = r"[A-Za-z0-9+/=_-]{%d,}" % LEAST
 CREDENTIAL = r"(?i)(token|secret|passw|pwd|api|key|auth|credential|bearer|private)"
 ASSIGN = ("=", ":", "=>", ":=")
+# What stands before a value: its name, an assignment, and marks that open a value.
+_OPEN = r"""["'`\\(\[{]*$"""
+MARK = r"(:=|=>|[:=])" + _OPEN
+NAMED = r"""([A-Za-z0-9_.-]+)["'`\\\])]*(?::=|=>|[:=])""" + _OPEN
+NEAR_CHARS = 200  # of the text before a value in its word
 TEST_PATH = r"(?i)(test|example|sample|mock|fixture|doc)"
 FEATURES = ("length", "digits", "capitals", "marks", "hexadecimal", "changes", "distinct", "letter_pairs", "dictionary", "path_depth", "test_path", "near_credential", "near_assignment", "near_words")
 
@@ -37,22 +42,61 @@ KNOWN_SECRET = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|[sr]k_live_[A-Za-z
 KNOWN_OTHER = r"^[0-9]+$"
 
 
+def _runs(w: Column) -> Column:
+    """``place, value, context`` of the runs of a word (context: the end of what stands
+    before it in the word).  A run with an inner "=" falls apart into name and values;
+    it stays whole if a value would be shorter than LEAST."""
+
+    def parts(r: Column, k: Column, runs: Column, gaps: Column) -> Column:
+        context = F.concat(F.coalesce(F.get(runs, k - 1), F.lit("")), F.get(gaps, k))
+
+        def cut(s: Column) -> Column:
+            before = lambda m: F.when(m == 0, context).when(m == 1, F.concat(context, F.get(s, m - 1), F.lit("="))).otherwise(F.concat(F.get(s, m - 1), F.lit("=")))
+            own = F.transform(s, lambda v, m: F.struct(k.alias("place"), v.alias("value"), F.right(before(m), F.lit(NEAR_CHARS)).alias("context")))
+            whole = F.array(F.struct(k.alias("place"), r.alias("value"), F.right(context, F.lit(NEAR_CHARS)).alias("context")))
+            short = F.exists(F.slice(s, F.lit(2), F.size(s)), lambda v: F.length(v) < LEAST)
+            return F.when(short, whole).otherwise(F.filter(own, lambda x: F.length(x["value"]) >= LEAST))
+
+        return F.get(F.transform(F.array(F.split(r, "=+(?=[^=])", -1)), cut), F.lit(0))
+
+    both = F.struct(F.regexp_extract_all(w, F.lit(VALUE), F.lit(0)).alias("runs"), F.split(w, VALUE, -1).alias("gaps"))  # once for each word
+    return F.get(F.transform(F.array(both), lambda z: F.flatten(F.transform(z["runs"], lambda r, k: parts(r, k, z["runs"], z["gaps"])))), F.lit(0))
+
+
+def _assigned(x: Column, previous: Column) -> Column:
+    """``[name, assignment]`` right before a value, in its word or at the end of the word
+    before (of a quoted or a credential's name, or with "="); null: none."""
+    inside = F.when(x["context"].rlike(MARK) & ~x["value"].startswith("//"), x["context"])
+    name = F.regexp_extract(previous, NAMED, 1)
+    tells = previous.rlike(r"""["']:$""") | previous.rlike("=>?$") | (previous.endswith(":") & name.rlike(CREDENTIAL))
+    ahead = F.when(x["context"].rlike("^" + _OPEN) & (F.length(previous) > 2) & tells, previous)
+    at = F.coalesce(inside, ahead)
+    return F.when(at.isNotNull(), F.array(F.regexp_extract(at, NAMED, 1), F.regexp_extract(at, MARK, 1)))
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
-    """``doc_id, text_key, path, word, value, before, after`` of each candidate (word: its place among the words).
+    """``doc_id, text_key, path, word, place, value, before, after`` of each candidate
+    (word: its word's place among the words, place: its run's place in the word).
 
     A candidate is a run of at least LEAST credential characters in a word that
-    has a digit or follows an assignment.  Null and empty texts have none.
+    has a digit or follows an assignment, in its word or before it; a word may
+    hold many.  Null and empty texts have none.
     """
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), path.alias("path"), F.split(text, r"[ \t-\r]+").alias("words"))
-    assign = ", ".join(f"'{a}'" for a in ASSIGN)
-    found = F.expr(f"""filter(transform(words, (w, i) -> if(length(w) < {LEAST}, null, struct(i, regexp_extract(w, '{VALUE}', 0) as value))),
-        x -> x is not null and x.value != '' and (x.value rlike '[0-9]' or coalesce(get(words, x.i - 1), '') in ({assign})))""")
-    rows = rows.withColumn("found", found).where(F.size("found") > 0)
+    near = lambda i, k: F.coalesce(F.get("words", i + k), F.lit(""))
+
+    def of_word(w: Column, i: Column) -> Column:
+        previous = F.right(near(i, -1), F.lit(NEAR_CHARS))
+        with_names = F.transform(_runs(w), lambda x: F.struct(i.alias("word"), x["place"].alias("place"), x["value"].alias("value"), _assigned(x, previous).alias("named")))
+        told = lambda x: x["value"].rlike("[0-9]") | x["named"].isNotNull() | previous.isin(*ASSIGN)
+        return F.when(F.length(w) >= LEAST, F.filter(with_names, told))
+
+    rows = rows.withColumn("found", F.flatten(F.filter(F.transform("words", of_word), lambda x: x.isNotNull()))).where(F.size("found") > 0)
     rows = rows.select("doc_id", "text_key", "path", "words", F.explode("found").alias("x"))
-    near = lambda k: F.coalesce(F.expr(f"get(words, x.i + {k})"), F.lit(""))
-    return rows.select("doc_id", "text_key", "path", F.col("x.i").alias("word"), F.col("x.value").alias("value"), F.array(near(-2), near(-1)).alias("before"), near(1).alias("after"))
+    before = F.coalesce(F.col("x.named"), F.array(near(F.col("x.word"), -2), near(F.col("x.word"), -1)))
+    return rows.select("doc_id", "text_key", "path", F.col("x.word").alias("word"), F.col("x.place").alias("place"), F.col("x.value").alias("value"), before.alias("before"), near(F.col("x.word"), 1).alias("after"))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY) -> tuple[list[str], list[float]]:
@@ -114,7 +158,7 @@ def labelled_by_format(found: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, limit: int = TRAINED_ON):
     """The forest, from at most ``limit`` findings of each class (those with the smallest
     hashes); None if a class is missing."""
-    order = [F.xxhash64("value", "doc_id", "word"), F.col("value"), F.col("doc_id"), F.col("word")]
+    order = [F.xxhash64("value", "doc_id", "word"), F.col("value"), F.col("doc_id"), F.col("word"), F.col("place")]
     kept = [*(f"f_{k}" for k in FEATURES), "label"]
     sample = stored(labelled.where("label = 1").orderBy(*order).limit(limit).select(*kept).unionByName(labelled.where("label = 0").orderBy(*order).limit(limit).select(*kept)))
     if sample.select("label").distinct().count() < 2:
@@ -124,7 +168,7 @@ def train(labelled: DataFrame, limit: int = TRAINED_ON):
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None, labelled: DataFrame | None = None) -> DataFrame:
-    """``doc_id, text_key, path, word, value, probability, secret`` of every candidate.
+    """``doc_id, text_key, path, word, place, value, probability, secret`` of every candidate.
 
     ``labelled``: findings as of :func:`with_features` with a ``label`` (1 secret,
     0 not; None: those of the texts that their format labels).  If a class is
@@ -139,7 +183,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     else:
         rows = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="features").transform(found)
         judged = forest.transform(rows).withColumn("probability", vector_to_array("probability")[1])
-    return judged.select("doc_id", "text_key", "path", "word", "value", "probability", (F.col("probability") >= SECRET).alias("secret"))
+    return judged.select("doc_id", "text_key", "path", "word", "place", "value", "probability", (F.col("probability") >= SECRET).alias("secret"))
 
 
 def redact(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[secret]") -> DataFrame:
