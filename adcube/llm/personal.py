@@ -2,8 +2,8 @@
 
 Four kinds of protected entities are found by their patterns.  Terms near an
 entity are then judged by what they reveal of it over the whole corpus: with N
-documents, n(t) that hold term t, n(e) different surroundings of entity e and
-n(t, e) of these that hold t, the information that t gives about e is
+different texts, n(t) that hold term t, n(e) that hold entity e and n(t, e) that
+hold t beside e, the information that t gives about e is
 
     PMI(t; e) = log2(N * n(t, e) / (n(t) * n(e)))      and      IC(e) = log2(N / n(e))
 
@@ -11,9 +11,12 @@ is all there is to know.  A term whose share PMI / IC reaches GENERALISE is
 replaced by its kind, one that reaches REMOVE (it occurs nearly nowhere else) is
 removed.  A share counts only from SUPPORT different surroundings on, so one
 document and its copies reveal nothing by having rare words beside an address.
+Most entities have fewer, so terms are also judged by what entities share: the
+domain of an address and the entity's kind.
 
-Document frequencies are counted for the terms seen near entities only; a
-bitmap of fixed size picks them out of the texts (a full one only counts more).
+Frequencies are counted for the terms seen near entities only; a bitmap of fixed
+size picks them out of the texts, another one the texts that may be repeated
+(full ones only count more).
 """
 
 from __future__ import annotations
@@ -90,7 +93,8 @@ def _ascii_lower(term: str) -> str:
 
 
 def beside(text: str, found: list[tuple[int, int, int, str]]):
-    """``entity, surroundings, term, start, end`` of the terms on both sides of each entity."""
+    """``entity, shared, kind, surroundings, term, start, end`` of the terms on both sides of
+    each entity (shared: its domain, for an address; else the entity itself)."""
     busy = [(a, b) for a, _, b, _ in found]
     reach = 24 * AROUND  # long words make a side shorter
     for start, kind, end, value in found:
@@ -100,13 +104,14 @@ def beside(text: str, found: list[tuple[int, int, int, str]]):
         near = [m for m in left + right if not any(a < m.end() and m.start() < b for a, b in busy)]
         terms = [_ascii_lower(m[0]) for m in near]
         surroundings = xxhash.xxh3_64_intdigest("\x00".join(terms).encode()) >> 1
-        entity = xxhash.xxh3_64_intdigest(f"{kind}:{value}".encode()) >> 1
+        domain = value[value.index("@") :] if kind == 0 else value
+        names = [xxhash.xxh3_64_intdigest(f"{kind}:{v}".encode()) >> 1 for v in (value, domain, "")]
         for m, t in zip(near, terms):
-            yield entity, surroundings, t, m.start(), m.end()
+            yield *names, surroundings, t, m.start(), m.end()
 
 
 SPAN = "struct<start:int,kind:string,end:int,action:string>"
-NEAR = "struct<entity:long,around:long,term:long,start:int,end:int>"
+NEAR = "struct<entity:long,shared:long,sort:long,around:long,term:long,start:int,end:int>"
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -120,8 +125,8 @@ def scan(docs: DataFrame) -> DataFrame:
             found = entities(text)
             spans.append([{"start": a, "kind": KINDS[k], "end": b, "action": "replace"} for a, k, b, _ in found])
             rows = list(beside(text, found)) if found else []
-            near.append([{"entity": e, "around": s, "term": len(terms) + i, "start": a, "end": b} for i, (e, s, _, a, b) in enumerate(rows)])
-            terms += [t for _, _, t, _, _ in rows]
+            near.append([{"entity": e, "shared": d, "sort": k, "around": s, "term": len(terms) + i, "start": a, "end": b} for i, (e, d, k, s, _, a, b) in enumerate(rows)])
+            terms += [t for *_, t, _, _ in rows]
         hashes = _term_hashes(terms).tolist()
         for rows in near:
             for row in rows:
@@ -133,7 +138,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32()), ("action", pa.string())]))
-_NEAR = pa.list_(pa.struct([("entity", pa.int64()), ("around", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
+_NEAR = pa.list_(pa.struct([("entity", pa.int64()), ("shared", pa.int64()), ("sort", pa.int64()), ("around", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
 def _term_hashes(terms: list[str]) -> np.ndarray:
@@ -142,14 +147,29 @@ def _term_hashes(terms: list[str]) -> np.ndarray:
     return signed(hash_words(np.frombuffer(b"".join(raw), np.uint8), np.append(0, stop[:-1]) if raw else stop, stop))
 
 
-def document_frequency(docs: DataFrame, terms: DataFrame, bits: int) -> DataFrame:
-    """``term, n``: documents that hold each of ``terms`` (and of others of their slots)."""
+def _slots(values: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of the slots of a column of hashes."""
 
     def slot(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(signed(slot_of(batch.column(0).to_numpy().view(np.uint64), bits)))], ["slot"])
 
-    held = docs.sparkSession.sparkContext.broadcast(bitmap(terms.mapInArrow(slot, "slot long"), F.col("slot"), bits))
+    return bitmap(values.mapInArrow(slot, "slot long"), F.col("slot"), bits)
+
+
+def text_frequency(docs: DataFrame, terms: DataFrame, texts: DataFrame, bits: int) -> DataFrame:
+    """``term, n``: different texts that hold each of ``terms`` (and of others of their
+    slots).  ``texts``: text_key, rows and the hash of one row of every text.  Texts are
+    counted where they are; of one that may be repeated that row alone is, by its key."""
+    context = docs.sparkSession.sparkContext
+    held = context.broadcast(_slots(terms, bits))
+    again = context.broadcast(_slots(texts.where("rows > 1").select("text_key"), bits))
+
+    def maybe_repeated(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array(in_bitmap(again.value, slot_of(batch.column(0).to_numpy().view(np.uint64), bits))))], ["row"])
+
+    chosen = context.broadcast(_slots(texts.select("text_key", "row").mapInArrow(maybe_repeated, "row long"), bits))
 
     def count(batch, first, end, raw, at):
         low = LOWER[raw]
@@ -158,10 +178,15 @@ def document_frequency(docs: DataFrame, terms: DataFrame, bits: int) -> DataFram
         hit = np.flatnonzero(in_bitmap(held.value, slot_of(h, bits)))
         doc = np.searchsorted(word_at, hit, "right") - 1
         pair = np.unique(np.stack([signed(h[hit]), doc], 1), axis=0) if len(hit) else np.zeros((0, 2), np.int64)
-        term, n = np.unique(pair[:, 0], return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(term), pa.array(n)], ["term", "n"])
+        key, row = (c.to_numpy() for c in rows_of(batch, first, end, "text_key", "row"))
+        maybe = in_bitmap(again.value, slot_of(key.view(np.uint64), bits))
+        term, n = np.unique(pair[~maybe[pair[:, 1]], 0], return_counts=True)
+        pair = pair[(maybe & in_bitmap(chosen.value, slot_of(row.view(np.uint64), bits)))[pair[:, 1]]]
+        keys = pa.concat_arrays([pa.nulls(len(term), pa.int64()), pa.array(key[pair[:, 1]])])
+        return pa.RecordBatch.from_arrays([pa.array(np.append(term, pair[:, 0])), keys, pa.array(np.append(n, np.ones(len(pair), np.int64)))], ["term", "text_key", "n"])
 
-    return map_text(docs.select("text"), count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counted = map_text(docs.select("text", "text_key", F.xxhash64("doc_id", "text_key").alias("row")), count, "term long, text_key long, n long").groupBy("term", "text_key").agg(F.sum("n").alias("n"))
+    return counted.groupBy("term").agg(F.sum(F.when(F.col("text_key").isNull(), F.col("n")).otherwise(1)).alias("n"))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT, bits: int = BITS) -> DataFrame:
@@ -169,16 +194,20 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", genera
     that disclose one (start, kind, end in code points, action), in order.
 
     Null and empty texts have none.  Repeated rows have the same spans and, as
-    equal surroundings count once, add nothing to what a term reveals.
+    equal texts and equal surroundings count once, add nothing to what a term reveals.
     """
     whole = documents(docs, id_col, text_col)
     found = stored(scan(whole))
     near = found.select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.*")
-    entity = near.select("entity", "around").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    both = near.select("term", "entity", "around").distinct().groupBy("term", "entity").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
-    both = stored(both.join(entity, "entity"))
-    frequency = document_frequency(whole, both.select("term").distinct(), bits)
-    n = found.count()
+    near = near.withColumn("entity", F.explode(F.array_distinct(F.array("entity", "shared", "sort")))).drop("shared", "sort")
+    entity = near.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
+    # Sets of texts and of surroundings, each counted after its own distinct.
+    around = near.select("term", "entity", "around").distinct().groupBy("term", "entity").agg(F.count("*").alias("n_around")).where(F.col("n_around") >= support)
+    held = near.select("term", "entity", "text_key").distinct().groupBy("term", "entity").agg(F.count("*").alias("n_te"))
+    both = stored(held.join(around, ["term", "entity"]).join(entity, "entity"))
+    copies = stored(found.groupBy("text_key").agg(F.count("*").alias("rows"), F.min(F.xxhash64("doc_id", "text_key")).alias("row")))
+    frequency = text_frequency(whole, both.select("term").distinct(), copies, bits)
+    n = copies.count()
     share = F.log2(F.lit(float(n)) * F.col("n_te") / (F.col("n") * F.col("n_e"))) / F.log2(F.lit(float(n)) / F.col("n_e"))
     disclosing = both.where(F.col("n_e") < n).join(frequency, "term").withColumn("share", share).where(F.col("share") >= generalise)
     disclosing = disclosing.select("term", "entity", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"))

@@ -104,6 +104,40 @@ def test_copies_of_one_text_reveal_nothing(llm):
     assert found.where("exists(spans, s -> s.kind = 'term')").count() == 0
 
 
+@pytest.mark.parametrize("copies", [1, 3000])
+def test_terms_disclose_whatever_the_copies(llm, copies):
+    """One of three texts with the address is copied, which says nothing about its terms."""
+    rows = [(i, f"{a} Zanzibari {b} ask zoe@corp.example {c} often") for i, (a, b, c) in enumerate([("red", "house", "now"), ("blue", "garden", "then"), ("green", "tower", "soon")])]
+    rows += [(1000 + k, rows[0][1]) for k in range(copies - 1)]
+    rows += [(10 + i, f"word{'abcdefghij'[i % 10]} often plain text {data.prose(20, i)}") for i in range(60)]
+    found = personal.find(llm.createDataFrame(rows, "doc_id long, text string"))
+    clean = {r.doc_id: r.text for r in personal.sanitised(llm.createDataFrame(rows[:3], "doc_id long, text string"), found.where("doc_id < 3")).collect()}
+    assert clean == {0: "red  house ask [email] now often", 1: "blue  garden ask [email] then often", 2: "green  tower ask [email] soon often"}
+
+
+@pytest.mark.parametrize("bits", [6, personal.BITS])
+def test_frequencies_count_texts_and_full_bitmaps_change_nothing(llm, bits):
+    rows = [(i, f"alpha text{'abcdefghij'[i % 10]} beta {'gamma' if i % 3 else ''}") for i in range(40)] + [(None, "alpha twice"), (None, "alpha twice")]
+    whole = personal.documents(llm.createDataFrame(rows, "doc_id long, text string"))
+    texts = whole.groupBy("text_key").agg(F.count("*").alias("rows"), F.min(F.xxhash64("doc_id", "text_key")).alias("row"))
+    names = ["alpha", "beta", "gamma", "twice"]
+    terms = llm.createDataFrame([(h,) for h in personal._term_hashes(names).tolist()], "term long")
+    found = {r.term: r.n for r in personal.text_frequency(whole, terms, texts, bits).collect()}
+    expected = [len({t for _, t in rows if n in t.split()}) for n in names]
+    assert [found[h] for h in personal._term_hashes(names).tolist()] == expected
+
+
+def test_terms_disclose_what_entities_share(llm):
+    """Every address occurs once: terms are judged by the domain, and by the kind."""
+    rows = [(i, f"{a} Zanzibari {b} ask {who}@corp.example {c} often") for i, (who, a, b, c) in enumerate([("zoe", "red", "house", "now"), ("ann", "blue", "garden", "then"), ("bob", "green", "tower", "soon")])]
+    rows += [(3 + i, f"{a} Reachable {b} at {who} {c} often") for i, (who, a, b, c) in enumerate([("x@one.example", "ash", "street", "her"), ("y@two.example", "oak", "bridge", "him"), ("z@three.example", "elm", "valley", "you")])]
+    rows += [(10 + i, f"word{'abcdefghij'[i % 10]} often plain text {data.prose(20, i)}") for i in range(60)]
+    found = personal.find(llm.createDataFrame(rows, "doc_id long, text string"))
+    terms = {r.doc_id: [docs_text(rows, r.doc_id)[s.start : s.end] for s in r.spans if s.kind == "term"] for r in found.collect()}
+    assert all(terms[i] == ["Zanzibari"] for i in range(3)) and all(terms[i] == ["Reachable"] for i in range(3, 6))
+    assert not any(terms[10 + i] for i in range(60))
+
+
 # -------------------------------------------------------------- 3 context tree
 
 def test_base_scores_and_sent_or_joined_tables(llm, docs, texts):
