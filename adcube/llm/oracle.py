@@ -110,5 +110,55 @@ SELECT doc_id, path, own_licence, round(s, 6) AS similarity, coalesce(own_licenc
 FROM placed LEFT JOIN nearest USING (directory)"""
 
 
+# crc32 of the decimal id: bytes folded one by one, eight shifts each.
+_CRC = """xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: CAST(ascii(c) AS UBIGINT))),
+             lambda a, c: xor(a >> 8, list_extract(crcs, CAST(xor(a & 255::UBIGINT, c) AS BIGINT) + 1))), 4294967295::UBIGINT)"""
+_CRC_TABLE = """crc_step(i, k, v) AS (SELECT i, 0, CAST(i AS UBIGINT) FROM range(256) r(i)
+    UNION ALL SELECT i, k + 1, xor(v >> 1, 3988292384::UBIGINT * (v & 1::UBIGINT)) FROM crc_step WHERE k < 8),
+crc_table AS (SELECT list(v ORDER BY i) AS crcs FROM crc_step WHERE k = 8)"""
+
+
+def _field(column: str, more: str = "") -> str:
+    return f"coalesce(CAST(strlen(CAST({column}{more} AS VARCHAR)) AS VARCHAR) || ':' || CAST({column}{more} AS VARCHAR), '-')"
+
+
+_LEAF = "sha256({})".format(" || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", "text"))))
+_TAMPERED = "sha256({})".format(" || ".join(_field(c, " + 1" if c == "n_chars" else "") for c in ("doc_id", "source", "lang", "n_chars", "text")))
+
+# Trees of the languages (t = 1 and up) and the tree over their roots (t = 0); a node's level
+# counts from its leaves.
+MERKLE = f"""
+WITH RECURSIVE {_CRC_TABLE},
+leaf AS (SELECT doc_id, lang, {_LEAF} AS leaf, {_CRC} % 7 = 0 AS tampered, {_TAMPERED} AS changed FROM documents, crc_table),
+placed AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS t,
+                  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                  count(*) OVER (PARTITION BY lang) AS n FROM leaf),
+node(t, level, pos, n, h) AS (
+    SELECT t, 0, pos, n, leaf FROM placed
+    UNION ALL
+    SELECT t, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM node WHERE n > 1 GROUP BY t, level, pos // 2, n),
+subroot AS (SELECT t, h, level FROM node WHERE n = 1),
+high(level, pos, n, h) AS (
+    SELECT 0, row_number() OVER (ORDER BY t) - 1, count(*) OVER (), h FROM subroot
+    UNION ALL
+    SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY level, pos // 2, n),
+way(t, start, level, h) AS (
+    SELECT p.t, p.pos, x.level, s.h FROM placed p JOIN node x ON x.t = p.t AND x.n > 1 AND x.pos = p.pos >> x.level
+    LEFT JOIN node s ON s.t = x.t AND s.level = x.level AND s.pos = xor(x.pos, 1)),
+high_way AS (SELECT r.t, x.level, s.h FROM subroot r JOIN high x ON x.n > 1 AND x.pos = (r.t - 1) >> x.level
+    LEFT JOIN high s ON s.level = x.level AND s.pos = xor(x.pos, 1)),
+low_proof AS (SELECT t, start, string_agg(h, '' ORDER BY level) AS s, list(coalesce(h, '') ORDER BY level) AS steps FROM way GROUP BY 1, 2),
+high_proof AS (SELECT t, string_agg(h, '' ORDER BY level) AS s, list(coalesce(h, '') ORDER BY level) AS steps FROM high_way GROUP BY 1),
+proof AS (SELECT p.*, coalesce(l.s, '') || coalesce(g.s, '') AS siblings,
+                 list_concat(list_transform(coalesce(l.steps, []), lambda s, k: [s, CAST((p.pos >> (k - 1)) % 2 AS VARCHAR)]),
+                             list_transform(coalesce(g.steps, []), lambda s, k: [s, CAST(((p.t - 1) >> (k - 1)) % 2 AS VARCHAR)])) AS steps
+          FROM placed p LEFT JOIN low_proof l ON l.t = p.t AND l.start = p.pos LEFT JOIN high_proof g ON g.t = p.t),
+told AS (SELECT *, list_reduce(list_concat([[CASE WHEN tampered AND n_changed THEN changed ELSE leaf END, '']], steps),
+                               lambda a, s: [sha256(CASE WHEN s[2] = '1' THEN s[1] || a[1] ELSE a[1] || s[1] END), ''])[1] AS folded_root
+         FROM (SELECT *, changed IS NOT NULL AS n_changed FROM proof))
+SELECT doc_id, leaf, subroot.h AS subroot, high.h AS root, sha256(siblings) AS proof_sha256, folded_root, folded_root = high.h AS verified
+FROM told JOIN subroot USING (t) JOIN high ON high.n = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_superkmer": SUPERKMER, "op5_winnowing": WINNOWING, "op9_hyperminhash": HYPERMINHASH, "op10_licenses": LICENSES}
+    return {"op4_superkmer": SUPERKMER, "op5_winnowing": WINNOWING, "op9_hyperminhash": HYPERMINHASH, "op10_licenses": LICENSES, "op13_merkle": MERKLE}

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import context_tree, hyperminhash, licenses, personal, pieces, secrets, superkmer, toxicity, weak_supervision, winnowing
+from . import context_tree, hyperminhash, licenses, merkle, personal, pieces, secrets, superkmer, toxicity, weak_supervision, winnowing
 from .common import id_remainder, table
 
 
@@ -72,6 +72,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs).withColumn("similarity", F.round("similarity", 6))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of every document, and what they say of rows whose n_chars was changed."""
+    docs = table(spark, sf_dir, "documents")
+    fields = {c: F.col(c) for c in merkle.FIELDS}
+    more = fields | {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
+    changed = (id_remainder("doc_id", 7) == 0) & F.col("n_chars").isNotNull()
+    leaves = docs.select("doc_id", "lang", merkle.leaf(*fields.values()).alias("digest"), F.when(changed, merkle.leaf(*more.values())).alias("tampered"))
+    found = merkle.proofs(merkle.manifest(leaves)).withColumn("folded_root", merkle.folded(F.coalesce("row.tampered", "digest"), "path"))
+    proof = F.sha2(F.array_join(merkle.siblings("path"), ""), 256)
+    return found.select("row.doc_id", F.col("digest").alias("leaf"), "subroot", "root", proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_personal": op2_personal,
@@ -83,4 +95,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_weak_supervision": op8_weak_supervision,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_licenses": op10_licenses,
+    "op13_merkle": op13_merkle,
 }
