@@ -110,6 +110,20 @@ SELECT doc_id, path, own_licence, round(s, 6) AS similarity, coalesce(own_licenc
 FROM placed LEFT JOIN nearest USING (directory)"""
 
 
+# A turn is <|im_start|>role<|im_sep|>text<|im_end|>: 32 characters and one more for each "<|"
+# (after any backslashes) in its role and text.
+CHAT = r"""
+WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+              UNION ALL SELECT -1, k, r, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(k, r)),
+told AS (SELECT conv_id, count(*) AS n_turns,
+                string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+                coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+                sum(32 + length(role) + length(text) + len(regexp_extract_all(role, '<\\*\|')) + len(regexp_extract_all(text, '<\\*\|'))) AS formatted_chars
+         FROM rows GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM told"""
+
 # crc32 of the decimal id: bytes folded one by one, eight shifts each.
 _CRC = """xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: CAST(ascii(c) AS UBIGINT))),
              lambda a, c: xor(a >> 8, list_extract(crcs, CAST(xor(a & 255::UBIGINT, c) AS BIGINT) + 1))), 4294967295::UBIGINT)"""
@@ -161,4 +175,4 @@ FROM told JOIN subroot USING (t) JOIN high ON high.n = 1"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_superkmer": SUPERKMER, "op5_winnowing": WINNOWING, "op9_hyperminhash": HYPERMINHASH, "op10_licenses": LICENSES, "op13_merkle": MERKLE}
+    return {"op4_superkmer": SUPERKMER, "op5_winnowing": WINNOWING, "op9_hyperminhash": HYPERMINHASH, "op10_licenses": LICENSES, "op12_chat": CHAT, "op13_merkle": MERKLE}
