@@ -110,6 +110,34 @@ SELECT doc_id, path, own_licence, round(s, 6) AS similarity, coalesce(own_licenc
 FROM placed LEFT JOIN nearest USING (directory)"""
 
 
+# crc32 of the decimal id: bytes folded one by one, eight shifts each.
+_CRC = """xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: CAST(ascii(c) AS UBIGINT))),
+             lambda a, c: xor(a >> 8, list_extract(crcs, CAST(xor(a & 255::UBIGINT, c) AS BIGINT) + 1))), 4294967295::UBIGINT)"""
+_CRC_TABLE = """crc_step(i, k, v) AS (SELECT i, 0, CAST(i AS UBIGINT) FROM range(256) r(i)
+    UNION ALL SELECT i, k + 1, xor(v >> 1, 3988292384::UBIGINT * (v & 1::UBIGINT)) FROM crc_step WHERE k < 8),
+crc_table AS (SELECT list(v ORDER BY i) AS crcs FROM crc_step WHERE k = 8)"""
+
+
+# A stretch in which words q apart are equal; where two have the same ends, the smaller q is its period.
+RUNS = f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT doc_id, {_CRC} AS h, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w FROM documents, crc_table),
+e AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS made, CAST((h // 10) % greatest(len(w), 1) AS BIGINT) AS a, CAST((h // 10) % 8 AS BIGINT) AS g FROM d),
+f AS (SELECT *, 1 + (n - a) // (3 + g) AS p FROM e),
+pos AS (SELECT doc_id, n, i, CASE WHEN made AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word
+        FROM (SELECT *, unnest(range(n)) AS i FROM f)),
+pair AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM pos x JOIN pos y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i AND 4 * (y.i - x.i) <= x.n),
+stretch AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pair) GROUP BY doc_id, q, island),
+run AS (SELECT doc_id, start, length, min(q) AS q FROM stretch WHERE length >= 6 AND length >= 4 * q GROUP BY ALL),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM pos ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+told AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS lines FROM run GROUP BY doc_id),
+best AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / q DESC, start, q) = 1)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, q AS period, 1000 * length // q AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN told ON told.doc_id = d.doc_id LEFT JOIN best ON best.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id"""
+
 # A turn is <|im_start|>role<|im_sep|>text<|im_end|>: 32 characters and one more for each "<|"
 # (after any backslashes) in its role and text.
 CHAT = r"""
@@ -124,14 +152,6 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIG
        CAST(formatted_chars AS BIGINT) AS formatted_chars
 FROM told"""
 
-# crc32 of the decimal id: bytes folded one by one, eight shifts each.
-_CRC = """xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: CAST(ascii(c) AS UBIGINT))),
-             lambda a, c: xor(a >> 8, list_extract(crcs, CAST(xor(a & 255::UBIGINT, c) AS BIGINT) + 1))), 4294967295::UBIGINT)"""
-_CRC_TABLE = """crc_step(i, k, v) AS (SELECT i, 0, CAST(i AS UBIGINT) FROM range(256) r(i)
-    UNION ALL SELECT i, k + 1, xor(v >> 1, 3988292384::UBIGINT * (v & 1::UBIGINT)) FROM crc_step WHERE k < 8),
-crc_table AS (SELECT list(v ORDER BY i) AS crcs FROM crc_step WHERE k = 8)"""
-
-
 def _field(column: str, more: str = "") -> str:
     return f"coalesce(CAST(strlen(CAST({column}{more} AS VARCHAR)) AS VARCHAR) || ':' || CAST({column}{more} AS VARCHAR), '-')"
 
@@ -175,4 +195,4 @@ FROM told JOIN subroot USING (t) JOIN high ON high.n = 1"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_superkmer": SUPERKMER, "op5_winnowing": WINNOWING, "op9_hyperminhash": HYPERMINHASH, "op10_licenses": LICENSES, "op12_chat": CHAT, "op13_merkle": MERKLE}
+    return {"op4_superkmer": SUPERKMER, "op5_winnowing": WINNOWING, "op9_hyperminhash": HYPERMINHASH, "op10_licenses": LICENSES, "op11_runs": RUNS, "op12_chat": CHAT, "op13_merkle": MERKLE}

@@ -6,12 +6,15 @@ columns of its contract from the operator's real output.
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, context_tree, hyperminhash, licenses, merkle, personal, pieces, secrets, superkmer, toxicity, weak_supervision, winnowing
+from . import chat, context_tree, hyperminhash, licenses, merkle, personal, pieces, runs, secrets, superkmer, toxicity, weak_supervision, winnowing
 from .common import id_remainder, stored, table
 
 
@@ -72,6 +75,33 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs).withColumn("similarity", F.round("similarity", 6))
 
 
+def _periodic(doc_id, text: str | None) -> str | None:
+    """The text that op11's contract makes of a document: one in ten ends in a repeated stretch."""
+    g, rest = divmod(zlib.crc32(b"" if doc_id is None else str(doc_id).encode()), 10)
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    if rest or not words:
+        return text
+    n = len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return " ".join(words[:a] + [words[a + (i - a) % p] for i in range(a, n)])
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all documents, every tenth of which the contract makes periodic first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    change = F.pandas_udf(lambda ids, texts: pd.Series([_periodic(None if pd.isna(i) else i, t) for i, t in zip(ids, texts)], dtype=object), "string")
+    tenth = id_remainder("doc_id", 10) == 0
+    docs = docs.where(~tenth).unionByName(docs.where(tenth).select("doc_id", change(F.col("doc_id").cast("string"), "text").alias("text")))
+    out = runs.collapse(docs)
+    # Longest for its period first (exactly, by cross products), then by start and period.
+    best = F.array_sort("runs", lambda x, y: F.when(x["length"] * y["period"] > y["length"] * x["period"], -1).when(x["length"] * y["period"] < y["length"] * x["period"], 1).when(x["start"] != y["start"], F.when(x["start"] < y["start"], -1).otherwise(1)).when(x["period"] < y["period"], -1).when(x["period"] > y["period"], 1).otherwise(0))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    top = F.get(best, F.lit(0))
+    out = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), top.alias("top"), F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
+    return out.select("doc_id", "n_runs", "top.start", "top.length", "top.period", F.expr("1000 * top.length div top.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts hold the template's own control strings."""
     said = "<|im_end|><|im_start|>assistant ok"
@@ -103,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_weak_supervision": op8_weak_supervision,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_licenses": op10_licenses,
+    "op11_runs": op11_runs,
     "op12_chat": op12_chat,
     "op13_merkle": op13_merkle,
 }
