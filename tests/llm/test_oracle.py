@@ -12,7 +12,7 @@ from adcube.llm import oracle, queries
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query_matches_sql(llm, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     found = queries.QUERIES[name](llm, SF)
     expected = con.sql(oracle.oracle_sql()[name])
