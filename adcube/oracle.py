@@ -455,25 +455,33 @@ def _upsert_columns_sql(policy):
 
 
 def _report_incremental_sql(entity, exact, strict_keys=True):
-    # The newest period start of a report is its newest day, that of its facts.
-    bound = f"""
-bound AS MATERIALIZED (SELECT w, CAST(date_trunc('week', w) AS DATE) AS first_week FROM (
-  SELECT CAST(date_trunc('year', MAX(date) - {LOOKBACK}) AS DATE) AS w FROM perf_base_t))"""
-    since = {g: "SELECT w FROM bound" for g in ("day", "week", "month", "quarter", "year")}
-    if exact:
-        since["week"] = "SELECT first_week FROM bound"
-    first = report_ctes(entity, max_date=FIRST_LOAD, sfx="_t")
-    ctes = [HISTORIES, DIMS, first[0], bound, *first[1:]] + report_ctes(entity, sfx="_b", since_by_g=since)
-    for name in ("perf_base_t", "perf_base_b", f"staging_{entity}_t", f"staging_{entity}_b", "facts_t", "facts_b",
-                 "report_t", "report_b", *([f"dim_{e}" for e in ("accounts", "campaigns", "ad_groups", "keywords")])):
-        ctes = [c.replace(f"\n{name} AS (", f"\n{name} AS MATERIALIZED (") for c in ctes]
-    if strict_keys:
-        match = "b.unique_key = t.unique_key"
-    else:
-        dim = ENTITY_DIM[entity]
-        match = f"b.date_granularity = t.date_granularity AND b.date = t.date AND b.{dim} = t.{dim}"
-    body = (f"SELECT * FROM report_t t WHERE NOT EXISTS (SELECT 1 FROM report_b b WHERE {match})\n"
-            "UNION ALL SELECT * FROM report_b")
+    """Both loads from one staging chain: a day row counts for the first load, the next run, or both.
+
+    Rows of the first load stay where the next run has none of their key (a NULL key has none).
+    """
+    weeks = "CAST(date_trunc('week', w) AS DATE)" if exact else "w"
+    periods = ", ".join(f"{{'g': '{g}', 'd': {d}}}" for g, d in (
+        ("day", "date"), *((g, f"CAST(date_trunc('{g}', date) AS DATE)") for g in ("week", "month", "quarter", "year"))))
+    sums = ", ".join(f"CAST(COALESCE(SUM({q(m)}), 0) AS BIGINT) AS {q(m)}" if m in REPORT_INT
+                     else f"COALESCE(SUM({q(m)}), 0) AS {q(m)}" for m in REPORT_MEASURES)
+    dim = ENTITY_DIM[entity]
+    ctes = [HISTORIES, DIMS, *staging_sources(), STAGING_CTE[entity](),
+            converted("facts", f"staging_{entity}", entity, False),
+            f"""
+bound AS (SELECT w, {weeks} AS first_week FROM (
+  SELECT CAST(date_trunc('year', MAX(CAST(l_shipdate AS DATE)) - {LOOKBACK}) AS DATE) AS w
+  FROM lineitem l {load_filter(FIRST_LOAD)}))""",
+            f"""
+rolled AS (
+  SELECT load, p.g AS date_granularity, p.d AS date, {dim}, {sums}
+  FROM (SELECT *, unnest([{periods}]) AS p FROM facts) d, bound, (VALUES ('first'), ('next')) v(load)
+  WHERE CASE WHEN load = 'first' THEN d.date <= DATE '{FIRST_LOAD}'
+             ELSE d.date >= CASE WHEN p.g = 'week' THEN first_week ELSE w END END
+  GROUP BY 1, 2, 3, 4)"""]
+    key = "unique_key" if strict_keys else f"date_granularity, date, {dim}"
+    no_key = "OR unique_key IS NULL" if strict_keys else ""
+    body = f"""SELECT * EXCLUDE (load) FROM ({report_select('rolled', entity)})
+QUALIFY load = 'next' {no_key} OR COUNT(*) FILTER (WHERE load = 'next') OVER (PARTITION BY {key}) = 0"""
     return _select(ctes, body, money=REPORT_MONEY)
 
 
