@@ -572,6 +572,10 @@ def oracle_sql() -> dict[str, str]:
         "sink_staging_runs": _upsert_columns_sql("sync"),
         "sink_report_runs": report_sql("campaign"),
         "sink_null_entities": _null_ids(report_sql("ad")),
+        "sink_staging_days": _upsert_columns_sql("sync"),
+        "sink_report_days": report_sql("campaign"),
+        "snapshot_staging_runs": _upsert_columns_sql("sync"),
+        "snapshot_report_runs": _report_incremental_sql("keyword", exact=False),
         "quality_unique": QUALITY_UNIQUE,
         "quality_not_null": _quality_not_null_sql(),
         "declared_tests": _declared_tests_sql(),

@@ -30,6 +30,7 @@ from .plans.incremental import report_batch, report_keys, run_report, run_stagin
 from .plans.reports import middle, report
 from .plans.staging import goal_pivot, report_rows, staging_ad, staging_campaign, staging_keyword
 from .session import ensure_checkpoint_dir
+from .sinks import snapshot
 from .sinks.table import merge_by_key, publish, read_table, write_table
 from .sources import testdata
 from .functions.classify import campaign_type
@@ -228,6 +229,45 @@ def q_sink_report_runs(spark, sf_dir):
     return rounded(spark.table(table))
 
 
+def q_sink_staging_days(spark, sf_dir):
+    """Two daily staging runs in day partitions (the default); the second drops the goal columns
+    and writes the days of its window only."""
+    path = _folder(spark)
+    run_staging(spark, "campaign", _src(spark, sf_dir, max_date=str(FIRST_LOAD)), USD, path)
+    run_staging(spark, "campaign", _src(spark, sf_dir, conversions=False), USD, path)
+    return rounded(read_table(spark, path))
+
+
+def q_sink_report_days(spark, sf_dir):
+    """Two report runs in (granularity, period) partitions, the default."""
+    path = _folder(spark)
+    run_report(spark, "campaign", _src(spark, sf_dir, max_date=str(FIRST_LOAD)), USD, path)
+    run_report(spark, "campaign", _src(spark, sf_dir), USD, path)
+    return rounded(read_table(spark, path))
+
+
+def _database(spark) -> str:
+    name = f"adcube_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{_folder(spark)}'")
+    return name
+
+
+def q_snapshot_staging_runs(spark, sf_dir):
+    """Two daily staging runs into a catalog table whose readers see whole runs only."""
+    table = f"{_database(spark)}.staging_campaign"
+    run_staging(spark, "campaign", _src(spark, sf_dir, max_date=str(FIRST_LOAD)), USD, table, sink=snapshot)
+    run_staging(spark, "campaign", _src(spark, sf_dir, conversions=False), USD, table, sink=snapshot)
+    return rounded(spark.table(table))
+
+
+def q_snapshot_report_runs(spark, sf_dir):
+    """Two strict keyword report runs into such a table: rows with a NULL key accumulate, New Year's week is cut."""
+    table = f"{_database(spark)}.performance_by_keyword"
+    run_report(spark, "keyword", _src(spark, sf_dir, max_date=str(FIRST_LOAD)), STRICT, table, sink=snapshot)
+    run_report(spark, "keyword", _src(spark, sf_dir), STRICT, table, sink=snapshot)
+    return rounded(spark.table(table))
+
+
 def q_sink_null_entities(spark, sf_dir):
     """Rows without an ad id: after two more exact runs the table equals a full refresh."""
     path = _folder(spark)
@@ -306,6 +346,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_staging_runs": q_sink_staging_runs,
     "sink_report_runs": q_sink_report_runs,
     "sink_null_entities": q_sink_null_entities,
+    "sink_staging_days": q_sink_staging_days,
+    "sink_report_days": q_sink_report_days,
+    "snapshot_staging_runs": q_snapshot_staging_runs,
+    "snapshot_report_runs": q_snapshot_report_runs,
     "quality_unique": q_quality_unique,
     "quality_not_null": q_quality_not_null,
     "declared_tests": q_declared_tests,

@@ -14,7 +14,10 @@ A side folder without Spark's ``_SUCCESS`` marker is an unfinished write and is
 deleted.  While one partition is being moved a reader may not see it.
 
 Every table folder holds its schema in ``_adcube_schema.json``, so reading opens
-no file footers and partition values have the types they were written with.
+no file footers and partition values have the types they were written with.  A
+column that ``sync`` drops is left out there and its old files stay; the file notes
+its name, because a run that brings it back has to write the whole table anew (old
+files would show old values).
 """
 
 from __future__ import annotations
@@ -93,6 +96,10 @@ class _Store:
         if not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"could not move {source} to {target}")
 
+    def children(self, path: str) -> list[str]:
+        """Names of what lies directly in the folder ``path``."""
+        return [s.getPath().getName() for s in self._fs.listStatus(self._path(path))] if self.exists(path) else []
+
     def folders(self, path: str) -> list[str]:
         """Names of the partition folders (``column=value``) directly below ``path``."""
         if not self.exists(path):
@@ -139,6 +146,11 @@ def _stored_schema(store: _Store, path: str) -> tuple[StructType, list[str]] | N
     return StructType.fromJson(found["schema"]), found["partition_by"]
 
 
+def _hidden_columns(store: _Store, path: str) -> set[str]:
+    """Columns that were dropped while files which hold them stayed."""
+    return set(json.loads(store.read(f"{path}/{SCHEMA_FILE}")).get("hidden", ())) if store.exists(f"{path}/{SCHEMA_FILE}") else set()
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, ``None`` if there is none; any other failure is raised.
 
@@ -174,14 +186,15 @@ def max_date(spark: SparkSession, path: str, column: str = "date"):
 
 # ----------------------------------------------------------------------- writing
 
-def _write_beside(df: DataFrame, folder: str, partition_by) -> None:
+def _write_beside(df: DataFrame, folder: str, partition_by, hidden=()) -> None:
     """Rows of a partition go through few tasks (rebalanced by size), so it gets few files."""
     spread = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
     w = spread.write.mode("overwrite")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(folder)
     schema = _without_partitions_last(df.schema, list(partition_by))
     _Store(df.sparkSession, folder).write(
-        f"{folder}/{SCHEMA_FILE}", json.dumps({"schema": json.loads(schema.json()), "partition_by": list(partition_by)}))
+        f"{folder}/{SCHEMA_FILE}", json.dumps({"schema": json.loads(schema.json()), "partition_by": list(partition_by),
+                                               "hidden": sorted(hidden)}))
 
 
 def recover(spark: SparkSession, path: str) -> None:
@@ -239,8 +252,10 @@ def upsert_by_key(spark: SparkSession, batch: DataFrame, path: str, keys: list[s
     The batch is written once beside the table; the merged touched partitions
     are then written beside it too and moved into place, all others stay.  A run
     that stops before the moves leaves the table as it was; one that stops
-    between them is finished by the next run.  A table without partitions, and
-    one that ``sync`` removes or retypes a column of, is replaced as a whole.
+    between them is finished by the next run.  A column that ``sync`` drops is
+    left out of the stored schema only.  A table without partitions, one whose
+    columns change their type and one that a dropped column comes back to is
+    replaced as a whole.
     """
     recover(spark, path)
     target = read_table(spark, path)
@@ -252,13 +267,15 @@ def upsert_by_key(spark: SparkSession, batch: DataFrame, path: str, keys: list[s
     _write_beside(batch, side, ())
     try:
         batch = spark.read.schema(batch.schema).parquet(side)
-        old, new = ({f.name: f.dataType for f in df.schema.fields if f.name not in partition_by} for df in (target, batch))
-        reshaped = policy == "sync" and any(new.get(c) != t for c, t in old.items())
+        whole = merge_by_key(target, batch, keys, policy, null_safe)
+        old, new = ({f.name: f.dataType for f in df.schema.fields if f.name not in partition_by} for df in (target, whole))
+        hidden = _hidden_columns(store, path)
+        reshaped = any(new.get(c, t) != t for c, t in old.items()) or hidden & (set(new) - set(old))
         if reshaped or not partition_by:
-            write_table(merge_by_key(target, batch, keys, policy, null_safe), path, partition_by)
+            write_table(whole, path, partition_by)
             return "rewritten"
         merged = merge_by_key(_touched(target, batch, partition_by), batch, keys, policy, null_safe)
-        _write_beside(merged, f"{path}__upsert", partition_by)
+        _write_beside(merged, f"{path}__upsert", partition_by, hidden | (set(old) - set(new)))
         recover(spark, path)
         return "upserted"
     finally:
