@@ -26,18 +26,51 @@ def discover_goals(conversions: DataFrame, max_goals: int | None = None) -> list
     return [r["goal"] for r in rows]
 
 
+# Up to so many goals a row of sums (two a goal) is one that generated code handles.
+WIDE = 40
+
+
 def pivot_goals(conversions: DataFrame, keys: list[str], goals, measure: str, value: str,
                 existing=()) -> DataFrame:
     """Per ``keys``: for each goal, ``Σ measure`` and ``Σ value`` over its rows.
 
-    Written as conditional aggregation rather than ``groupBy().pivot()``: a key
-    that has conversion rows but none for a goal must read 0 (pivot gives NULL).
-    Rows with a NULL or empty goal still form their key's group, so that key
-    reads 0 for every goal.  One pass, map-side partial aggregation.
+    A key that has conversion rows but none for a goal reads 0 (``groupBy().pivot()`` gives
+    NULL); so do all goals of a key whose rows have a NULL, empty or unlisted goal.
+
+    Few goals are summed side by side: one pass, one exchange of partial sums.  With many
+    goals every row would feed two sums for each of them and partial rows would be as wide;
+    :func:`sparse_goal_sums` sums what is there instead.  Both give the same rows and types.
     """
+    named = goal_columns(goals, existing)
+    if len(named) > WIDE:
+        return _filled(sparse_goal_sums(conversions, keys, [g for g, _, _ in named], measure, value), keys, named)
     aggs = []
-    for goal, name, value_name in goal_columns(goals, existing):
+    for goal, name, value_name in named:
         hit = F.col("goal") == F.lit(goal)
         aggs.append(F.coalesce(F.sum(F.when(hit, F.col(measure)).otherwise(F.lit(0))), F.lit(0)).alias(name))
         aggs.append(F.coalesce(F.sum(F.when(hit, F.col(value)).otherwise(F.lit(0))), F.lit(0)).alias(value_name))
     return conversions.groupBy(*keys).agg(*aggs)
+
+
+def sparse_goal_sums(conversions: DataFrame, keys: list[str], goals: list[str], measure: str, value: str) -> DataFrame:
+    """``keys, sums``: a map from each goal that the key has to its two sums.
+
+    Rows are summed by key and goal first (combined map-side, no wider than the input), so the
+    rows of a hot key or goal are added up by all tasks; then each key's sums, at most one
+    entry a goal, come together in its map.
+    """
+    goal = F.when(F.col("goal").isin(*goals), F.col("goal"))
+    sums = [F.sum(F.when(F.col("_goal").isNotNull(), F.col(c)).otherwise(F.lit(0))).alias(f"_{n}")
+            for n, c in (("measure", measure), ("value", value))]
+    by_goal = conversions.withColumn("_goal", goal).groupBy(*keys, "_goal").agg(*sums)
+    entry = F.when(F.col("_goal").isNotNull(), F.struct("_goal", F.struct(F.col("_measure").alias("measure"), F.col("_value").alias("value"))))
+    return by_goal.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_sums"))
+
+
+def _filled(sums: DataFrame, keys: list[str], named) -> DataFrame:
+    """Columns from the map; 0 where a key lacks the goal.  As SQL text: thousands of columns are parsed faster than built."""
+    columns = []
+    for goal, name, value_name in named:
+        text = goal.replace("\\", "\\\\").replace("'", "\\'")
+        columns += [f"coalesce(_sums['{text}'].{field}, 0) AS `{c.replace('`', '``')}`" for field, c in (("measure", name), ("value", value_name))]
+    return sums.selectExpr(*[f"`{k}`" for k in keys], *columns)

@@ -399,6 +399,13 @@ GOAL_COLUMNS = _select([conv_base()], """SELECT goal,
 FROM conv_base WHERE goal IS NOT NULL AND goal <> '' GROUP BY goal""")
 
 
+GOAL_PIVOT_MANY = _select([conv_base()], """SELECT date, ad_group_id, keyword_id,
+       2 * (SELECT COUNT(DISTINCT (keyword_id * 7 + ad_group_id * 13) % 2000) FROM conv_base) AS n_columns,
+       CAST(SUM(((keyword_id * 7 + ad_group_id * 13) % 2000 + 1) * all_conversions) AS BIGINT) AS conversions,
+       SUM(((keyword_id * 7 + ad_group_id * 13) % 2000 + 1) * all_revenue) AS revenue
+FROM conv_base GROUP BY 1, 2, 3""", money=("revenue",))
+
+
 def _staging_sql(entity, **kw):
     ctes = staging_sources() + [STAGING_CTE[entity](**kw)]
     return _select(ctes, f"SELECT * FROM staging_{entity}", money=STAGING_MONEY if kw.get("conversions", True)
@@ -541,6 +548,7 @@ def oracle_sql() -> dict[str, str]:
         "goal_pivot_ad": _pivot_sql("conv_ad", "date, ad_id"),
         "goal_pivot_keyword": _pivot_sql("conv_keyword", "date, ad_group_id, keyword_id"),
         "goal_columns": GOAL_COLUMNS,
+        "goal_pivot_many": GOAL_PIVOT_MANY,
         "staging_campaign": _staging_sql("campaign"),
         "staging_ad": _staging_sql("ad"),
         "staging_keyword": _staging_sql("keyword"),

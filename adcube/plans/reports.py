@@ -123,7 +123,8 @@ def report(entity: str, src: AdSources, cfg: EngineConfig, staging: DataFrame |
     """Performance by ``entity`` at all five granularities, enriched with the hierarchy.
 
     ``window_start`` turns the run incremental (only periods from there on are
-    rebuilt); ``exact`` defaults to ``not cfg.strict``.
+    rebuilt, and only their entities are looked up in the histories); ``exact``
+    defaults to ``not cfg.strict``.
     """
     spec = REPORTS[entity]
     if staging is None and entity == "ad":
@@ -132,16 +133,17 @@ def report(entity: str, src: AdSources, cfg: EngineConfig, staging: DataFrame |
         # built here, staging skips last_updated: reports never read it
         stg = staging if staging is not None else STAGING[entity](src, cfg, sync_time=False)
         facts = converted_facts(stg, entity, src, cfg)
-    since = None
+    since = ids = None
     if window_start is not None:
         exact = (not cfg.strict) if exact is None else exact
         since = report_bounds(window_start, cfg, exact)
         lowest = min(since.values()) if isinstance(since, dict) else since
         facts = facts.where(F.col("date") >= F.lit(lowest).cast("date"))  # prunes the scan
+        ids = facts.select(spec.dimension)
     measures = measure_columns(facts, facts.columns, spec.measure_exclude, [spec.dimension])
     rolled = period_rollup(facts, [spec.dimension], measures, cfg.week_start, since=since,
                            weighted_share_measure=spec.weighted_share)
-    out = enrich(rolled, hierarchy(src, entity, cfg), spec.dimension)
+    out = enrich(rolled, hierarchy(src, entity, cfg, ids), spec.dimension)
     return (out.withColumn("campaign_type_default", campaign_type(F.col("campaign_name")))
             .withColumn("unique_key", surrogate_key(*spec.key)))
 

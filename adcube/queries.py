@@ -113,6 +113,21 @@ def _pivot(name, keys):
     return q
 
 
+def q_goal_pivot_many(spark, sf_dir):
+    """Two thousand goals: each key's columns, weighted by the goal's number and summed."""
+    conv = _src(spark, sf_dir).require("keyword_conversions")
+    number = (F.col("keyword_id") * 7 + F.col("ad_group_id") * 13) % 2000
+    conv = conv.withColumn("goal", F.concat(F.lit("Goal no. "), number.cast("string")))
+    keys = ["date", "ad_group_id", "keyword_id"]
+    pivot = goal_pivot(conv, keys, USD)
+    goals = [c for c in pivot.columns if c not in keys and not c.endswith("_value")]
+    weighted = "aggregate(zip_with(array({}), array({}), (x, k) -> x * k), 0{}, (a, x) -> a + x)"
+    numbers = ", ".join(str(int(c.removeprefix("goalno")) + 1) for c in goals)
+    of = lambda suffix, zero: weighted.format(", ".join(f"`{c}{suffix}`" for c in goals), numbers, zero)
+    return rounded(pivot.selectExpr(*keys, f"cast({len(pivot.columns) - len(keys)} as bigint) AS n_columns",
+                                    f"{of('', 'L')} AS conversions", f"{of('_value', 'D')} AS revenue"))
+
+
 def q_goal_columns(spark, sf_dir):
     conv = _src(spark, sf_dir).require("campaign_conversions")
     g = F.col("goal")
@@ -315,6 +330,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "goal_pivot_ad": _pivot("ad_conversions", ["date", "ad_id"]),
     "goal_pivot_keyword": _pivot("keyword_conversions", ["date", "ad_group_id", "keyword_id"]),
     "goal_columns": q_goal_columns,
+    "goal_pivot_many": q_goal_pivot_many,
     "staging_campaign": _staging(staging_campaign),
     "staging_ad": _staging(staging_ad),
     "staging_keyword": _staging(staging_keyword),

@@ -72,6 +72,13 @@ def tune_for_scale(spark: SparkSession, input_bytes: int, target_partition_bytes
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        # Semi-joins of a batch's ids with a history: a Bloom filter of the ids (8 MB at most) goes
+        # into the scan of any history larger than a few partitions.
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(4 * target_partition_bytes),
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": str(4 * target_partition_bytes),
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(64 << 20),
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": str(8 << 20),
     }
     for k, v in conf.items():
         spark.conf.set(k, v)
