@@ -4,6 +4,9 @@
         [--currency EUR] [--entities campaign ad keyword] [--full-refresh] [--strict] [--middle] \\
         [--goals "Sign up" Purchase] [--exclude column ...] [--publish reporting]
 
+``--tables reporting`` in the place of ``--target`` keeps the tables in the session catalog,
+where a reader sees one whole run or the next (:mod:`adcube.sinks.snapshot`).
+
 Each entity's staging table is upserted first and its report is then built
 from the *written* staging table (so the report never re-joins raw rows).
 The declared data tests run last and their failure counts are printed; the
@@ -22,8 +25,9 @@ from .config import EngineConfig
 from .plans.checks import DECLARED_TESTS, key_test_counts
 from .plans.incremental import run_report, run_staging
 from .plans.reports import middle, report_table_name
-from .session import ensure_checkpoint_dir
-from .sinks.table import publish, read_table, write_table
+from .session import ensure_checkpoint_dir, intermediates
+from .sinks import snapshot
+from .sinks import table as path_tables
 from .sources.catalog import AdSources
 from .plans import dims
 
@@ -33,7 +37,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--source-db", help="catalog database holding the raw tables")
     src.add_argument("--source-parquet", help="root folder with one Parquet dataset per raw table")
-    p.add_argument("--target", required=True, help="root folder for staging, report and middle tables")
+    to = p.add_mutually_exclusive_group(required=True)
+    to.add_argument("--target", help="root folder for staging, report and middle tables")
+    to.add_argument("--tables", help="catalog database for them instead; its readers see whole runs only")
     p.add_argument("--entities", nargs="+", default=["campaign", "ad", "keyword"],
                    choices=["campaign", "ad", "keyword"])
     p.add_argument("--currency", default="USD")
@@ -61,28 +67,32 @@ def main(argv=None) -> int:
                        goals=None if a.goals is None else tuple(a.goals), extra_exclude=tuple(a.exclude))
     src = (AdSources.from_catalog(spark, a.source_db) if a.source_db
            else AdSources.from_parquet(spark, a.source_parquet))
-    root = a.target.rstrip("/")
+    sink = snapshot if a.tables else path_tables
+
+    def at(name: str) -> str:
+        return f"{a.tables}.{name}" if a.tables else f"{a.target.rstrip('/')}/{name}"
+
     for entity in a.entities:
-        stg_path = f"{root}/staging_{entity}"
-        print(f"staging_{entity}: {run_staging(spark, entity, src, cfg, stg_path, full_refresh=a.full_refresh)}")
-        staging = read_table(spark, stg_path)
-        rep_path = f"{root}/{report_table_name(entity, cfg)}"
+        stg, rep = at(f"staging_{entity}"), at(report_table_name(entity, cfg))
+        print(f"staging_{entity}: {run_staging(spark, entity, src, cfg, stg, full_refresh=a.full_refresh, sink=sink)}")
+        staging = sink.read_table(spark, stg)
         print(f"{report_table_name(entity, cfg)}: "
-              f"{run_report(spark, entity, src, cfg, rep_path, staging=staging, full_refresh=a.full_refresh)}")
+              f"{run_report(spark, entity, src, cfg, rep, staging=staging, full_refresh=a.full_refresh, sink=sink)}")
         if a.middle:
-            write_table(middle(entity, src, cfg, staging=staging), f"{root}/middle_{entity}", ("date",))
-        if a.publish:
-            publish(spark, stg_path, f"{a.publish}.staging_{entity}")
-            publish(spark, rep_path, f"{a.publish}.{report_table_name(entity, cfg)}")
+            with intermediates(spark):
+                sink.write_table(middle(entity, src, cfg, staging=staging), at(f"middle_{entity}"), ("date",))
+        if a.publish and not a.tables:
+            path_tables.publish(spark, stg, f"{a.publish}.staging_{entity}")
+            path_tables.publish(spark, rep, f"{a.publish}.{report_table_name(entity, cfg)}")
     if a.skip_tests:
         return 0
     built = {name: dims.dimension(getattr(src, name), name)
              for name in ("accounts", "campaigns", "ad_groups", "ads") if getattr(src, name) is not None}
     built.update({
-        "staging_campaign": read_table(spark, f"{root}/staging_campaign"),
-        "staging_ad": read_table(spark, f"{root}/staging_ad"),
-        "performance_by_campaign": read_table(spark, f"{root}/{report_table_name('campaign', cfg)}"),
-        "performance_by_ad": read_table(spark, f"{root}/{report_table_name('ad', cfg)}"),
+        "staging_campaign": sink.read_table(spark, at("staging_campaign")),
+        "staging_ad": sink.read_table(spark, at("staging_ad")),
+        "performance_by_campaign": sink.read_table(spark, at(report_table_name("campaign", cfg))),
+        "performance_by_ad": sink.read_table(spark, at(report_table_name("ad", cfg))),
     })
     failed = 0
     for model, tests in DECLARED_TESTS:

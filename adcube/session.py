@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,30 @@ def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str
     return sc.getCheckpointDir()
 
 
+_block = threading.local()  # the innermost intermediates() of this thread
+
+
+@contextmanager
+def intermediates(spark: SparkSession):
+    """Delete, at the end of the block, what :func:`written` writes inside it.
+
+    For runs whose result is written before the block ends; a DataFrame that is returned
+    from it still needs its intermediate results.
+    """
+    outer, _block.folders = getattr(_block, "folders", None), []
+    try:
+        yield
+    finally:
+        folders, _block.folders = _block.folders, outer
+        for folder in folders:
+            delete_folder(spark, folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back, for small results joined to large ones.
 
@@ -50,6 +76,8 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    if getattr(_block, "folders", None) is not None:
+        _block.folders.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

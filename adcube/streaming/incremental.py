@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..config import EngineConfig
-from ..session import written
+from ..session import intermediates, written
 from ..sinks.table import read_table, recover, upsert_by_key, write_table
 from ..sources.catalog import AdSources
 from ..plans.incremental import STAGING_PARTITIONS, staging_keys
@@ -34,6 +34,10 @@ def start_staging_stream(spark: SparkSession, entity: str, landing_path: str, la
     """Start the stream; ``sources`` builds the (full) source tables for each batch."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        with intermediates(batch.sparkSession):
+            upsert(batch)
+
+    def upsert(batch: DataFrame) -> None:
         session = batch.sparkSession
         recover(session, target_path)
         if read_table(session, target_path) is None:

@@ -28,3 +28,25 @@ def test_cli_daily_run(spark, tmpdir_path, capsys):
     out = capsys.readouterr().out
     assert "staging_campaign: upserted" in out and "performance_by_campaign: upserted" in out
     assert read_table(spark, f"{target}/performance_by_campaign").count() == before
+
+
+def test_daily_run_into_catalog_tables_leaves_nothing_behind(spark, tmpdir_path):
+    import os
+
+    from adcube.session import ensure_checkpoint_dir
+    root = f"{tmpdir_path}/raw"
+    src = testdata.ad_sources(spark, SF)
+    january = "date between date'2000-01-01' and date'2000-01-31'"
+    src = src.with_(**{f"campaign_{k}": getattr(src, f"campaign_{k}").where(january) for k in ("report", "conversions")})
+    for name, table in SOURCE_TABLES.items():
+        getattr(src, name).write.parquet(f"{root}/{table}")
+    spark.sql(f"CREATE DATABASE adcube_cli LOCATION '{tmpdir_path}/db'")
+    shared = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(shared))
+    args = ["--source-parquet", root, "--tables", "adcube_cli", "--entities", "campaign", "--skip-tests", "--currency", "EUR", "--as-of", "2001-01-01"]
+    for _ in range(2):
+        assert main(args) == 0
+    assert spark.table("adcube_cli.staging_campaign").count() == src.campaign_report.select("date", "account_id", "campaign_id").distinct().count()
+    assert spark.table("adcube_cli.performance_by_campaign").where("date_granularity = 'year'").count() > 0
+    assert set(os.listdir(shared)) == before
+    spark.sql("DROP DATABASE adcube_cli CASCADE")
