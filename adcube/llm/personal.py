@@ -14,14 +14,18 @@ document and its copies reveal nothing by having rare words beside an address.
 Most entities have fewer, so terms are also judged by what entities share: the
 domain of an address and the entity's kind.
 
-Frequencies are counted for the terms seen near entities only; a bitmap of fixed
-size picks them out of the texts, another one the texts that may be repeated
-(full ones only count more).
+Frequencies are counted for terms seen near entities only.  A share of at least
+GENERALISE means n(t) <= n(t, e) * (N / n(e))^(1 - GENERALISE), so a term is out for
+good once a lower bound of n(t) is above that for all its entities: first the texts
+that hold it near any entity, then the count over every PART-th text.  Both leave the
+common words out before all texts are counted.  A bitmap of fixed size picks the terms
+out of the texts, another one the texts that may be repeated (full ones only count more).
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +33,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, bitmap, documents, find_words, hash_words, in_bitmap, map_text, rows_of, signed, slot_of, stored
+from .common import LOWER, bitmap, chunks, documents, find_words, hash_words, in_bitmap, map_text, rows_of, signed, slot_of, small_batches, stored
 
 KINDS = ("email", "ip", "card", "phone")
 AROUND = 8  # terms on each side of an entity
 LEAST_LETTERS = 4
 GENERALISE, REMOVE, SUPPORT = 0.8, 0.95, 3
 BITS = 24
+PART = 8
 
 # Terms are runs of letters: A-Z, a-z and every non-ASCII byte.
 _NO_LETTER = np.zeros(256, bool)
@@ -44,7 +49,8 @@ _NO_LETTER[:128] = [not chr(c).isalpha() for c in range(128)]
 # Fixed patterns of the contract; an address is found from its "@" on.
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# A match from inside a run of digits needs what one from its head needs: only heads are tried.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{%d,}" % LEAST_LETTERS)
@@ -92,22 +98,40 @@ def _ascii_lower(term: str) -> str:
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in term)
 
 
-def beside(text: str, found: list[tuple[int, int, int, str]]):
-    """``entity, shared, kind, surroundings, term, start, end`` of the terms on both sides of
-    each entity (shared: its domain, for an address; else the entity itself)."""
-    busy = [(a, b) for a, _, b, _ in found]
-    reach = 24 * AROUND  # long words make a side shorter
-    for start, kind, end, value in found:
-        low, high = max(0, start - reach), min(len(text), end + reach)
-        left = [m for m in _TERM.finditer(text, low, start) if (m.start() > low or low == 0)][-AROUND:]
-        right = [m for m in _TERM.finditer(text, end, high) if (m.end() < high or high == len(text))][:AROUND]
-        near = [m for m in left + right if not any(a < m.end() and m.start() < b for a, b in busy)]
-        terms = [_ascii_lower(m[0]) for m in near]
-        surroundings = xxhash.xxh3_64_intdigest("\x00".join(terms).encode()) >> 1
-        domain = value[value.index("@") :] if kind == 0 else value
-        names = [xxhash.xxh3_64_intdigest(f"{kind}:{v}".encode()) >> 1 for v in (value, domain, "")]
-        for m, t in zip(near, terms):
-            yield *names, surroundings, t, m.start(), m.end()
+def beside(text: str, found: list[tuple[int, int, int, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """``which entity, its surroundings, term, start, end`` of the AROUND terms on either side of each
+    entity, without those inside another one; the terms are numbers in the list that comes last."""
+    places = np.array([m.span() for m in _TERM.finditer(text)], np.int64).reshape(-1, 2)
+    start, end = places[:, 0], places[:, 1]
+    low, high = np.array([f[0] for f in found]), np.array([f[2] for f in found])
+    # The terms before and after an entity by bisection, as those are in order.
+    span = np.arange(AROUND)
+    left = np.searchsorted(end, low, "right")[:, None] - AROUND + span
+    right = np.searchsorted(start, high, "left")[:, None] + span
+    index = np.concatenate([left, right], 1)
+    there = (index >= 0) & (index < len(start))
+    # A term is inside an entity if the entities that begin before its end reach beyond its start.
+    reach = np.append(0, np.maximum.accumulate(high))
+    inside = reach[np.searchsorted(low, end, "left")] > start
+    index = np.where(there, index, 0)
+    there &= ~inside[index] if len(inside) else False
+    of, at = np.nonzero(there)
+    term = index[of, at]
+    used, term = np.unique(term, return_inverse=True)
+    names = [_ascii_lower(text[a:b]) for a, b in places[used].tolist()]
+    ends = np.searchsorted(of, np.arange(len(found) + 1)).tolist()
+    numbers = term.tolist()
+    around = [xxhash.xxh3_64_intdigest("\x00".join([names[t] for t in numbers[a:b]]).encode()) >> 1 for a, b in zip(ends, ends[1:])]
+    return of, np.array(around, np.int64)[of], term, start[used][term], end[used][term], names
+
+
+def named(found: list[tuple[int, int, int, str]]) -> np.ndarray:
+    """Hashes of each entity, of what it shares (an address: its domain) and of its kind."""
+    rows = []
+    for _, kind, _, value in found:
+        shared = value[value.index("@") :] if kind == 0 else value
+        rows.append([xxhash.xxh3_64_intdigest(f"{kind}:{v}".encode()) >> 1 for v in (value, shared, "")])
+    return np.array(rows, np.int64)
 
 
 SPAN = "struct<start:int,kind:string,end:int,action:string>"
@@ -118,20 +142,22 @@ def scan(docs: DataFrame) -> DataFrame:
     """``doc_id, text_key, spans, near`` of the rows that hold an entity, and their ids alone of the others."""
 
     def run(batch, first, end, raw, at):
-        spans, near = [], []
-        texts = rows_of(batch, first, end, "text")[0].to_pylist()
-        terms: list[str] = []
-        for text in texts:
+        spans, terms, columns, sizes = [], [], [[] for _ in range(7)], [0]
+        for text in rows_of(batch, first, end, "text")[0].to_pylist():
             found = entities(text)
             spans.append([{"start": a, "kind": KINDS[k], "end": b, "action": "replace"} for a, k, b, _ in found])
-            rows = list(beside(text, found)) if found else []
-            near.append([{"entity": e, "shared": d, "sort": k, "around": s, "term": len(terms) + i, "start": a, "end": b} for i, (e, d, k, s, _, a, b) in enumerate(rows)])
-            terms += [t for *_, t, _, _ in rows]
-        hashes = _term_hashes(terms).tolist()
-        for rows in near:
-            for row in rows:
-                row["term"] = hashes[row["term"]]
-        return pa.RecordBatch.from_arrays([*rows_of(batch, first, end, "doc_id", "text_key"), pa.array(spans, _SPANS), pa.array(near, _NEAR)], ["doc_id", "text_key", "spans", "near"])
+            n = 0
+            if found:
+                of, around, term, start, stop, names = beside(text, found)
+                n = len(of)
+                for c, values in zip(columns, (*named(found)[of].T, around, term + len(terms), start, stop)):
+                    c.append(values)
+                terms += names
+            sizes.append(sizes[-1] + n)
+        values = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in columns]
+        values[4] = _term_hashes(terms)[values[4]] if terms else values[4]
+        near = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(values, _NEAR.value_type)], [f.name for f in _NEAR.value_type])
+        return pa.RecordBatch.from_arrays([*rows_of(batch, first, end, "doc_id", "text_key"), pa.array(spans, _SPANS), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), near)], ["doc_id", "text_key", "spans", "near"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return map_text(docs, run, f"doc_id {kind}, text_key long, spans array<{SPAN}>, near array<{NEAR}>")
@@ -171,24 +197,49 @@ def text_frequency(docs: DataFrame, terms: DataFrame, texts: DataFrame, bits: in
 
     chosen = context.broadcast(_slots(texts.select("text_key", "row").mapInArrow(maybe_repeated, "row long"), bits))
 
-    def count(batch, first, end, raw, at):
-        low = LOWER[raw]
-        start, stop, word_at = find_words(low, at, _NO_LETTER)
-        h = hash_words(low, start, stop)
-        hit = np.flatnonzero(in_bitmap(held.value, slot_of(h, bits)))
-        doc = np.searchsorted(word_at, hit, "right") - 1
-        pair = np.unique(np.stack([signed(h[hit]), doc], 1), axis=0) if len(hit) else np.zeros((0, 2), np.int64)
-        key, row = (c.to_numpy() for c in rows_of(batch, first, end, "text_key", "row"))
-        maybe = in_bitmap(again.value, slot_of(key.view(np.uint64), bits))
-        term, n = np.unique(pair[~maybe[pair[:, 1]], 0], return_counts=True)
-        pair = pair[(maybe & in_bitmap(chosen.value, slot_of(row.view(np.uint64), bits)))[pair[:, 1]]]
-        keys = pa.concat_arrays([pa.nulls(len(term), pa.int64()), pa.array(key[pair[:, 1]])])
-        return pa.RecordBatch.from_arrays([pa.array(np.append(term, pair[:, 0])), keys, pa.array(np.append(n, np.ones(len(pair), np.int64)))], ["term", "text_key", "n"])
-
-    counted = map_text(docs.select("text", "text_key", F.xxhash64("doc_id", "text_key").alias("row")), count, "term long, text_key long, n long").groupBy("term", "text_key").agg(F.sum("n").alias("n"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, size = [], 0  # of texts that occur once: summed over the whole task
+        for batch in batches:
+            for first, end, raw, at in chunks(batch.column(batch.schema.get_field_index("text"))):
+                low = LOWER[raw]
+                start, stop, word_at = find_words(low, at, _NO_LETTER)
+                h = hash_words(low, start, stop)
+                hit = np.flatnonzero(in_bitmap(held.value, slot_of(h, bits)))
+                doc = np.searchsorted(word_at, hit, "right") - 1
+                pair = np.unique(np.stack([signed(h[hit]), doc], 1), axis=0) if len(hit) else np.zeros((0, 2), np.int64)
+                key, row = (c.to_numpy() for c in rows_of(batch, first, end, "text_key", "row"))
+                maybe = in_bitmap(again.value, slot_of(key.view(np.uint64), bits))
+                sums.append(np.stack(np.unique(pair[~maybe[pair[:, 1]], 0], return_counts=True), 1))
+                size += len(sums[-1])
+                if size > SUMMED:
+                    sums = [_added(sums)]
+                    if len(sums[0]) > SUMMED // 2:
+                        yield _counts(sums.pop())
+                    size = sum(map(len, sums))
+                pair = pair[(maybe & in_bitmap(chosen.value, slot_of(row.view(np.uint64), bits)))[pair[:, 1]]]
+                if len(pair):
+                    yield _counts(np.stack([pair[:, 0], np.ones(len(pair), np.int64)], 1), key[pair[:, 1]])
+        if sums:
+            yield _counts(_added(sums))
+
+    small_batches(docs.sparkSession)
+    counted = docs.select("text", "text_key", F.xxhash64("doc_id", "text_key").alias("row")).mapInArrow(count, "term long, text_key long, n long").groupBy("term", "text_key").agg(F.sum("n").alias("n"))
     return counted.groupBy("term").agg(F.sum(F.when(F.col("text_key").isNull(), F.col("n")).otherwise(1)).alias("n"))
 
 
+SUMMED = 1 << 20  # terms of a task's sums: 16 MB
+
+
+def _added(sums: list[np.ndarray]) -> np.ndarray:
+    term, at = np.unique(np.concatenate([s[:, 0] for s in sums]), return_inverse=True)
+    return np.stack([term, np.bincount(at, np.concatenate([s[:, 1] for s in sums]), len(term)).astype(np.int64)], 1)
+
+
+def _counts(sums: np.ndarray, keys: np.ndarray | None = None) -> pa.RecordBatch:
+    keys = pa.nulls(len(sums), pa.int64()) if keys is None else pa.array(keys)
+    return pa.RecordBatch.from_arrays([pa.array(sums[:, 0]), keys, pa.array(sums[:, 1])], ["term", "text_key", "n"])
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT, bits: int = BITS) -> DataFrame:
     """``doc_id, text_key, spans`` of every row: spans of entities and of the terms
     that disclose one (start, kind, end in code points, action), in order.
@@ -204,12 +255,18 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", genera
     # Sets of texts and of surroundings, each counted after its own distinct.
     around = near.select("term", "entity", "around").distinct().groupBy("term", "entity").agg(F.count("*").alias("n_around")).where(F.col("n_around") >= support)
     held = near.select("term", "entity", "text_key").distinct().groupBy("term", "entity").agg(F.count("*").alias("n_te"))
-    both = stored(held.join(around, ["term", "entity"]).join(entity, "entity"))
     copies = stored(found.groupBy("text_key").agg(F.count("*").alias("rows"), F.min(F.xxhash64("doc_id", "text_key")).alias("row")))
-    frequency = text_frequency(whole, both.select("term").distinct(), copies, bits)
     n = copies.count()
+    # At most so many texts may hold a term that reaches the threshold (rounded up).
+    most = F.col("n_te") * F.pow(F.lit(float(n)) / F.col("n_e"), F.lit(1 - generalise)) * (1 + 1e-9)
+    seen = near.select("term", "text_key").distinct().groupBy("term").agg(F.count("*").alias("least"))
+    both = held.join(around, ["term", "entity"]).join(entity, "entity").where(F.col("n_e") < n).withColumn("most", most)
+    both = stored(both.join(seen, "term").where("least <= most").drop("least"))
+    part = text_frequency(whole.where(F.pmod("text_key", F.lit(PART)) == 0), both.select("term").distinct(), copies, bits)
+    both = stored(both.join(part.select("term", F.col("n").alias("least")), "term", "left").where("least is null or least <= most").drop("least"))
+    frequency = text_frequency(whole, both.select("term").distinct(), copies, bits)
     share = F.log2(F.lit(float(n)) * F.col("n_te") / (F.col("n") * F.col("n_e"))) / F.log2(F.lit(float(n)) / F.col("n_e"))
-    disclosing = both.where(F.col("n_e") < n).join(frequency, "term").withColumn("share", share).where(F.col("share") >= generalise)
+    disclosing = both.join(frequency, "term").withColumn("share", share).where(F.col("share") >= generalise)
     disclosing = disclosing.select("term", "entity", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"))
     term_span = F.struct("start", F.lit("term").alias("kind"), "end", "action")
     told = near.join(disclosing, ["term", "entity"]).groupBy("doc_id", "text_key", "start", "end").agg(F.max("action").alias("action"))  # remove, if any entity asks for it
