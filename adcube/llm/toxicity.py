@@ -6,9 +6,10 @@ much likelier in a toxic than in another training text), and a logistic
 regression with an L2 penalty is fitted to the scaled features.
 
 The classifier is fitted on at most TOXIC and OTHER labelled texts, those whose
-ids have the smallest hashes, and on the FEATURES slots that tell the classes
-apart best, so what reaches the driver (2^BITS counts, a bit for each text and
-feature) has a fixed bound.  Every text is scored whole.
+ids have the smallest hashes.  Its features are all slots whose presence tells the
+classes apart at the level that SIGNIFICANT stands for (likelihood-ratio test), how many
+that be.  What reaches the driver are 2^BITS counts and, for the fit, the features of the
+sampled texts.  Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -17,15 +18,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, documents, map_text, mix, rows_of, stored
+from .common import LOWER, documents, list_array, map_text, mix, rows_of, stored
 
-GRAMS, BITS, FEATURES = (5, 6, 7), 20, 4096
+GRAMS, BITS = (5, 6, 7), 20
+SIGNIFICANT = 10.83  # chi-squared with one degree of freedom: 1 in 1000 by chance
 TOXIC, OTHER = 3_000, 5_000
-PENALTY, STEPS = 1.0, 300
+PENALTY, STEPS = 1.0, 150
 CHUNK_BYTES = 1 << 18
 
 
@@ -56,7 +59,7 @@ def slots(raw: np.ndarray, at: np.ndarray, keep: np.ndarray | None = None) -> tu
     return key >> BITS, key & ((1 << BITS) - 1)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", toxic: int = TOXIC, other: int = OTHER, features: int = FEATURES) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", toxic: int = TOXIC, other: int = OTHER, significant: float = SIGNIFICANT) -> Model:
     """Fit on texts whose ids ``labels`` marks 1 or 0.
 
     Null labels, ids without a text and null ids are left out; an id with several
@@ -88,23 +91,27 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model(np.zeros(1 << BITS, np.float32), prior)
     slot, in1, in0 = (seen[c].to_numpy() for c in ("slot", "one", "zero"))
     ratio = np.log((in1 + 1) / (n1 + 2)) - np.log((in0 + 1) / (n0 + 2))
-    best = np.lexsort((slot, -_deviance(in1, in0, n1, n0)))[:features]
+    best = np.flatnonzero(2 * _deviance(in1, in0, n1, n0) >= significant)
     best = best[np.argsort(slot[best])]
     chosen_slots, ratio = slot[best], ratio[best]
+    if not len(best):
+        return Model(np.zeros(1 << BITS, np.float32), prior)
     place = np.full(1 << BITS, -1, np.int32)
     place[chosen_slots] = np.arange(len(best))
     placed = sc.broadcast(place)
 
-    def bits(batch, first, end, raw, at):
+    def features(batch, first, end, raw, at):
         doc, slot = slots(raw, at, placed.value >= 0)
-        has = np.zeros((end - first, len(best)), bool)
-        has[doc, placed.value[slot]] = True
-        return pa.RecordBatch.from_arrays([*rows_of(batch, first, end, "doc_id", "label"), pa.array([r.tobytes() for r in np.packbits(has, 1)], pa.binary())], ["doc_id", "label", "bits"])
+        lists = list_array(np.searchsorted(doc, np.arange(end - first + 1)), pa.array(placed.value[slot]))
+        return pa.RecordBatch.from_arrays([*rows_of(batch, first, end, "doc_id", "label"), lists], ["doc_id", "label", "features"])
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    rows = map_text(chosen, bits, f"doc_id {kind}, label int, bits binary", limit=CHUNK_BYTES).toArrow().sort_by([("doc_id", "ascending"), ("bits", "ascending")])
+    rows = map_text(chosen, features, f"doc_id {kind}, label int, features array<int>", limit=CHUNK_BYTES).toArrow()
+    # In an order of their own, so that sums are the same in every run.
+    rows = rows.append_column("n", pc.list_value_length(rows["features"])).sort_by([("doc_id", "ascending"), ("n", "ascending")])
     placed.destroy()
-    has = np.unpackbits(np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint8).reshape(rows.num_rows, -1), axis=1, count=len(best))
+    lists = rows["features"].combine_chunks()
+    has = Sparse(lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy(), len(best))
     coefficient, bias = fit(has, ratio.astype(np.float32), (rows["label"].to_numpy() == 1).astype(np.float32))
     weights = np.zeros(1 << BITS, np.float32)
     weights[chosen_slots] = coefficient * ratio
@@ -122,46 +129,46 @@ def _deviance(in1, in0, n1, n0) -> np.ndarray:
     return out
 
 
-BLOCK = 512
+@dataclass(frozen=True)
+class Sparse:
+    """Which features each text has: ``features[at[i] : at[i + 1]]``."""
+
+    at: np.ndarray
+    features: np.ndarray
+    width: int
 
+    def times(self, v: np.ndarray) -> np.ndarray:
+        total = np.append(0.0, np.cumsum(v[self.features], dtype=np.float64))
+        return total[self.at[1:]] - total[self.at[:-1]]
 
-def _blocks(has: np.ndarray):
-    """Rows of the matrix of bytes as floats, some at a time."""
-    for a in range(0, len(has), BLOCK):
-        yield slice(a, a + BLOCK), has[a : a + BLOCK].astype(np.float32)
+    def transposed_times(self, u: np.ndarray) -> np.ndarray:
+        return np.bincount(self.features, np.repeat(u, np.diff(self.at)), self.width)
 
 
-def fit(has: np.ndarray, ratio: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = STEPS) -> tuple[np.ndarray, float]:
+def fit(has: Sparse, ratio: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Logistic regression on ``has * ratio`` with an L2 penalty, by accelerated gradient descent."""
     step = 1.0 / (0.25 * _largest(has, ratio) + penalty)
-    w, b = np.zeros(len(ratio), np.float32), 0.0
+    w, b = np.zeros(len(ratio)), 0.0
     v, c = w.copy(), b
     for k in range(steps):
-        slope, lean = penalty * v, 0.0
-        for rows, x in _blocks(has):
-            error = 1 / (1 + np.exp(-np.clip(x @ (ratio * v) + c, -30, 30))) - y[rows]
-            slope += ratio * (error @ x)
-            lean += float(error.sum())
-        w_next, b_next = v - step * slope, c - step * lean
+        error = 1 / (1 + np.exp(-np.clip(has.times(ratio * v) + c, -30, 30))) - y
+        w_next, b_next = v - step * (penalty * v + ratio * has.transposed_times(error)), c - step * float(error.sum())
         momentum = k / (k + 3)
         v, c = w_next + momentum * (w_next - w), b_next + momentum * (b_next - b)
         w, b = w_next, b_next
-    return w.astype(np.float64), float(b)
+    return w, float(b)
 
 
-def _largest(has: np.ndarray, ratio: np.ndarray) -> float:
+def _largest(has: Sparse, ratio: np.ndarray) -> float:
     """Largest eigenvalue of the square of ``has * ratio`` with a column of ones, by power iteration."""
     n = len(ratio) + 1
-    v, c = np.full(len(ratio), 1 / np.sqrt(n), np.float32), 1 / np.sqrt(n)
+    v, c = np.full(len(ratio), 1 / np.sqrt(n)), 1 / np.sqrt(n)
     size = 1.0
     for _ in range(20):
-        slope, lean = np.zeros(len(ratio), np.float32), 0.0
-        for _, x in _blocks(has):
-            u = x @ (ratio * v) + np.float32(c)
-            slope += ratio * (u @ x)
-            lean += float(u.sum())
+        u = has.times(ratio * v) + c
+        slope, lean = ratio * has.transposed_times(u), float(u.sum())
         size = float(np.sqrt(slope @ slope + lean * lean))
-        v, c = slope / np.float32(size), lean / size
+        v, c = slope / size, lean / size
     return 1.1 * size
 
 
