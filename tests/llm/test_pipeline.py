@@ -27,6 +27,29 @@ def steps(llm, tmp_path_factory):
     return out
 
 
+def test_near_duplicates_of_80_percent(llm):
+    """Of 110 shingles 100 and 95 stay when two or three words of a copy change: 83.3 and 76 % of the union."""
+    base = [f"w{k}" for k in range(114)]
+    one, two = list(base), list(base)
+    for k in (20, 60):
+        one[k] = "other"
+    for k in (20, 60, 100):
+        two[k] = "another"
+    docs = llm.createDataFrame([(1, " ".join(base)), (2, " ".join(one)), (3, " ".join(f"x{w}" for w in base)), (4, " ".join(f"x{w}" for w in two))], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(llm, docs, SF).collect()} == {1, 3, 4}
+    assert [g[2] for g in plain.near(listed(docs), 80)] == [1, 1, 3, 4]
+
+
+def test_nothing_but_the_result_stays_behind(llm):
+    import os
+
+    from adcube.session import ensure_checkpoint_dir
+    shared = ensure_checkpoint_dir(llm).removeprefix("file:")
+    before = set(os.listdir(shared))
+    out = corpus_pipeline.run(llm, SF)
+    assert len(set(os.listdir(shared)) - before) == 1 and out.count() > 0
+
+
 def listed(df):
     return [tuple(r) for r in df.select("doc_id", "text").collect()]
 
@@ -51,7 +74,7 @@ def test_toxic_rows_go(llm, steps):
 
 def test_one_of_each_group_stays(steps):
     before, after = (listed(d) for d in steps["near_duplicates"])
-    groups = plain.near(before)
+    groups = plain.near(before, 80)
     empty = [r for r, g in zip(before, groups) if not g[1]]
     kept_empty = [r for r in after if not plain.words(r[1])]
     assert sorted(kept_empty, key=key) == sorted(empty, key=key)

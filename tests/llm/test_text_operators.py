@@ -40,7 +40,9 @@ def test_secrets_found_and_numbers_left(llm, docs):
 
 def test_secrets_without_labels_of_both_classes_remove_nothing(llm):
     docs = llm.createDataFrame([(1, "number 4785380592391139 only")], "doc_id long, text string")
-    assert [(r.probability, r.secret) for r in secrets.scan(docs).collect()] == [(1.0, True)]
+    words, pairs = secrets.dictionary(docs)
+    keys = secrets.labelled_examples(llm, words, pairs).where("label = 1")
+    assert [(r.probability, r.secret) for r in secrets.scan(docs, labelled=keys).collect()] == [(1.0, True)]
 
 
 def test_redact_keeps_rows_and_columns(llm, docs):
