@@ -8,11 +8,14 @@ share an id are decided one by one.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adcube.llm import hyperminhash, pieces, secrets, toxicity, winnowing
 from adcube.llm.common import id_remainder, stored, table
+from adcube.session import delete_folder, ensure_checkpoint_dir, intermediates
 
 
 def _matched(docs: DataFrame, verdicts: DataFrame, how: str) -> DataFrame:
@@ -31,8 +34,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates stays: its representative, once."""
-    found = hyperminhash.near_duplicates(docs)
+    """One row of each group of near-duplicates (five-word shingles, 80 %) stays: its representative, once."""
+    found = hyperminhash.near_duplicates(docs, percent=80)
     stays = found.groupBy("doc_id", "text_key").agg(F.first("representative").alias("stays"), F.first("n_shingles").alias("n"), F.count("*").alias("rows"))
     stays = stored(stays.where("stays"))
     once = (F.col("rows") == 1) | (F.col("n") == 0)
@@ -72,7 +75,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows; what the stages wrote on the way is deleted when its reader is done."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir))
+        folder = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+        with intermediates(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(folder)
+        docs = spark.read.schema(out.schema).parquet(folder)
+        if before is not None:
+            delete_folder(spark, before)
+        before = folder
     return docs
