@@ -94,6 +94,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     best = np.flatnonzero(2 * _deviance(in1, in0, n1, n0) >= significant)
     best = best[np.argsort(slot[best])]
     chosen_slots, ratio = slot[best], ratio[best]
+    del seen, slot, in1, in0  # the driver's memory is for the fit
     if not len(best):
         return Model(np.zeros(1 << BITS, np.float32), prior)
     place = np.full(1 << BITS, -1, np.int32)
@@ -110,9 +111,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # In an order of their own, so that sums are the same in every run.
     rows = rows.append_column("n", pc.list_value_length(rows["features"])).sort_by([("doc_id", "ascending"), ("n", "ascending")])
     placed.destroy()
-    lists = rows["features"].combine_chunks()
+    lists, y = rows["features"].combine_chunks(), (rows["label"].to_numpy() == 1).astype(np.float64)
+    del rows
     has = Sparse(lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy(), len(best))
-    coefficient, bias = fit(has, ratio.astype(np.float32), (rows["label"].to_numpy() == 1).astype(np.float32))
+    coefficient, bias = fit(has, ratio, y)
     weights = np.zeros(1 << BITS, np.float32)
     weights[chosen_slots] = coefficient * ratio
     # The sample's share of toxic texts is not that of the labels.
@@ -137,12 +139,29 @@ class Sparse:
     features: np.ndarray
     width: int
 
+    def _blocks(self):
+        """Texts with about BLOCK features at a time: the driver never holds a number for each entry."""
+        a, n = 0, len(self.at) - 1
+        while a < n:
+            b = max(a + 1, int(np.searchsorted(self.at, self.at[a] + BLOCK, "right")) - 1)
+            yield a, b, self.features[self.at[a] : self.at[b]], self.at[a : b + 1] - self.at[a]
+            a = b
+
     def times(self, v: np.ndarray) -> np.ndarray:
-        total = np.append(0.0, np.cumsum(v[self.features], dtype=np.float64))
-        return total[self.at[1:]] - total[self.at[:-1]]
+        out = np.zeros(len(self.at) - 1)
+        for a, b, features, at in self._blocks():
+            total = np.append(0.0, np.cumsum(v[features]))
+            out[a:b] = total[at[1:]] - total[at[:-1]]
+        return out
 
     def transposed_times(self, u: np.ndarray) -> np.ndarray:
-        return np.bincount(self.features, np.repeat(u, np.diff(self.at)), self.width)
+        out = np.zeros(self.width)
+        for a, b, features, at in self._blocks():
+            out += np.bincount(features, np.repeat(u[a:b], np.diff(at)), self.width)
+        return out
+
+
+BLOCK = 1 << 18
 
 
 def fit(has: Sparse, ratio: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = STEPS) -> tuple[np.ndarray, float]:
