@@ -8,8 +8,9 @@ regression with an L2 penalty is fitted to the scaled features.
 The classifier is fitted on at most TOXIC and OTHER labelled texts, those whose
 ids have the smallest hashes.  Its features are all slots whose presence tells the
 classes apart at the level that SIGNIFICANT stands for (likelihood-ratio test), how many
-that be.  What reaches the driver are 2^BITS counts and, for the fit, the features of the
-sampled texts.  Every text is scored whole.
+that be.  The fit is Spark's own (gradients are summed over the tasks that hold the
+sampled texts); what reaches the driver are the chosen slots and one weight for each.
+Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +30,7 @@ from .common import LOWER, documents, list_array, map_text, mix, rows_of, stored
 GRAMS, BITS = (5, 6, 7), 20
 SIGNIFICANT = 10.83  # chi-squared with one degree of freedom: 1 in 1000 by chance
 TOXIC, OTHER = 3_000, 5_000
-PENALTY, STEPS = 1.0, 150
+PENALTY, STEPS, TOLERANCE = 1.0, 150, 1e-6
 CHUNK_BYTES = 1 << 18
 
 
@@ -83,112 +85,53 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return pa.RecordBatch.from_arrays([pa.array(key >> 1), pa.array(key & 1), pa.array(n)], ["slot", "label", "n"])
 
     seen = map_text(chosen.select("label", "text"), count, "slot long, label long, n long", limit=CHUNK_BYTES).groupBy("slot").agg(F.sum(F.expr("n * label")).alias("one"), F.sum(F.expr("n * (1 - label)")).alias("zero"))
-    seen = seen.toArrow()  # 2^BITS rows at most
     sizes = {r.label: r.n for r in chosen.groupBy((F.col("label") == 1).alias("label")).agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(True, 0), sizes.get(False, 0)
     prior = float(np.log((one + 0.5) / (zero + 0.5))) if one + zero else -40.0
-    if not n1 or not n0 or not seen.num_rows:
-        return Model(np.zeros(1 << BITS, np.float32), prior)
-    slot, in1, in0 = (seen[c].to_numpy() for c in ("slot", "one", "zero"))
-    ratio = np.log((in1 + 1) / (n1 + 2)) - np.log((in0 + 1) / (n0 + 2))
-    best = np.flatnonzero(2 * _deviance(in1, in0, n1, n0) >= significant)
-    best = best[np.argsort(slot[best])]
-    chosen_slots, ratio = slot[best], ratio[best]
-    del seen, slot, in1, in0  # the driver's memory is for the fit
-    if not len(best):
-        return Model(np.zeros(1 << BITS, np.float32), prior)
+    weights = np.zeros(1 << BITS, np.float32)
+    if not n1 or not n0:
+        return Model(weights, prior)
+    ratio = F.log((F.col("one") + 1) / (n1 + 2)) - F.log((F.col("zero") + 1) / (n0 + 2))
+    best = seen.where(2 * _deviance(n1, n0) >= significant).select("slot", ratio.alias("ratio")).orderBy("slot").toArrow()  # 2^BITS rows at most
+    if not best.num_rows:
+        return Model(weights, prior)
+    chosen_slots, ratio = best["slot"].to_numpy(), best["ratio"].to_numpy()
     place = np.full(1 << BITS, -1, np.int32)
-    place[chosen_slots] = np.arange(len(best))
-    placed = sc.broadcast(place)
+    place[chosen_slots] = np.arange(len(ratio))
+    sent = sc.broadcast((place, ratio))
 
     def features(batch, first, end, raw, at):
-        doc, slot = slots(raw, at, placed.value >= 0)
-        lists = list_array(np.searchsorted(doc, np.arange(end - first + 1)), pa.array(placed.value[slot]))
-        return pa.RecordBatch.from_arrays([*rows_of(batch, first, end, "doc_id", "label"), lists], ["doc_id", "label", "features"])
-
-    kind = chosen.schema["doc_id"].dataType.simpleString()
-    rows = map_text(chosen, features, f"doc_id {kind}, label int, features array<int>", limit=CHUNK_BYTES).toArrow()
-    # In an order of their own, so that sums are the same in every run.
-    rows = rows.append_column("n", pc.list_value_length(rows["features"])).sort_by([("doc_id", "ascending"), ("n", "ascending")])
-    placed.destroy()
-    lists, y = rows["features"].combine_chunks(), (rows["label"].to_numpy() == 1).astype(np.float64)
-    del rows
-    has = Sparse(lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy(), len(best))
-    coefficient, bias = fit(has, ratio, y)
-    weights = np.zeros(1 << BITS, np.float32)
+        place, ratio = sent.value
+        doc, slot = slots(raw, at, place >= 0)
+        ends, column = np.searchsorted(doc, np.arange(end - first + 1)), place[slot]
+        lists = [list_array(ends, pa.array(x)) for x in (column, ratio[column])]
+        return pa.RecordBatch.from_arrays([*rows_of(batch, first, end, "label"), *lists], ["label", "place", "value"])
+
+    rows = stored(map_text(chosen.select("label", "text"), features, "label int, place array<int>, value array<double>", limit=CHUNK_BYTES))
+    coefficient, bias = fit(rows, len(ratio), n1 + n0)
+    sent.destroy()
     weights[chosen_slots] = coefficient * ratio
     # The sample's share of toxic texts is not that of the labels.
     return Model(weights, bias + prior - float(np.log(n1 / n0)))
 
 
-def _deviance(in1, in0, n1, n0) -> np.ndarray:
-    """Likelihood-ratio statistic of each feature's presence against the class."""
-    total, out = in1 + in0, np.zeros(len(in1))
-    for seen, size in ((in1, n1), (in0, n0)):
-        for part, share in ((seen, total / (n1 + n0)), (size - seen, 1 - total / (n1 + n0))):
-            expected = size * share
-            out += np.where(part > 0, part * np.log(np.maximum(part, 1e-9) / np.maximum(expected, 1e-9)), 0)
+def _deviance(n1: int, n0: int) -> Column:
+    """Half the likelihood-ratio statistic of a feature's presence, in ``one`` and ``zero`` of
+    n1 and n0 texts, against the class."""
+    share, out = (F.col("one") + F.col("zero")) / (n1 + n0), F.lit(0.0)
+    for seen, size in ((F.col("one"), n1), (F.col("zero"), n0)):
+        for part, of in ((seen, share), (size - seen, 1 - share)):
+            out = out + F.when(part > 0, part * F.log(part / (size * of))).otherwise(0.0)
     return out
 
 
-@dataclass(frozen=True)
-class Sparse:
-    """Which features each text has: ``features[at[i] : at[i + 1]]``."""
-
-    at: np.ndarray
-    features: np.ndarray
-    width: int
-
-    def _blocks(self):
-        """Texts with about BLOCK features at a time: the driver never holds a number for each entry."""
-        a, n = 0, len(self.at) - 1
-        while a < n:
-            b = max(a + 1, int(np.searchsorted(self.at, self.at[a] + BLOCK, "right")) - 1)
-            yield a, b, self.features[self.at[a] : self.at[b]], self.at[a : b + 1] - self.at[a]
-            a = b
-
-    def times(self, v: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(self.at) - 1)
-        for a, b, features, at in self._blocks():
-            total = np.append(0.0, np.cumsum(v[features]))
-            out[a:b] = total[at[1:]] - total[at[:-1]]
-        return out
-
-    def transposed_times(self, u: np.ndarray) -> np.ndarray:
-        out = np.zeros(self.width)
-        for a, b, features, at in self._blocks():
-            out += np.bincount(features, np.repeat(u[a:b], np.diff(at)), self.width)
-        return out
-
-
-BLOCK = 1 << 18
-
-
-def fit(has: Sparse, ratio: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = STEPS) -> tuple[np.ndarray, float]:
-    """Logistic regression on ``has * ratio`` with an L2 penalty, by accelerated gradient descent."""
-    step = 1.0 / (0.25 * _largest(has, ratio) + penalty)
-    w, b = np.zeros(len(ratio)), 0.0
-    v, c = w.copy(), b
-    for k in range(steps):
-        error = 1 / (1 + np.exp(-np.clip(has.times(ratio * v) + c, -30, 30))) - y
-        w_next, b_next = v - step * (penalty * v + ratio * has.transposed_times(error)), c - step * float(error.sum())
-        momentum = k / (k + 3)
-        v, c = w_next + momentum * (w_next - w), b_next + momentum * (b_next - b)
-        w, b = w_next, b_next
-    return w, float(b)
-
-
-def _largest(has: Sparse, ratio: np.ndarray) -> float:
-    """Largest eigenvalue of the square of ``has * ratio`` with a column of ones, by power iteration."""
-    n = len(ratio) + 1
-    v, c = np.full(len(ratio), 1 / np.sqrt(n)), 1 / np.sqrt(n)
-    size = 1.0
-    for _ in range(20):
-        u = has.times(ratio * v) + c
-        slope, lean = ratio * has.transposed_times(u), float(u.sum())
-        size = float(np.sqrt(slope @ slope + lean * lean))
-        v, c = slope / size, lean / size
-    return 1.1 * size
+def fit(rows: DataFrame, width: int, n: int, penalty: float = PENALTY, steps: int = STEPS) -> tuple[np.ndarray, float]:
+    """Coefficients and bias of a logistic regression on ``label, place, value`` (``n`` rows of sparse
+    features) that minimise the sum of log losses plus penalty / 2 times the squared coefficients."""
+    vector = F.udf(lambda place, value: Vectors.sparse(width, place, value), VectorUDT())
+    data = rows.select(F.col("label").cast("double").alias("label"), vector("place", "value").alias("features"))
+    model = LogisticRegression(regParam=penalty / n, standardization=False, maxIter=steps, tol=TOLERANCE).fit(data)
+    return model.coefficients.toArray(), float(model.intercept)
 
 
 def classify(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None, score_col: str = "score") -> DataFrame:

@@ -69,10 +69,13 @@ def test_features_are_those_that_tell_the_classes_apart(llm):
     assert [r.score > 0.5 for r in toxicity.classify(new, few).orderBy("doc_id").collect()] == [True, False]
 
 
-def test_sparse_products():
+def test_fit_is_the_minimum(llm):
+    """At the fitted weights the gradient of the sum of log losses and the penalty is 0."""
     r = np.random.default_rng(1)
-    dense = r.random((7, 9)) < 0.3
-    at = np.append(0, np.cumsum(dense.sum(1)))
-    has = toxicity.Sparse(at, np.nonzero(dense)[1], 9)
-    v, u = r.random(9), r.random(7)
-    assert np.allclose(has.times(v), dense @ v) and np.allclose(has.transposed_times(u), u @ dense)
+    x = np.where(r.random((60, 9)) < 0.3, r.normal(size=9), 0)
+    y = (r.random(60) < 1 / (1 + np.exp(-x.sum(1)))).astype(int)
+    rows = [(int(t), np.nonzero(v)[0].tolist(), v[np.nonzero(v)].tolist()) for t, v in zip(y, x)]
+    w, b = toxicity.fit(llm.createDataFrame(rows, "label int, place array<int>, value array<double>"), 9, 60)
+    error = 1 / (1 + np.exp(-(x @ w + b))) - y
+    assert np.abs(x.T @ error + toxicity.PENALTY * w).max() < 1e-2 and abs(error.sum()) < 1e-2
+    assert np.abs(w).max() > 0.1
