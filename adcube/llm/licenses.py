@@ -4,7 +4,7 @@ A unit is a line of a file that speaks of licences (its header), or the whole of
 a licence file.  Units and templates are sparse vectors of term frequency times
 inverse document frequency, counted over the units of all files; the template
 with the highest cosine is the unit's licence if that reaches THRESHOLD.  Units
-are compared once for each different text.
+are compared once for each different text; from then on its digest stands for it.
 
 A file that is named like a licence file, or that is little else than a notice,
 licenses its directory.  A file without a licence of its own takes that of the
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 THRESHOLD, MOSTLY = 0.5, 0.5
-SPEAKS_OF = r"(?i)(licen[cs]e|copyright|copying|spdx|permission is hereby granted|redistribution and use)"
+SPEAKS_OF = r"(?i)(licen[cs]e|copyright|copying|spdx|permission is hereby granted|permission to use, copy|redistribution and use|public domain)"
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([.-][^/]*)?$"
 TERM = "[a-z0-9]+(?:[.][0-9]+)*"
 
@@ -67,18 +67,18 @@ def _terms(text: str):
 
 
 def units(files: DataFrame) -> DataFrame:
-    """``file, unit, words`` (words: share of the file's words) from ``file, path, text``."""
+    """``file, unit, id, words`` (id: the unit's digest, words: its share of the file's words) from ``file, path, text``."""
     speaks = F.filter(F.split("text", "\n"), lambda line: line.rlike(SPEAKS_OF))
     whole = F.col("path").rlike(LICENCE_FILE) & (F.trim("text") != "")
     parts = F.when(whole, F.array("text")).when(F.col("text").rlike(SPEAKS_OF), speaks)
     rows = files.select("file", F.size(F.split(F.trim("text"), r"\s+")).alias("all"), F.explode(parts).alias("unit"))
-    return rows.select("file", "unit", (F.size(F.split(F.trim("unit"), r"\s+")) / F.col("all")).alias("words"))
+    return rows.select("file", "unit", F.md5("unit").alias("id"), (F.size(F.split(F.trim("unit"), r"\s+")) / F.col("all")).alias("words"))
 
 
 def matched(found: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
-    """``unit, licence, similarity`` of the different units that reach the threshold."""
-    different = found.groupBy("unit").agg(F.count("*").alias("copies")).withColumn("id", F.xxhash64("unit"))
-    vectors = different.select("unit", "id", "copies", F.explode(_terms("unit")).alias("term")).groupBy("unit", "id", "copies", "term").agg(F.count("*").alias("tf"))
+    """``id, licence, similarity`` of the different units that reach the threshold."""
+    different = found.groupBy("id").agg(F.first("unit").alias("unit"), F.count("*").alias("copies"))
+    vectors = different.select("id", "copies", F.explode(_terms("unit")).alias("term")).groupBy("id", "copies", "term").agg(F.count("*").alias("tf"))
     vectors = stored(vectors)
     forms = known.select("licence", "form", F.explode(_terms("text")).alias("term")).groupBy("licence", "form", "term").agg(F.count("*").alias("tf"))
     n = found.count() + known.count()
@@ -88,11 +88,11 @@ def matched(found: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     lengths = forms.groupBy("licence", "form").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("form_length"))
     forms = stored(forms.join(lengths, ["licence", "form"]).select("licence", "form", "term", (F.col("w") / F.col("form_length")).alias("v")))
     weighed = vectors.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    size = weighed.groupBy("unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
-    dot = weighed.join(F.broadcast(forms), "term").groupBy("unit", "licence", "form").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))  # the templates are constants
+    size = weighed.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
+    dot = weighed.join(F.broadcast(forms), "term").groupBy("id", "licence", "form").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))  # the templates are constants
     cosine = F.round(F.col("dot") / F.col("size"), 9)
-    best = dot.join(size, "unit").withColumn("similarity", cosine).groupBy("unit").agg(F.max(F.struct("similarity", F.col("licence"))).alias("b"))
-    return best.select("unit", "b.licence", "b.similarity").where(F.col("similarity") >= threshold)
+    best = dot.join(size, "id").withColumn("similarity", cosine).groupBy("id").agg(F.max(F.struct("similarity", F.col("licence"))).alias("b"))
+    return best.select("id", "b.licence", "b.similarity").where(F.col("similarity") >= threshold)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text", threshold: float = THRESHOLD, texts: dict[str, list[str]] | None = None) -> DataFrame:
@@ -109,7 +109,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_c
     rows = rows.withColumn("file", F.xxhash64(key)).withColumn("path", F.col("path"))
     found = stored(units(rows.select("file", "path", "text")))
     licences = matched(found, templates(spark, TEMPLATES if texts is None else texts), threshold)
-    own = found.join(licences, "unit").groupBy("file").agg(F.max(F.struct("similarity", "licence")).alias("best"), F.max(F.when(F.col("words") >= MOSTLY, 1)).alias("mostly"))
+    own = found.join(licences, "id").groupBy("file").agg(F.max(F.struct("similarity", "licence")).alias("best"), F.max(F.when(F.col("words") >= MOSTLY, 1)).alias("mostly"))
     own = stored(own.select("file", F.col("best.licence").alias("own_licence"), F.col("best.similarity").alias("similarity"), F.coalesce("mostly", F.lit(0)).alias("mostly")))
     files = rows.select("doc_id", "path", "file").join(own, "file", "left")
     directory = F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).when(F.col("path").isNotNull(), F.lit(""))

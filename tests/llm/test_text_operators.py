@@ -375,6 +375,20 @@ def test_estimate_is_corrected_for_collisions():
 
 # ------------------------------------------------------------------ 10 licences
 
+def test_every_template_is_found_as_a_header(llm):
+    texts = [(name, text) for name in sorted(licenses.TEMPLATES) for text in [*licenses.TEMPLATES[name], f"SPDX-License-Identifier: {name}"]]
+    rows = [(k, f"src{k}/file", f"# {text}\n" + "\n".join(data.prose(20, 50 + k + j) for j in range(20))) for k, (_, text) in enumerate(texts)]
+    out = {r.doc_id: r.own_licence for r in licenses.scan(llm.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert [out[k] for k in range(len(texts))] == [name for name, _ in texts]
+
+
+def test_long_licence_file_travels_as_its_digest(llm):
+    text = "\n".join(licenses.TEMPLATES["ISC"][1] for _ in range(9_000))  # 1 MB
+    rows = [(1, "a/LICENSE", text), (2, "a/b/code", "no word of it")]
+    docs = llm.createDataFrame(rows, "doc_id long, path string, text string")
+    assert {r.doc_id: (r.own_licence, r.licence) for r in licenses.scan(docs).collect()} == {1: ("ISC", "ISC"), 2: (None, "ISC")}
+
+
 def test_licences_and_inheritance(llm):
     rows = [
         (1, "a/LICENSE", licenses.TEMPLATES["MIT"][2] + "\n" + data.prose(30, 1)),
