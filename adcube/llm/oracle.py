@@ -7,7 +7,7 @@ of documents are unique in the test tables.
 
 from __future__ import annotations
 
-from .licenses import LICENCE_FILE, MOSTLY, SPEAKS_OF, TEMPLATES, TERM, THRESHOLD
+from .licenses import LICENCE_FILE, MOSTLY, PARAGRAPHS, PRINTED, SPEAKS_OF, TEMPLATES, TERM, THRESHOLD
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -75,11 +75,19 @@ LICENSES = f"""
 WITH templates(licence, form, text) AS (VALUES {_FORMS}),
 files AS (SELECT doc_id, coalesce(text, '') AS text,
                  concat_ws('/', source, lang, CAST(doc_id // 100 AS VARCHAR), CAST(doc_id AS VARCHAR)) AS path FROM documents),
-found AS (SELECT doc_id, unit, len(regexp_split_to_array(trim(unit), '{_WHITE}')) / n AS words
-          FROM (SELECT doc_id, path, text, len(regexp_split_to_array(trim(text), '{_WHITE}')) AS n,
-                       unnest(CASE WHEN regexp_matches(path, '{LICENCE_FILE}') AND trim(text) <> '' THEN [text]
-                                   ELSE string_split(text, chr(10)) END) AS unit FROM files)
-          WHERE regexp_matches(unit, '{SPEAKS_OF}') OR regexp_matches(path, '{LICENCE_FILE}')),
+spoken AS (SELECT doc_id, text, regexp_matches(path, '{LICENCE_FILE}') AND trim(text) <> '' AS named,
+                  string_split(text, chr(10)) AS lines FROM files
+           WHERE (regexp_matches(path, '{LICENCE_FILE}') AND trim(text) <> '') OR regexp_matches(text, '{SPEAKS_OF}')),
+cut AS (SELECT *, list_filter(list_transform(string_split(array_to_string(list_transform(lines,
+                      lambda l: CASE WHEN regexp_matches(l, '{PRINTED}') THEN l ELSE chr(1) END), chr(10)), chr(1)),
+                  lambda p: trim(p, chr(10))), lambda p: regexp_matches(p, '{PRINTED}')) AS ps FROM spoken),
+start AS (SELECT doc_id, ps, unnest(range(1, len(ps) + 1)) AS k FROM cut),
+unit AS (SELECT doc_id, text AS unit FROM spoken WHERE named
+         UNION SELECT doc_id, unit FROM (SELECT doc_id, unnest(lines) AS unit FROM spoken) WHERE regexp_matches(unit, '{SPEAKS_OF}')
+         UNION SELECT doc_id, array_to_string(ps[k:k + m], chr(10)) FROM start, range({PARAGRAPHS}) r(m) WHERE regexp_matches(ps[k], '{SPEAKS_OF}')),
+found AS (SELECT doc_id, unit, CASE WHEN named THEN 1.0::DOUBLE
+                 ELSE len(regexp_split_to_array(trim(unit), '{_WHITE}')) / len(regexp_split_to_array(trim(text), '{_WHITE}')) END AS words
+          FROM unit JOIN spoken USING (doc_id)),
 total AS (SELECT (SELECT count(*) FROM found) + (SELECT count(*) FROM templates) AS n),
 different AS (SELECT unit, count(*) AS copies FROM found GROUP BY unit),
 vec AS (SELECT unit, copies, term, count(*) AS tf
@@ -89,18 +97,18 @@ form AS (SELECT licence, form, term, count(*) AS tf
 idf AS (SELECT term, ln((1.0 + (SELECT n FROM total)) / (1 + sum(c))) + 1 AS idf
         FROM (SELECT term, copies AS c FROM vec UNION ALL SELECT term, 1 FROM form) GROUP BY term),
 fw AS (SELECT licence, form, term, tf * idf AS w FROM form JOIN idf USING (term)),
-fs AS (SELECT licence, form, sqrt(sum(w * w)) AS size FROM fw GROUP BY 1, 2),
+fs AS (SELECT licence, form, sqrt(sum(w * w)) AS size, count(*) AS terms FROM fw GROUP BY 1, 2),
 uw AS (SELECT unit, term, tf * idf AS w FROM vec JOIN idf USING (term)),
 us AS (SELECT unit, sqrt(sum(w * w)) AS size FROM uw GROUP BY 1),
-cosine AS (SELECT unit, licence, round(sum(uw.w * fw.w) / min(us.size) / min(fs.size), 9) AS s
+cosine AS (SELECT unit, licence, round(sum(uw.w * fw.w) / min(us.size) / min(fs.size), 9) AS s, min(terms) AS terms
            FROM uw JOIN fw USING (term) JOIN us USING (unit) JOIN fs USING (licence, form) GROUP BY unit, licence, form),
-best AS (SELECT unit, licence, s FROM cosine WHERE s >= {THRESHOLD}
-         QUALIFY row_number() OVER (PARTITION BY unit ORDER BY s DESC, licence DESC) = 1),
-own AS (SELECT doc_id, first(licence ORDER BY s DESC, licence DESC) AS own_licence, max(s) AS s,
-               bool_or(words >= {MOSTLY}) AS mostly FROM found JOIN best USING (unit) GROUP BY doc_id),
-placed AS (SELECT f.doc_id, f.path, regexp_replace(f.path, '/[^/]*$', '') AS directory, own_licence, s, mostly
+best AS (SELECT unit, licence, s, terms * ((s * s) * (s * s)) * ((s * s) * (s * s)) AS strength FROM cosine WHERE s >= {THRESHOLD}
+         QUALIFY row_number() OVER (PARTITION BY unit ORDER BY strength DESC, s DESC, licence DESC) = 1),
+own AS (SELECT doc_id, first(licence ORDER BY strength DESC, s DESC, licence DESC) AS own_licence,
+               first(s ORDER BY strength DESC, s DESC, licence DESC) AS s, max(strength) AS strength, bool_or(words >= {MOSTLY}) AS mostly FROM found JOIN best USING (unit) GROUP BY doc_id),
+placed AS (SELECT f.doc_id, f.path, regexp_replace(f.path, '/[^/]*$', '') AS directory, own_licence, s, strength, mostly
            FROM files f LEFT JOIN own ON f.doc_id = own.doc_id),
-licensed AS (SELECT directory AS above, first(own_licence ORDER BY s DESC, own_licence DESC) AS licence
+licensed AS (SELECT directory AS above, first(own_licence ORDER BY strength DESC, s DESC, own_licence DESC) AS licence
              FROM placed WHERE mostly GROUP BY 1),
 nearest AS (SELECT directory, above, licence FROM (SELECT DISTINCT directory FROM placed) d
             JOIN licensed l ON d.directory = l.above OR starts_with(d.directory, l.above || '/') OR l.above = ''
