@@ -74,7 +74,8 @@ _WHITE = r"[ \t\n\x0B\f\r]+"
 LICENSES = f"""
 WITH templates(licence, form, text) AS (VALUES {_FORMS}),
 files AS (SELECT doc_id, coalesce(text, '') AS text,
-                 concat_ws('/', source, lang, CAST(doc_id // 100 AS VARCHAR), CAST(doc_id AS VARCHAR)) AS path FROM documents),
+                 concat_ws('/', source, lang, CAST(doc_id // 100 AS VARCHAR),
+                           CASE WHEN doc_id % 100 = 0 THEN 'LICENSE' ELSE CAST(doc_id AS VARCHAR) END) AS path FROM documents),
 spoken AS (SELECT doc_id, text, regexp_matches(path, '{LICENCE_FILE}') AND trim(text) <> '' AS named,
                   string_split(text, chr(10)) AS lines FROM files
            WHERE (regexp_matches(path, '{LICENCE_FILE}') AND trim(text) <> '') OR regexp_matches(text, '{SPEAKS_OF}')),

@@ -69,8 +69,9 @@ def op9_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents lie at source/lang/hundred/id."""
-    path = F.concat_ws("/", "source", "lang", F.expr("doc_id div 100"), "doc_id")
+    """Documents lie at source/lang/hundred/id; the first of a hundred is its directory's LICENSE."""
+    name = F.when(F.col("doc_id") % 100 == 0, "LICENSE").otherwise(F.col("doc_id").cast("string"))
+    path = F.concat_ws("/", "source", "lang", F.expr("doc_id div 100"), name)
     docs = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
     return licenses.scan(docs).withColumn("similarity", F.round("similarity", 6))
 
