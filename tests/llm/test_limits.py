@@ -1,13 +1,17 @@
 """Texts that are long in awkward ways, and buckets of one key."""
 
+import collections
+import random
 import time
 
 import data
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 
 from adcube.llm import personal, superkmer, toxicity
+from adcube.llm.common import gram_hashes
 
 
 @pytest.mark.parametrize("text, n", [
@@ -55,6 +59,42 @@ def test_long_periodic_texts_are_cut_into_pieces(llm, monkeypatch, hot):
     assert packed.selectExpr("max(n)").first()[0] <= superkmer.PIECE + 34
 
 
+def test_single_passages_stay_where_the_corpus_outgrows_the_bitmap(llm, monkeypatch):
+    """Only repeated minimisers are in the bitmap, however many others share its bits."""
+    prose = data.prose(60, 7)
+    rows = [(i, data.prose(300, 100 + i) + (" " + prose if i < 2 else "")) for i in range(40)]
+    kept, stored = [], superkmer.stored
+    monkeypatch.setattr(superkmer, "stored", lambda df: kept.append(stored(df)) or kept[-1])
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    found = {tuple(r) for r in superkmer.remove_repeats(docs, bits=8).select("doc_id", "n_words", "n_removed").collect()}
+    assert found == {r[:3] for r in plain.repeats(rows)}
+    every = superkmer.slots(superkmer.documents(docs), 35, 5)
+    sent = kept[1].count()
+    assert 0 < sent < 0.1 * every.count()
+
+
+def test_bitmaps_grow_with_the_repeated_minimisers():
+    assert superkmer.bits_for(0) == superkmer.bits_for(1_000_000) == superkmer.BITS
+    assert superkmer.bits_for(10_000_000) == 27
+    assert superkmer.bits_for(10**12) == superkmer.MOST
+
+
+@pytest.mark.parametrize("values", [0, 3])
+def test_repeated_windows_by_definition(values):
+    """Also where different windows have equal hashes (``values`` of them only)."""
+    digest = (lambda h, n: gram_hashes(h, n) % np.uint64(values)) if values else gram_hashes
+    for seed in range(60):
+        r = random.Random(seed)
+        window = r.choice([2, 3, 5])
+        texts = sorted({" ".join(r.choice("abcd") for _ in range(r.randint(window, 12))) for _ in range(r.randint(1, 12))})
+        copies = np.array([r.choice([1, 1, 2]) for _ in texts])
+        cut = [[tuple(t.split()[k : k + window]) for k in range(len(t.split()) - window + 1)] for t in texts]
+        times = collections.Counter(w for ws, n in zip(cut, copies) for w in ws for _ in range(n))
+        expected = [(i, k) for i, ws in enumerate(cut) for k, w in enumerate(ws) if times[w] > 1]
+        runs = superkmer.repeated_runs(pa.array([t.encode() for t in texts], pa.binary()), copies, window, digest)
+        assert [(i, k) for i, a, b in zip(*runs) for k in range(a, b + 1)] == expected
+
+
 def test_features_are_those_that_tell_the_classes_apart(llm):
     """All of them, whatever their number; those of both classes are none."""
     bad = [(i, f"{data.prose(20, i)} zorkian {i}") for i in range(60)]
