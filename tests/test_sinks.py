@@ -183,3 +183,72 @@ def test_published_table_has_all_columns(spark, tmpdir_path):
     found = _rows(spark.table("adcube_test_db.days").select("date", "v", "g"))
     assert found == [(dt.date(2024, 1, 1), 1, None), (dt.date(2024, 1, 2), 20, "new")]
     spark.sql("DROP DATABASE adcube_test_db CASCADE")
+
+
+def wide(spark, days):
+    rows = [(g, dt.date(2024, 1, d), i, f"{g} {d} {i}") for g in ("day", "week", None) for d in range(1, days + 1) for i in (1, 2, None)]
+    return spark.createDataFrame(rows, "g string, date date, id long, v string"), rows
+
+
+def files(path):
+    return [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+
+
+def hints(spark, monkeypatch):
+    kind, seen = type(spark.range(0)), []
+    plain = kind.hint
+    monkeypatch.setattr(kind, "hint", lambda self, name, *a: (seen.append((name, *a)), plain(self, name, *a))[1])
+    return seen
+
+
+def test_many_rows_of_few_partitions_are_not_shuffled(spark, tmpdir_path, monkeypatch):
+    from adcube.sinks import table
+    monkeypatch.setattr(table, "LITTLE_BYTES", 0, raising=False)
+    path, seen = f"{tmpdir_path}/t", hints(spark, monkeypatch)
+    df, rows = wide(spark, 4)
+    write_table(df, path, ("g",))
+    batch = spark.createDataFrame([("day", dt.date(2024, 1, 1), 1, "new"), (None, dt.date(2024, 1, 2), None, "new")], df.schema)
+    assert upsert_by_key(spark, batch, path, ["g", "date", "id"], null_safe=True, partition_by=("g",)) == "upserted"
+    assert not seen
+    new = {("day", dt.date(2024, 1, 1), 1): "new", (None, dt.date(2024, 1, 2), None): "new"}
+    found = read_table(spark, path).select("g", "date", "id", "v").collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(str((*r[:3], new.get(r[:3], r[3]))) for r in rows)
+    assert files(path) and all("zstd" in f for f in files(path))
+    assert sorted(os.listdir(tmpdir_path)) == ["t"]
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_merges_shuffle_keys_only(spark, tmpdir_path, null_safe):
+    from adcube.session import intermediates
+    from adcube.sinks.table import merge_touched
+    df, rows = wide(spark, 9)
+    write_table(df, f"{tmpdir_path}/t", ("g",))
+    write_table(df.where("date > '2024-01-03' and id = 1"), f"{tmpdir_path}/b", ())
+    target, batch = read_table(spark, f"{tmpdir_path}/t"), read_table(spark, f"{tmpdir_path}/b")
+    with intermediates(spark):
+        merged, _ = merge_touched(target, batch, ["date", "id"], "append", null_safe, ("g",), None)
+        assert "Exchange hashpartitioning" not in merged._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, merged.select("g", "date", "id", "v").collect())) == sorted(map(str, df.collect()))
+
+
+def test_many_partitions_are_dealt_in_slices(spark, tmpdir_path, monkeypatch):
+    from adcube.sinks import table
+    path, seen = f"{tmpdir_path}/t", hints(spark, monkeypatch)
+    monkeypatch.setattr(table, "LITTLE_BYTES", 0, raising=False)
+    df, rows = wide(spark, 9)
+    write_table(df, path, ("g", "date"))
+    assert [h[0] for h in seen] == ["rebalance"] * 4
+    batch = spark.createDataFrame([(g, dt.date(2024, 1, d), 1, "new") for g in ("day", None) for d in range(1, 10)], df.schema)
+    assert upsert_by_key(spark, batch, path, ["g", "date", "id"], null_safe=True, partition_by=("g", "date")) == "upserted"
+    found = read_table(spark, path).select("g", "date", "id", "v").collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(str((*r[:3], "new" if r[0] != "week" and r[2] == 1 else r[3])) for r in rows)
+    assert sorted(os.listdir(tmpdir_path)) == ["t"]
+
+
+def test_rows_left_of_a_stopped_write_are_deleted(spark, tmpdir_path):
+    path = f"{tmpdir_path}/t"
+    df, rows = wide(spark, 2)
+    for side in ("__replace__rows", "__upsert__rows"):
+        df.write.parquet(f"{path}{side}")
+    write_table(df, path, ("g",))
+    assert sorted(os.listdir(tmpdir_path)) == ["t"] and read_table(spark, path).count() == len(rows)
